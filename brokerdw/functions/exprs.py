@@ -127,7 +127,7 @@ def norm_company_ref(c: Column | str) -> Column:
 
 def full_years(start: Column | str, end: Column | str) -> Column:
     """Whole years from ``start`` to ``end``."""
-    return F.floor(F.months_between(col(end), col(start)) / 12).cast("int")
+    return F.timestamp_diff("YEAR", col(start).cast("timestamp"), col(end).cast("timestamp"))
 
 
 def match_key(c: Column | str, nullable: bool = False) -> Column:
