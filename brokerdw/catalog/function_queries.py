@@ -355,7 +355,4 @@ def correlated_counts(spark, sf):
 )
 def stable_row_id(spark, sf):
     """Reproducible surrogate key from the natural key instead of a running number (FN-17)."""
-    digest = F.md5(F.concat(F.col("p_partkey").cast("string"), F.lit("|"), F.col("p_brand")))
-    return table(spark, sf, "part").select(
-        "p_partkey", F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("sk")
-    )
+    return table(spark, sf, "part").select("p_partkey", X.stable_key("p_partkey", "p_brand").alias("sk"))

@@ -119,6 +119,12 @@ def smart_key(date: Column | str, key: Column | str) -> Column:
     return F.concat(F.date_format(col(date), "yyyyMMdd"), col(key).cast("string")).cast("bigint")
 
 
+def stable_key(*cols: Column | str) -> Column:
+    """Reproducible 60-bit surrogate key of a natural key."""
+    text = F.concat_ws("|", *[col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def norm_company_ref(c: Column | str) -> Column:
     """Company name, or company number without leading zeros."""
     text = F.trim(col(c))

@@ -75,10 +75,12 @@ def scd2_history(
     return out.filter(F.col(START) < F.col(END)) if drop_empty else out
 
 
-def close_open_versions(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def close_open_versions(
+    df: DataFrame, keys: str | Sequence[str], tie: Sequence[str] = (), hot: HotKeys | None = None
+) -> DataFrame:
     """``enddate`` / ``iscurrent`` from the next ``effectivedate`` of the key."""
     nexts = bounded_window(
-        df, _names(keys), [START], {"_next": lambda w: F.lead(START).over(w)}, following=1
+        df, _names(keys), [START, *tie], {"_next": lambda w: F.lead(START).over(w)}, following=1, hot=hot
     )
     return (
         nexts.withColumn(END, F.coalesce("_next", open_end()))
