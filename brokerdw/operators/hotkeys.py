@@ -27,6 +27,9 @@ MAX_HOT = 1_000
 # Upper limit of cells per key.
 MAX_CELLS = 4_096
 
+# Inputs estimated below this many bytes (as stored) are sorted by one task in any case.
+SMALL_BYTES = 32 * 1024 * 1024
+
 CELL = "_cell"
 FIRST_CELL = "_first_cell"
 
@@ -73,15 +76,35 @@ def _conf_rows(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
-def find_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str, min_rows: int | None = None
-) -> HotKeys:
-    """Count rows per key (combined map-side) and return the dominating ones.
+def fits_one_task(*frames: DataFrame, limit: int = SMALL_BYTES) -> bool:
+    """Whether Spark estimates every frame below ``limit`` bytes, so that no key can dominate.
+
+    The estimate follows from file sizes and grows with every join, so it errs
+    towards probing. Where a session does not offer it, nothing counts as small.
+    """
+    try:
+        sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames]
+    except (AttributeError, TypeError):
+        return False
+    return all(size <= limit for size in sizes)
+
+
+def hot_window_keys(df: DataFrame, keys: Sequence[str], order: str) -> HotKeys:
+    """Dominating keys of a window input; none if the whole input fits one task.
+
+    The row limit can be set per session with ``brokerdw.hotRows``.
+    """
+    configured = df.sparkSession.conf.get("brokerdw.hotRows", None)
+    if configured is None and fits_one_task(df):
+        return NO_HOT
+    return find_hot_keys(df, keys, order, int(configured or HOT_ROWS))
+
+
+def find_hot_keys(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> HotKeys:
+    """Count rows per key (combined map-side) and return those with more than ``limit``.
 
-    Reads only the key and ordering columns; the result has at most ``MAX_HOT``
-    rows. The limit can be set per session with ``brokerdw.hotRows``.
+    Reads only the key and ordering columns; the result has at most ``MAX_HOT`` rows.
     """
-    limit = min_rows or _conf_rows(df, "brokerdw.hotRows", HOT_ROWS)
     fields = [
         T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)
     ] + [T.StructField(n, T.LongType()) for n in ("_lo", "_width", "_cells")]
@@ -149,7 +172,7 @@ def carry_last(
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Replace each of ``cols`` by its last non-null value up to the row."""
-    hot = find_hot_keys(df, keys, order_by[0]) if hot is None else hot
+    hot = hot_window_keys(df, keys, order_by[0]) if hot is None else hot
     so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not hot:
         w = so_far(Window.partitionBy(*keys).orderBy(*order_by))
@@ -205,7 +228,7 @@ def bounded_window(
     A hot key is cut into blocks of consecutive rows; each block also receives
     copies of the neighbour rows its frames reach, which are dropped afterwards.
     """
-    hot = find_hot_keys(df, keys, order_by[0]) if hot is None else hot
+    hot = hot_window_keys(df, keys, order_by[0]) if hot is None else hot
     if not hot:
         w = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumns({name: make(w) for name, make in exprs.items()})

@@ -93,18 +93,26 @@ def merge(
 
 @dataclass(frozen=True)
 class Scd2Merge:
-    """Outcome of a type 2 merge, split so that a store rewrites only current rows.
+    """Outcome of a type 2 merge without the history closed before.
 
-    ``closed`` are versions that were current before and end in this batch (append
-    them to the history), ``current`` are all versions current afterwards (replace).
+    ``rows`` holds the versions that end in this batch (``iscurrent`` false, to be
+    added to the history) and all versions current afterwards (to replace the current
+    rows), computed in one pass so that a store writes both at once.
     """
 
-    closed: DataFrame
-    current: DataFrame
+    rows: DataFrame
+
+    @property
+    def closed(self) -> DataFrame:
+        return self.rows.filter(~F.col(CURRENT))
+
+    @property
+    def current(self) -> DataFrame:
+        return self.rows.filter(F.col(CURRENT))
 
     def with_history(self, history: DataFrame) -> DataFrame:
-        """The whole table: earlier closed versions, newly closed ones, current ones."""
-        return history.unionByName(self.closed).unionByName(self.current)
+        """The whole table, given the versions that were closed before."""
+        return history.unionByName(self.rows)
 
 
 def scd2_merge(
@@ -130,20 +138,24 @@ def scd2_merge(
     cols = target.columns
     t = target.filter(F.col(CURRENT)).select(*[F.col(c).alias(f"t_{c}") for c in cols]).withColumn("_t", F.lit(True))
     given = [c for c in cols if c in changes.columns and c not in (END, CURRENT)]
-    s = _numbered(changes, keys)
-    s = s.select(*[F.col(c).alias(f"s_{c}") for c in given], "_dup").withColumn("_s", F.lit(True))
-    cond = F.lit(True)
-    for c in keys:
-        cond = cond & (F.col(f"t_{c}") == F.col(f"s_{c}"))
-    joined = t.join(s, cond, "full_outer").filter(
-        F.when(F.col("_dup") > 1, F.raise_error(F.lit(DUPLICATE)).cast("boolean")).otherwise(True)
-    )
 
-    both = joined.filter(F.col("_t").isNotNull() & F.col("_s").isNotNull())
-    closing = {START: None, END: F.col(f"s_{START}"), CURRENT: F.lit(False)}
-    closed = both.select(
-        *[(closing[c] if closing.get(c) is not None else F.col(f"t_{c}")).alias(c) for c in cols]
-    )
+    def one_row(df: DataFrame, prefix: str, wanted: Sequence[str], mark: str) -> DataFrame:
+        rows = _numbered(df, keys).filter(
+            F.when(F.col("_dup") > 1, F.raise_error(F.lit(DUPLICATE)).cast("boolean")).otherwise(True)
+        )
+        return rows.select(*[F.col(c).alias(f"{prefix}{c}") for c in wanted]).withColumn(mark, F.lit(True))
+
+    def same_key(left: str, right: str) -> Column:
+        cond = F.col(f"{left}{keys[0]}") == F.col(f"{right}{keys[0]}")
+        for c in keys[1:]:
+            cond = cond & (F.col(f"{left}{c}") == F.col(f"{right}{c}"))
+        return cond
+
+    if inplace is not None:
+        p = one_row(inplace, "p_", [*keys, *inplace_cols], "_p")
+        t = t.join(p, same_key("t_", "p_"), "left")
+    joined = t.join(one_row(changes, "s_", given, "_s"), same_key("t_", "s_"), "full_outer")
+    changed = F.col("_s").isNotNull()
 
     def opened(c: str) -> Column:
         if c == END:
@@ -160,14 +172,19 @@ def scd2_merge(
             out = F.col(f"s_{c}")
         return out.cast(target.schema[c].dataType)
 
-    current = joined.select(
-        *[F.when(F.col("_s").isNull(), F.col(f"t_{c}")).otherwise(opened(c)).alias(c) for c in cols]
-    )
-    if inplace is not None:
-        untouched = inplace.join(changes.select(*keys), list(keys), "left_anti")
-        sets = {c: F.col(f"s_{c}") for c in inplace_cols}
-        current = merge(current, untouched, keys, matched=[(None, sets)], insert=False)
-    return Scd2Merge(closed, current)
+    def kept(c: str) -> Column:
+        if inplace is not None and c in inplace_cols:
+            value = F.col(f"p_{c}").cast(target.schema[c].dataType)
+            return F.when(F.col("_p").isNotNull(), value).otherwise(F.col(f"t_{c}"))
+        return F.col(f"t_{c}")
+
+    def ended(c: str) -> Column:
+        return {END: F.col(f"s_{START}"), CURRENT: F.lit(False)}.get(c, F.col(f"t_{c}"))
+
+    current = F.struct(*[F.when(changed, opened(c)).otherwise(kept(c)).alias(c) for c in cols])
+    closed = F.struct(*[ended(c).alias(c) for c in cols])
+    versions = F.when(changed & F.col("_t").isNotNull(), F.array(closed, current)).otherwise(F.array(current))
+    return Scd2Merge(joined.select(F.inline(versions)))
 
 
 def propagate_versions(

@@ -12,10 +12,12 @@ from brokerdw.operators.hotkeys import (
     CELL,
     FIRST_CELL,
     HOT_VERSIONS,
+    NO_HOT,
     HotKeys,
     bounded_window,
     carry_last,
     find_hot_keys,
+    fits_one_task,
     interval_cells,
     with_cells,
 )
@@ -27,8 +29,21 @@ def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _version_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("brokerdw.hotVersions", str(HOT_VERSIONS)))
+# Two sides estimated below this many bytes are compared directly, whatever their keys.
+SMALL_JOIN_BYTES = 8 * 1024 * 1024
+
+
+def _many_versions(
+    versions: DataFrame, keys: Sequence[str], sides: Sequence[DataFrame]
+) -> HotKeys:
+    """Keys with more validity intervals than one row should be compared with.
+
+    The limit can be set per session with ``brokerdw.hotVersions``.
+    """
+    configured = versions.sparkSession.conf.get("brokerdw.hotVersions", None)
+    if configured is None and fits_one_task(*sides, limit=SMALL_JOIN_BYTES):
+        return NO_HOT
+    return find_hot_keys(versions, keys, START, int(configured or HOT_VERSIONS))
 
 
 def forward_fill(
@@ -117,7 +132,7 @@ def pit_join(
     wanted = list(dict.fromkeys([*dim_keys, START, END, *keep]))
     right = dim.select(*wanted)
     if hot is None:
-        hot = find_hot_keys(dim, dim_keys, START, _version_limit(dim))
+        hot = _many_versions(dim, dim_keys, [fact, dim])
     day = fact.withColumn("_day", F.to_date(ts))
     if hot:
         fact_hot = HotKeys(tuple(fact_keys), hot.schema, hot.rows)
@@ -173,7 +188,7 @@ def interval_join(
     ]
     if hot is None:
         both = left.select(*left_keys, START).union(right.select(*right_keys, START))
-        hot = find_hot_keys(both, left_keys, START, _version_limit(left))
+        hot = _many_versions(both, left_keys, [left, right])
     lhs = left.filter(F.col(START) < F.col(END))
     rhs = right.select(*dict.fromkeys([*right_keys, START, END, *keep]))
     if hot:

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,20 +26,30 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: dict[str, list] = {}
 
     # -- commits ------------------------------------------------------------
     def _log(self, name: str) -> str:
         return f"{self.root}/{name}/_log"
 
-    def commits(self, name: str) -> list[T.Row]:
-        """Commit rows of a table, oldest first (one per load); empty if there is none."""
-        try:
-            rows = self.spark.read.schema(_COMMIT).json(self._log(name)).collect()
-        except AnalysisException as err:
-            if err.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return sorted(rows, key=lambda r: r.version)
+    def commits(self, name: str) -> list[Row]:
+        """Commit rows of a table, oldest first (one per load); empty if there is none.
+
+        A store object is the only writer of its tables and remembers their commits;
+        :meth:`refresh` forgets them.
+        """
+        if name not in self._known:
+            try:
+                rows = self.spark.read.schema(_COMMIT).json(self._log(name)).collect()
+            except AnalysisException as err:
+                if err.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                rows = []
+            self._known[name] = sorted(rows, key=lambda r: r.version)
+        return self._known[name]
+
+    def refresh(self) -> None:
+        self._known.clear()
 
     def exists(self, name: str) -> bool:
         return bool(self.commits(name))
@@ -52,9 +62,11 @@ class TableStore:
         return json.loads(done[-1].parts) if done else []
 
     def commit(self, name: str, parts: list[dict], flow: str = "") -> None:
-        version = len(self.commits(name)) + 1
-        row = self.spark.createDataFrame([(version, json.dumps(parts), flow)], _COMMIT)
-        row.coalesce(1).write.mode("append").json(self._log(name))
+        done = self.commits(name)
+        entry = Row(version=len(done) + 1, parts=json.dumps(parts), flow=flow)
+        row = self.spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in entry.asDict().items()])
+        row.write.mode("append").json(self._log(name))
+        self._known[name] = [*done, entry]
 
     # -- data ---------------------------------------------------------------
     def write_part(
@@ -99,25 +111,22 @@ class TableStore:
         self.commit(name, [*before, part] if mode == "append" else [part], flow)
         return self.read(name)
 
-    def replace_labels(self, name: str, new: dict[str, DataFrame], append: dict[str, DataFrame], flow: str = "") -> None:
-        """Replace the folders with the given labels and append others, in one commit."""
-        before = [p for p in self.parts(name) if p["label"] not in new]
-        added = [self.write_part(name, df, label) for label, df in [*append.items(), *new.items()]]
-        self.commit(name, [*before, *added], flow)
-
     def read(self, name: str, label: str | None = None) -> DataFrame:
         """The current version, or only its folders with ``label``."""
         parts = [p for p in self.parts(name) if label is None or p["label"] == label]
         if not parts:
             raise ValueError(f"table {name} has no data")
-        frames = [
-            self.spark.read.schema(T.StructType.fromJson(json.loads(p["schema"]))).parquet(p["path"]) for p in parts
-        ]
-        out = frames[0].select(*[f.name for f in T.StructType.fromJson(json.loads(parts[0]["schema"]))])
+        frames = [self._read_part(p) for p in parts]
+        out = frames[0]
         for more in frames[1:]:
             out = out.unionByName(more, allowMissingColumns=True)
         return out
 
+    def _read_part(self, part: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(part["schema"]))
+        df = self.spark.read.schema(schema).parquet(part["path"]).select(*schema.fieldNames())
+        return df.filter(part["only"]) if "only" in part else df
+
     def compact(self, name: str, combine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
         """Rewrite a table into one folder, optionally through a combining plan."""
         df = self.read(name)
@@ -130,14 +139,17 @@ class TableStore:
         return out
 
     # -- type 2 tables ------------------------------------------------------
-    def write_scd2(self, name: str, df: DataFrame, flow: str = "") -> DataFrame:
-        """First load of a type 2 table: closed and current versions in separate folders."""
-        closed = self.write_part(name, df.filter(~F.col("iscurrent")), "closed")
-        current = self.write_part(name, df.filter("iscurrent"), "current")
-        self.commit(name, [closed, current], flow)
+    def write_scd2(self, name: str, df: DataFrame, flow: str = "", keep: Sequence[dict] = ()) -> DataFrame:
+        """Write a type 2 table once, split by ``iscurrent``, as a closed and a current part."""
+        part = self.write_part(name, df, partition_by=["iscurrent"])
+        split = [
+            {**part, "label": "closed", "only": "NOT iscurrent"},
+            {**part, "label": "current", "only": "iscurrent"},
+        ]
+        self.commit(name, [*keep, *split], flow)
         return self.read(name)
 
     def merge_scd2(self, name: str, merged, flow: str = "") -> DataFrame:
-        """Append newly closed versions and replace the current ones."""
-        self.replace_labels(name, {"current": merged.current}, {"closed": merged.closed}, flow)
-        return self.read(name)
+        """Keep all closed parts, add newly closed versions and replace the current ones."""
+        closed = [p for p in self.parts(name) if p["label"] == "closed"]
+        return self.write_scd2(name, merged.rows, flow, closed)
