@@ -5,6 +5,7 @@ from brokerdw.catalog import (  # noqa: F401
     change_queries,
     function_queries,
     join_queries,
+    product_queries,
     quality_queries,
     scan_queries,
     window_queries,
