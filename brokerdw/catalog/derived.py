@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from brokerdw.catalog.registry import table
 from brokerdw.functions.exprs import RATINGS
+from brokerdw.operators.grouping import top1
 from brokerdw.plans import dimensions as dims
 from brokerdw.plans import facts, stages
+from brokerdw.session import scratch_dir
 from brokerdw.sources import scans
 from brokerdw.sources.schemas import PROSPECT
 
@@ -26,6 +28,18 @@ def with_ctes(names: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n]})" for n in names.split()) + body
 
 
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write a stage or dimension to the shared folder and read it back.
+
+    As in the warehouse runs, products read stored dimensions: the lineage is cut, and
+    counting keys or planning a broadcast uses a table instead of its whole history.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -330,7 +344,7 @@ CTE["dimbroker"] = """
 
 
 def dim_account(spark, sf, customer: DataFrame | None = None, changes: bool = True) -> DataFrame:
-    customer = dim_customer(spark, sf, changes) if customer is None else customer
+    customer = stored(dim_customer(spark, sf, changes), "dimcustomer") if customer is None else customer
     moves = account_changes(spark, sf) if changes else None
     history = dims.account_history(customer_mgmt(spark, sf), moves, batch_date(spark))
     return dims.build_dim_account(history, customer, dim_broker(spark, sf))
@@ -375,7 +389,11 @@ def _head(day: str, kind: str) -> Column:
 
 
 def finwire(spark, sf) -> DataFrame:
-    """Fixed-width company, security and financial records."""
+    """Fixed-width company, security and financial records, staged by record type."""
+    return stored(scans.classify_finwire(wire_lines(spark, sf)), "finwire", ("rectype",))
+
+
+def wire_lines(spark, sf) -> DataFrame:
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     line = table(spark, sf, "lineitem")
     companies = (
@@ -403,7 +421,7 @@ def finwire(spark, sf) -> DataFrame:
     securities = (
         line.filter(F.col("l_linenumber") == 6)
         .groupBy("l_partkey", F.to_date("l_shipdate").alias("d"))
-        .agg(F.max_by(F.struct("l_suppkey", "l_tax", "l_orderkey"), F.struct("l_orderkey")).alias("r"))
+        .agg(F.max_by(F.struct("l_suppkey", "l_tax", "l_orderkey"), F.struct("l_orderkey", "l_suppkey", "l_tax")).alias("r"))
         .select("l_partkey", "d", "r.*")
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -447,7 +465,7 @@ def finwire(spark, sf) -> DataFrame:
             _pad(by_number, 60),
         ).alias("value")
     )
-    return scans.classify_finwire(cmp.unionByName(sec).unionByName(fin))
+    return cmp.unionByName(sec).unionByName(fin)
 
 
 def industry(spark, sf) -> DataFrame:
@@ -477,8 +495,8 @@ CTE["dimsecurity"] = """
            least(s.e, c.enddate) AS enddate, least(s.e, c.enddate) = DATE '9999-12-31' AS iscurrent
     FROM (SELECT 'S' || l_partkey AS symbol, d, l_suppkey, shares, dividend,
                  coalesce(lead(d) OVER (PARTITION BY l_partkey ORDER BY d), DATE '9999-12-31') AS e
-          FROM (SELECT l_partkey, CAST(l_shipdate AS DATE) AS d, arg_max(l_suppkey, l_orderkey) AS l_suppkey,
-                       max(l_orderkey) AS shares, arg_max(l_tax, l_orderkey) * 100 AS dividend
+          FROM (SELECT l_partkey, CAST(l_shipdate AS DATE) AS d, arg_max(l_suppkey, (l_orderkey, l_suppkey, l_tax)) AS l_suppkey,
+                       max(l_orderkey) AS shares, arg_max(l_tax, (l_orderkey, l_suppkey, l_tax)) * 100 AS dividend
                 FROM lineitem WHERE l_linenumber = 6 GROUP BY 1, 2)) s
     JOIN dimcompany c ON s.l_suppkey = c.companyid AND s.d < c.enddate AND s.e > c.effectivedate
 """
@@ -491,23 +509,31 @@ CTE["financial"] = """
 """
 
 
-def dim_company(spark, sf) -> DataFrame:
-    return dims.build_dim_company(finwire(spark, sf), industry(spark, sf))
+def dim_company(spark, sf, wire: DataFrame | None = None) -> DataFrame:
+    return dims.build_dim_company(finwire(spark, sf) if wire is None else wire, industry(spark, sf))
+
 
+def company_tables(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The staged wire records and the stored company dimension."""
+    wire = finwire(spark, sf)
+    return wire, stored(dim_company(spark, sf, wire), "dimcompany")
 
-def dim_security(spark, sf, company: DataFrame | None = None) -> DataFrame:
-    return dims.build_dim_security(finwire(spark, sf), dim_company(spark, sf) if company is None else company)
+
+def dim_security(spark, sf) -> DataFrame:
+    return dims.build_dim_security(*company_tables(spark, sf))
 
 
 def financial(spark, sf) -> DataFrame:
-    return dims.build_financial(finwire(spark, sf), dim_company(spark, sf))
+    return dims.build_financial(*company_tables(spark, sf))
 
 
 # -- trades and facts ---------------------------------------------------------------
 def trades(spark, sf) -> DataFrame:
-    """First line of each order as a trade; late orders of some customers are change rows."""
+    """One line of each order as a trade; some pending trades are completed by change rows."""
     line = table(spark, sf, "lineitem").filter(F.col("l_linenumber") == 1)
-    joined = line.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount"]
+    one = top1(line.select(*cols), ["l_orderkey"], ["l_partkey", "l_suppkey", "l_extendedprice"])
+    joined = one.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     key = F.col("o_orderkey")
     placed = F.col("o_orderdate").cast("timestamp") + F.expr("make_dt_interval(0, 9, 0, o_orderkey % 3000)")
     kinds = F.array(*[F.lit(k) for k in ["TMB", "TMS", "TSL", "TLS", "TLB", "XXX"]])
@@ -559,7 +585,8 @@ def trade_history(spark, sf) -> DataFrame:
 
 def dim_trade(spark, sf) -> DataFrame:
     final = dims.trades_final(trades(spark, sf), trade_history(spark, sf))
-    return dims.build_dim_trade(final, dim_security(spark, sf), dim_account(spark, sf))
+    security, account = stored(dim_security(spark, sf), "dimsecurity"), stored(dim_account(spark, sf), "dimaccount")
+    return dims.build_dim_trade(final, security, account)
 
 
 CTE["tradesfinal"] = """
@@ -575,7 +602,9 @@ CTE["tradesfinal"] = """
     FROM (SELECT *, o_orderdate + INTERVAL 9 HOUR + to_seconds(o_orderkey % 3000) AS ts,
                  CASE WHEN o_orderkey % 7 = 0 THEN 'CNCL' WHEN o_orderkey % 7 < 5 THEN 'CMPT' ELSE 'PNDG' END AS st,
                  o_orderkey % 7 > 4 AND o_orderkey % 2 = 0 AS upd
-          FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1)
+          FROM (SELECT * FROM lineitem WHERE l_linenumber = 1 QUALIFY row_number() OVER (
+                  PARTITION BY l_orderkey ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1)
+          JOIN orders ON l_orderkey = o_orderkey)
 """
 CTE["dimtrade"] = """
     SELECT t.tradeid, a.sk_brokerid, CAST(strftime(create_ts, '%Y%m%d') AS BIGINT) AS sk_createdateid,
@@ -628,7 +657,7 @@ def daily_market(spark, sf) -> DataFrame:
         table(spark, sf, "lineitem")
         .groupBy(F.to_date("l_shipdate").alias("dm_date"), F.concat(F.lit("S"), text("l_partkey")).alias("dm_s_symb"))
         .agg(
-            F.max_by(price, F.struct("l_orderkey", "l_linenumber")).alias("dm_close"),
+            F.max_by(price, F.struct("l_orderkey", "l_linenumber", "l_extendedprice")).alias("dm_close"),
             F.max(price).alias("dm_high"),
             F.min(price).alias("dm_low"),
             F.sum("l_quantity").cast("int").alias("dm_vol"),
@@ -642,7 +671,7 @@ CTE["market"] = f"""
              '%Y%m%d') AS BIGINT) AS high52date,
            min(lo) OVER w AS low52, CAST(strftime(arg_min(d, (lo, d)) OVER w, '%Y%m%d') AS BIGINT) AS low52date
     FROM (SELECT CAST(l_shipdate AS DATE) AS d, 'S' || l_partkey AS symbol,
-                 arg_max(l_extendedprice, (l_orderkey, l_linenumber)) AS cl, max(l_extendedprice) AS hi,
+                 arg_max(l_extendedprice, (l_orderkey, l_linenumber, l_extendedprice)) AS cl, max(l_extendedprice) AS hi,
                  min(l_extendedprice) AS lo, CAST(sum(l_quantity) AS INT) AS vol,
                  CASE WHEN CAST(l_shipdate AS DATE) < DATE '{SPLIT}' THEN 1 ELSE 2 END AS batchid
           FROM lineitem GROUP BY ALL)
@@ -677,24 +706,18 @@ CTE["watch"] = f"""
 
 
 def warehouse(spark, sf) -> dict[str, DataFrame]:
-    """All products by name, for reports that read several of them."""
-    customer = dim_customer(spark, sf)
-    account = dim_account(spark, sf, customer)
-    company = dim_company(spark, sf)
-    security = dim_security(spark, sf, company)
-    fin = dims.build_financial(finwire(spark, sf), company)
+    """All products by name, stored, for reports that read several of them."""
+    customer = stored(dim_customer(spark, sf), "dimcustomer")
+    account = stored(dim_account(spark, sf, customer), "dimaccount")
+    wire, company = company_tables(spark, sf)
+    security = stored(dims.build_dim_security(wire, company), "dimsecurity")
+    fin = stored(dims.build_financial(wire, company), "financial")
     final = dims.trades_final(trades(spark, sf), trade_history(spark, sf))
-    trade = dims.build_dim_trade(final, security, account)
+    trade = stored(dims.build_dim_trade(final, security, account), "dimtrade")
     eps = stages.company_eps_stage(fin, company)
-    return {
+    built = {
         "dimdate": dim_date(spark, sf),
         "dimbroker": dim_broker(spark, sf),
-        "dimcustomer": customer,
-        "dimaccount": account,
-        "dimcompany": company,
-        "dimsecurity": security,
-        "financial": fin,
-        "dimtrade": trade,
         "industry": industry(spark, sf),
         "taxrate": tax_rate(spark, sf),
         "factholdings": facts.build_fact_holdings(holdings(spark, sf), trade),
@@ -705,3 +728,13 @@ def warehouse(spark, sf) -> dict[str, DataFrame]:
         "factwatches": facts.build_fact_watches(facts.watch_stage(watches(spark, sf)), security, customer),
         "prospect": facts.build_prospect(prospect_stage(spark, sf), 3, customer, batch_date(spark)),
     }
+    return {
+        "dimcustomer": customer,
+        "dimaccount": account,
+        "dimcompany": company,
+        "dimsecurity": security,
+        "financial": fin,
+        "dimtrade": trade,
+        "finwire": wire,
+        **{name: stored(df, name) for name, df in built.items()},
+    }

@@ -92,7 +92,8 @@ def financial(spark, sf):
     ),
 )
 def company_eps(spark, sf):
-    stage = stages.company_eps_stage(d.financial(spark, sf), d.dim_company(spark, sf))
+    wire, company = d.company_tables(spark, sf)
+    stage = stages.company_eps_stage(dims.build_financial(wire, company), company)
     return stage.withColumnRenamed("sum_fi_basic_eps", "sum_eps")
 
 
@@ -116,7 +117,7 @@ def dim_trade(spark, sf):
     ),
 )
 def fact_holdings(spark, sf):
-    return facts.build_fact_holdings(d.holdings(spark, sf), d.dim_trade(spark, sf))
+    return facts.build_fact_holdings(d.holdings(spark, sf), d.stored(d.dim_trade(spark, sf), "dimtrade"))
 
 
 CASH_SQL = """
@@ -132,7 +133,8 @@ CASH_SQL = """
     ),
 )
 def fact_cash_balances(spark, sf):
-    return facts.build_fact_cash_balances(stages.cash_stage(d.cash_transactions(spark, sf)), d.dim_account(spark, sf))
+    account = d.stored(d.dim_account(spark, sf), "dimaccount")
+    return facts.build_fact_cash_balances(stages.cash_stage(d.cash_transactions(spark, sf)), account)
 
 
 @query(
@@ -142,7 +144,7 @@ def fact_cash_balances(spark, sf):
 def fact_cash_balances_batch(spark, sf):
     """A later batch: balances of its days keyed by the current accounts."""
     stage = stages.cash_stage(d.cash_transactions(spark, sf)).filter(F.col("batchid") == 2)
-    return facts.build_fact_cash_balances(stage, d.dim_account(spark, sf), current=True)
+    return facts.build_fact_cash_balances(stage, d.stored(d.dim_account(spark, sf), "dimaccount"), current=True)
 
 
 MARKET_SQL = """
@@ -157,11 +159,12 @@ MARKET_SQL = """
 
 
 def _market(spark, sf, only=None, current=False):
-    company = d.dim_company(spark, sf)
+    wire, company = d.company_tables(spark, sf)
     stage = stages.daily_market_stage(d.daily_market(spark, sf))
-    eps = stages.company_eps_stage(d.financial(spark, sf), company)
+    eps = stages.company_eps_stage(dims.build_financial(wire, company), company)
     rows = stage if only is None else stage.filter(F.col("batchid") == only)
-    return facts.build_fact_market_history(rows, d.dim_security(spark, sf, company), eps, current)
+    security = d.stored(dims.build_dim_security(wire, company), "dimsecurity")
+    return facts.build_fact_market_history(rows, security, eps, current)
 
 
 @query(
@@ -207,9 +210,11 @@ def daily_market_stage(spark, sf):
     ),
 )
 def fact_watches(spark, sf):
-    return facts.build_fact_watches(
-        facts.watch_stage(d.watches(spark, sf)), d.dim_security(spark, sf), d.dim_customer(spark, sf)
-    )
+    return facts.build_fact_watches(facts.watch_stage(d.watches(spark, sf)), *_security_customer(spark, sf))
+
+
+def _security_customer(spark, sf):
+    return d.stored(d.dim_security(spark, sf), "dimsecurity"), d.stored(d.dim_customer(spark, sf), "dimcustomer")
 
 
 PROSPECT_COLS = "agencyid batchid iscustomer lastname creditrating networth marketingnameplate".split()
@@ -238,7 +243,8 @@ def prospect_batch2(spark, sf):
 
 
 def _prospect(spark, sf, n):
-    built = facts.build_prospect(d.prospect_stage(spark, sf), n, d.dim_customer(spark, sf), d.batch_date(spark))
+    customer = d.stored(d.dim_customer(spark, sf), "dimcustomer")
+    built = facts.build_prospect(d.prospect_stage(spark, sf), n, customer, d.batch_date(spark))
     return built.select("sk_recorddateid", "sk_updatedateid", *PROSPECT_COLS)
 
 
@@ -258,7 +264,7 @@ NEXT = "SELECT *, enddate = DATE '9999-12-31' AS cur FROM"
 
 
 def _increment_customer(spark, sf):
-    base = d.dim_customer(spark, sf, changes=False)
+    base = d.stored(d.dim_customer(spark, sf, changes=False), "dimcustomer")
     merged = increments.merge_dim_customer(
         base, d.customer_changes(spark, sf), 2, d.tax_rate(spark, sf), d.prospect_stage(spark, sf), d.batch_date(spark)
     )
@@ -352,10 +358,11 @@ def dim_customer_batch(spark, sf):
 )
 def dim_account_batch(spark, sf):
     """Batch 2 merged into the accounts of batch 1: own changes and moves to new customer versions."""
-    customer = d.dim_customer(spark, sf, changes=False)
-    account = d.dim_account(spark, sf, customer, changes=False)
+    customer = d.stored(d.dim_customer(spark, sf, changes=False), "dimcustomer")
+    account = d.stored(d.dim_account(spark, sf, customer, changes=False), "dimaccount")
+    moved = d.stored(_increment_customer(spark, sf), "dimcustomer2")
     merged = increments.merge_dim_account(
-        account, d.account_changes(spark, sf), 2, _increment_customer(spark, sf), d.dim_broker(spark, sf), d.batch_date(spark)
+        account, d.account_changes(spark, sf), 2, moved, d.dim_broker(spark, sf), d.batch_date(spark)
     )
     out = merged.with_history(account.filter(~F.col("iscurrent")))
     return out.select(*ACCOUNT_COLS, "effectivedate", "enddate", "iscurrent")
@@ -388,10 +395,11 @@ def dim_account_batch(spark, sf):
 )
 def dim_trade_batch(spark, sf):
     """Updates of batch 2 merged into the trades of batch 1."""
-    security, account = d.dim_security(spark, sf), d.dim_account(spark, sf)
+    security = d.stored(d.dim_security(spark, sf), "dimsecurity")
+    account = d.stored(d.dim_account(spark, sf), "dimaccount")
     rows = d.trades(spark, sf)
     first = dims.trades_final(rows.filter(F.col("batchid") == 1), d.trade_history(spark, sf))
-    target = dims.build_dim_trade(first, security, account)
+    target = d.stored(dims.build_dim_trade(first, security, account), "dimtrade")
     return increments.merge_dim_trade(target, rows, 2, security, account).select(*TRADE_COLS)
 
 
@@ -425,8 +433,8 @@ def dim_trade_batch(spark, sf):
 )
 def fact_watches_batch(spark, sf):
     """Placements and cancellations of batch 2 merged into the watches of batch 1."""
-    security, customer = d.dim_security(spark, sf), d.dim_customer(spark, sf)
+    security, customer = _security_customer(spark, sf)
     rows = d.watches(spark, sf)
     batch = lambda n: facts.watch_stage(rows.filter(F.col("batchid") == n))
-    target = facts.build_fact_watches(batch(1), security, customer)
+    target = d.stored(facts.build_fact_watches(batch(1), security, customer), "factwatches")
     return facts.merge_fact_watches(target, batch(2), security, customer)

@@ -125,7 +125,7 @@ EXTREMES = """
            min(p) OVER w AS low_value, CAST(arg_min(d, (p, d)) OVER w AS VARCHAR) AS low_date,
            max(p) OVER w AS high_value,
            CAST(arg_max(d, (p, -date_diff('day', DATE '1970-01-01', d))) OVER w AS VARCHAR) AS high_date
-    FROM m WINDOW w AS (PARTITION BY l_partkey ORDER BY d, l_orderkey, l_linenumber
+    FROM m WINDOW w AS (PARTITION BY l_partkey ORDER BY d, l_orderkey, l_linenumber, p
                         ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)
 """
 
@@ -136,7 +136,7 @@ def _extremes(spark, sf, preceding, split=False):
     )
     hot = find_hot_keys(market, ["l_partkey"], "d", SMALL) if split else None
     found = rolling.rolling_extremes(
-        market, "l_partkey", ["d", "l_orderkey", "l_linenumber"], "l_extendedprice", "l_extendedprice", preceding, hot
+        market, "l_partkey", ["d", "l_orderkey", "l_linenumber", "l_extendedprice"], "l_extendedprice", "l_extendedprice", preceding, hot
     )
     return found.drop("d", "l_extendedprice")
 
