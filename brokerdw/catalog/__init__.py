@@ -7,6 +7,7 @@ from brokerdw.catalog import (  # noqa: F401
     join_queries,
     product_queries,
     quality_queries,
+    report_queries,
     scan_queries,
     window_queries,
 )

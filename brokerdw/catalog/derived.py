@@ -683,6 +683,30 @@ CTE["eps"] = """
     FROM financial
 """
 
+CTE["factmarket"] = """
+    SELECT s.sk_securityid, s.sk_companyid, m.symbol, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS sk_dateid, m.batchid,
+           CASE WHEN sum_eps <> 0 THEN cl / sum_eps END AS peratio
+    FROM market m JOIN dimsecurity s ON s.symbol = m.symbol AND d >= s.effectivedate AND d < s.enddate
+    LEFT JOIN eps ON eps.sk_companyid = s.sk_companyid AND quarter(d) = quarter(eps.q) AND year(d) = year(eps.q)
+"""
+CTE["factcash"] = """
+    SELECT sk_customerid, sk_accountid, sk_brokerid, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS sk_dateid, c.batchid
+    FROM cash c JOIN dimaccount a ON c.accountid = a.accountid AND d >= a.effectivedate AND d < a.enddate
+"""
+CTE["factwatch"] = """
+    SELECT c.sk_customerid, s.sk_securityid, CAST(strftime(placed, '%Y%m%d') AS BIGINT) AS sk_dateid_dateplaced,
+           CAST(strftime(removed, '%Y%m%d') AS BIGINT) AS sk_dateid_dateremoved, w.batchid
+    FROM watch w JOIN dimsecurity s ON s.symbol = w.symbol AND placed >= s.effectivedate AND placed < s.enddate
+    JOIN dimcustomer c ON c.customerid = w.customerid AND placed >= c.effectivedate AND placed < c.enddate
+"""
+CTE["factholding"] = """
+    SELECT t.* FROM lineitem JOIN dimtrade t ON l_orderkey = t.tradeid WHERE l_linenumber > 1
+"""
+CTE["dimdate"] = """
+    SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS sk_dateid, d AS datevalue
+    FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
+"""
+
 
 def watches(spark, sf) -> DataFrame:
     """Orders place and cancel watches of their customer on a few symbols."""
@@ -705,8 +729,18 @@ CTE["watch"] = f"""
 """
 
 
+_WAREHOUSES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def warehouse(spark, sf) -> dict[str, DataFrame]:
-    """All products by name, stored, for reports that read several of them."""
+    """All products by name, stored once per application, for reports that read several of them."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = _build_warehouse(spark, sf)
+    return _WAREHOUSES[key]
+
+
+def _build_warehouse(spark, sf) -> dict[str, DataFrame]:
     customer = stored(dim_customer(spark, sf), "dimcustomer")
     account = stored(dim_account(spark, sf, customer), "dimaccount")
     wire, company = company_tables(spark, sf)
@@ -718,8 +752,11 @@ def warehouse(spark, sf) -> dict[str, DataFrame]:
     built = {
         "dimdate": dim_date(spark, sf),
         "dimbroker": dim_broker(spark, sf),
+        "dimtime": trade.select(F.col("sk_closetimeid").alias("sk_timeid")).filter("sk_timeid IS NOT NULL").distinct(),
         "industry": industry(spark, sf),
         "taxrate": tax_rate(spark, sf),
+        "statustype": table(spark, sf, "orders").select(F.col("o_orderstatus").alias("st_id")).distinct(),
+        "tradetype": table(spark, sf, "orders").select(F.col("o_orderpriority").alias("tt_id")).distinct(),
         "factholdings": facts.build_fact_holdings(holdings(spark, sf), trade),
         "factcashbalances": facts.build_fact_cash_balances(stages.cash_stage(cash_transactions(spark, sf)), account),
         "factmarkethistory": facts.build_fact_market_history(
