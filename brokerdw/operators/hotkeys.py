@@ -32,6 +32,7 @@ SMALL_BYTES = 32 * 1024 * 1024
 
 CELL = "_cell"
 FIRST_CELL = "_first_cell"
+BLOCK, HALO = "_block", "_halo"
 
 
 @dataclass(frozen=True)
@@ -233,26 +234,40 @@ def bounded_window(
         w = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumns({name: make(w) for name, make in exprs.items()})
 
+    spread = spread_blocks(df, keys, order_by, preceding, following, hot, block_rows)
+    w = Window.partitionBy(*keys, BLOCK).orderBy(*order_by)
+    done = spread.withColumns({name: make(w) for name, make in exprs.items()})
+    new = [name for name in exprs if name not in df.columns]
+    return done.filter(~F.col(HALO)).select(*df.columns, *new)
+
+
+def spread_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    preceding: int,
+    following: int,
+    hot: HotKeys,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """Cut hot keys into blocks of consecutive rows, adding the neighbours their frames reach.
+
+    ``_block`` joins the key as partition column; copies are marked by ``_halo``.
+    """
     reach = max(preceding, following, 1)
     size = max(block_rows or _conf_rows(df, "brokerdw.hotRows", HOT_ROWS), 4 * reach)
     placed = row_positions(df, keys, order_by, hot)
     block = F.floor((F.col("_pos") - 1) / size)
     offset = (F.col("_pos") - 1) % size
-    own = F.struct(block.alias("b"), F.lit(False).alias("halo"))
-    to_next = F.when(offset >= size - preceding, F.struct((block + 1).alias("b"), F.lit(True).alias("halo")))
-    to_prev = F.when(
-        (offset < following) & (block > 0), F.struct((block - 1).alias("b"), F.lit(True).alias("halo"))
+    copy = lambda b, halo: F.struct(b.cast("long").alias("b"), F.lit(halo).alias("halo"))
+    to_next = F.when(offset >= size - preceding, copy(block + 1, True))
+    to_prev = F.when((offset < following) & (block > 0), copy(block - 1, True))
+    copies = F.when(F.col(CELL) == 0, F.array(copy(F.lit(0), False))).otherwise(
+        F.array_compact(F.array(copy(block, False), to_next, to_prev))
     )
-    copies = F.when(
-        F.col(CELL) == 0, F.array(F.struct(F.lit(0).cast("long").alias("b"), F.lit(False).alias("halo")))
-    ).otherwise(F.array_compact(F.array(own, to_next, to_prev)))
-    spread = placed.withColumn("_copy", F.explode(copies)).select(
-        *df.columns, F.col("_copy.b").alias("_block"), F.col("_copy.halo").alias("_halo")
+    return placed.withColumn("_copy", F.explode(copies)).select(
+        *df.columns, F.col("_copy.b").alias(BLOCK), F.col("_copy.halo").alias(HALO)
     )
-    w = Window.partitionBy(*keys, "_block").orderBy(*order_by)
-    done = spread.withColumns({name: make(w) for name, make in exprs.items()})
-    new = [name for name in exprs if name not in df.columns]
-    return done.filter(~F.col("_halo")).select(*df.columns, *new)
 
 
 def interval_cells(

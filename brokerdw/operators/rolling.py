@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brokerdw.operators.hotkeys import HotKeys, bounded_window, ordinal
+from brokerdw.operators.hotkeys import BLOCK, HALO, HotKeys, bounded_window, hot_window_keys, ordinal, spread_blocks
 
 
 def running_balance(
@@ -30,6 +30,10 @@ def running_balance(
     return daily.select(key, F.col("_day").alias("datevalue"), balance.alias(out), *extra_keys)
 
 
+# Frames of more rows than this are put together from block prefixes and suffixes.
+WIDE_FRAME = 16
+
+
 def rolling_extremes(
     df: DataFrame,
     key: str,
@@ -50,18 +54,15 @@ def rolling_extremes(
         F.col(high).isNotNull(),
         F.struct(F.col(high).alias("v"), (-ordinal(df, date)).alias("o"), F.col(date).alias("d")),
     )
-    frame = lambda w: w.rowsBetween(-preceding, Window.currentRow)
-    found = bounded_window(
-        df,
-        [key],
-        order_by,
-        {
-            "_low": lambda w: F.min(lowest).over(frame(w)),
-            "_high": lambda w: F.max(highest).over(frame(w)),
-        },
-        preceding=preceding,
-        hot=hot,
-    )
+    packed = df.withColumns({"_low": lowest, "_high": highest})
+    hot = hot_window_keys(df, [key], date) if hot is None else hot
+    keys = [key]
+    if hot:
+        packed = spread_blocks(packed, keys, order_by, preceding, 0, hot)
+        keys = [key, BLOCK]
+    found = _frame_extremes(packed, keys, order_by, preceding)
+    if hot:
+        found = found.filter(~F.col(HALO))
     return found.select(
         *df.columns,
         F.col("_low.v").alias("low_value"),
@@ -71,6 +72,42 @@ def rolling_extremes(
     )
 
 
+def _frame_extremes(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], preceding: int) -> DataFrame:
+    """Minimum of ``_low`` and maximum of ``_high`` over the last ``preceding`` + 1 rows.
+
+    A sliding frame costs its width per row. Cut into blocks as wide as the frame,
+    each frame is the end of one block and the start of the next: the extreme of the
+    block up to the row, and the extreme from the row where the frame starts to the
+    end of its block. That is a constant number of steps per row, and all windows
+    share one shuffle on the key.
+    """
+    by_key = Window.partitionBy(*keys).orderBy(*order_by)
+    if preceding < WIDE_FRAME:
+        frame = by_key.rowsBetween(-preceding, Window.currentRow)
+        return df.withColumns({"_low": F.min("_low").over(frame), "_high": F.max("_high").over(frame)})
+    width = preceding + 1
+    placed = df.withColumn("_at", F.row_number().over(by_key) - 1).withColumn("_cut", F.floor(F.col("_at") / width))
+    in_cut = Window.partitionBy(*keys, "_cut")
+    from_row = in_cut.orderBy(F.col("_at").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    to_row = in_cut.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = placed.withColumns({"_low_end": F.min("_low").over(from_row), "_high_end": F.max("_high").over(from_row)})
+    starts = ends.withColumns({"_low_start": F.min("_low").over(to_row), "_high_start": F.max("_high").over(to_row)})
+    by_place = Window.partitionBy(*keys).orderBy("_at")
+    before = starts.withColumns(
+        {
+            "_low_end": F.lag("_low_end", preceding).over(by_place),
+            "_high_end": F.lag("_high_end", preceding).over(by_place),
+        }
+    )
+    whole = F.col("_at") % width == preceding  # the frame is exactly one block
+    return before.withColumns(
+        {
+            "_low": F.when(whole, F.col("_low_start")).otherwise(F.least("_low_start", "_low_end")),
+            "_high": F.when(whole, F.col("_high_start")).otherwise(F.greatest("_high_start", "_high_end")),
+        }
+    )
+
+
 def trailing_sum(
     df: DataFrame,
     key: str,

@@ -158,13 +158,24 @@ def trade_batch(trades: DataFrame, batch: int) -> DataFrame:
 
 
 def merge_dim_trade(
-    target: DataFrame, trades: DataFrame, batch: int, dim_security: DataFrame, dim_account: DataFrame
+    target: DataFrame,
+    trades: DataFrame,
+    batch: int,
+    dim_security: DataFrame,
+    dim_account: DataFrame,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
-    """Open trades are updated, unknown ones inserted; a closed trade is left alone."""
+    """Open trades are updated, unknown ones inserted; a closed trade is left alone.
+
+    ``target`` may be the open trades only; ``closed`` then holds the closed ones, of
+    which just the key is read. The result is the open trades and those closed now.
+    """
     rows = trade_batch(trades, batch)
     secured = current_join(rows, dim_security, [("t_s_symb", "symbol")], dim_cols=SECURITY_REFS)
     joined = current_join(secured, dim_account, [("t_ca_id", "accountid")], dim_cols=ACCOUNT_REFS)
     source = trade_columns(joined).select(*TRADE_TABLE)
+    if closed is not None:
+        source = source.join(closed.select("tradeid"), "tradeid", "left_anti")
     updated = [
         "sk_closedateid", "sk_closetimeid", "status", "type", "cashflag", "quantity", "bidprice", "executedby",
         "tradeprice", "fee", "commission", "tax", "batchid",

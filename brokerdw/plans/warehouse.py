@@ -25,14 +25,22 @@ WAREHOUSE = [
 ]
 # Layout of the stored tables: fact lookups are by these keys.
 CLUSTER = {
-    "dimtrade": ["tradeid"],
     "factholdings": ["currenttradeid"],
     "factcashbalances": ["sk_accountid"],
     "factmarkethistory": ["sk_securityid"],
-    "factwatches": ["sk_customerid"],
 }
 
 
+def _closed(df: DataFrame) -> DataFrame:
+    """Flag trades that can no longer change."""
+    return df.withColumn("closed", F.col("sk_closedateid").isNotNull())
+
+
+def _removed(df: DataFrame) -> DataFrame:
+    """Flag watches that can no longer change."""
+    return df.withColumn("removed", F.col("sk_dateid_dateremoved").isNotNull())
+
+
 @dataclass
 class Warehouse:
     """A raw-file root and the store its tables are loaded into."""
@@ -109,9 +117,7 @@ class Warehouse:
     def _load_facts(self, trades: DataFrame, holdings: DataFrame, watches: DataFrame, batch: int | None) -> None:
         store = self.store
         security, account = store.read("dimsecurity"), store.read("dimaccount")
-        trade = store.write(
-            "dimtrade", dims.build_dim_trade(trades, security, account), cluster_by=CLUSTER["dimtrade"]
-        )
+        trade = store.write_split("dimtrade", _closed(dims.build_dim_trade(trades, security, account)), "closed", True)
         only = (lambda df: df) if batch is None else (lambda df: df.filter(F.col("batchid") == batch))
         built = {
             "factholdings": facts.build_fact_holdings(only(holdings), trade),
@@ -119,12 +125,11 @@ class Warehouse:
             "factmarkethistory": facts.build_fact_market_history(
                 only(store.read("stage_market")), security, store.read("stage_eps")
             ),
-            "factwatches": facts.build_fact_watches(
-                facts.watch_stage(only(watches)), security, store.read("dimcustomer")
-            ),
         }
         for name, df in built.items():
             store.write(name, df, cluster_by=CLUSTER[name])
+        watched = facts.build_fact_watches(facts.watch_stage(only(watches)), security, store.read("dimcustomer"))
+        store.write_split("factwatches", _removed(watched), "removed", True)
 
     # -- incremental load ---------------------------------------------------
     def run_batch(self, n: int) -> None:
@@ -163,11 +168,10 @@ class Warehouse:
         store.write("prospect", facts.build_prospect(prospects, n, customer, batch_date))
 
         trades = self.change_table("trade", keep_cdc=True)
-        trade = store.write(
-            "dimtrade",
-            increments.merge_dim_trade(store.read("dimtrade"), trades, n, security, account),
-            cluster_by=CLUSTER["dimtrade"],
+        moved = increments.merge_dim_trade(
+            store.read("dimtrade", "open"), trades, n, security, account, store.read("dimtrade", "final")
         )
+        trade = store.merge_split("dimtrade", _closed(moved), "closed", True, f"batch-{n}")
         holdings = self.change_table("holdinghistory").filter(of_batch)
         added = {
             "factholdings": facts.build_fact_holdings(holdings, trade.filter(of_batch)),
@@ -181,11 +185,10 @@ class Warehouse:
         for name, df in added.items():
             store.write(name, df, "append", cluster_by=CLUSTER[name], flow=f"batch-{n}")
         watches = facts.watch_stage(self.change_table("watchhistory").filter(of_batch))
-        store.write(
-            "factwatches",
-            facts.merge_fact_watches(store.read("factwatches"), watches, security, customer),
-            cluster_by=CLUSTER["factwatches"],
+        moved = facts.merge_fact_watches(
+            store.read("factwatches", "open").drop("removed"), watches, security, customer
         )
+        store.merge_split("factwatches", _removed(moved), "removed", True, f"batch-{n}")
 
     # -- stream -------------------------------------------------------------
     def run_stream(self, checkpoints: str) -> None:
@@ -251,17 +254,18 @@ class Warehouse:
         trades = self._stream_trades(later("Trade.txt", schemas.TRADE), checkpoints)
         watches = self._stream_watches(later("WatchHistory.txt", schemas.WATCH_HISTORY), checkpoints)
         security = store.read("dimsecurity")
-        trade = store.write("dimtrade", dims.build_dim_trade(trades, security, account), cluster_by=CLUSTER["dimtrade"])
+        trade = store.write_split("dimtrade", _closed(dims.build_dim_trade(trades, security, account)), "closed", True)
         built = {
             "factholdings": facts.build_fact_holdings(self.change_table("holdinghistory"), trade),
             "factcashbalances": facts.build_fact_cash_balances(store.read("stage_cash"), account),
             "factmarkethistory": facts.build_fact_market_history(
                 store.read("stage_market"), security, store.read("stage_eps")
             ),
-            "factwatches": facts.build_fact_watches(watches, security, customer),
         }
         for name, df in built.items():
             store.write(name, df, cluster_by=CLUSTER[name])
+        watched = facts.build_fact_watches(watches, security, customer)
+        store.write_split("factwatches", _removed(watched), "removed", True)
 
     def _stream_trades(self, stream: DataFrame, checkpoints: str) -> DataFrame:
         """Type 1 trades: creation and closing times are set by the rows that carry them."""
@@ -327,6 +331,8 @@ class Warehouse:
         shapes = WarehouseShapes(self).frames()
         for name in WAREHOUSE:
             self.store.write(name, shapes[name].limit(0))
+        self.store.write("dimtrade", _closed(shapes["dimtrade"]).limit(0))
+        self.store.write("factwatches", _removed(shapes["factwatches"]).limit(0))
 
     def log(self, rows: DataFrame) -> None:
         self.store.write("dimessages", rows, "append")

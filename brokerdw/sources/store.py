@@ -138,18 +138,29 @@ class TableStore:
         out.createOrReplaceTempView(name)
         return out
 
-    # -- type 2 tables ------------------------------------------------------
-    def write_scd2(self, name: str, df: DataFrame, flow: str = "", keep: Sequence[dict] = ()) -> DataFrame:
-        """Write a type 2 table once, split by ``iscurrent``, as a closed and a current part."""
-        part = self.write_part(name, df, partition_by=["iscurrent"])
-        split = [
-            {**part, "label": "closed", "only": "NOT iscurrent"},
-            {**part, "label": "current", "only": "iscurrent"},
-        ]
+    # -- tables with a final part -------------------------------------------
+    def write_split(
+        self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: Sequence[dict] = ()
+    ) -> DataFrame:
+        """Write a table once, split by a flag whose value ``final`` marks rows that never change.
+
+        Later loads replace the ``open`` part and only add to the ``final`` ones, so
+        their cost follows the open rows and not the history.
+        """
+        part = self.write_part(name, df, partition_by=[flag])
+        yes, no = ("final", "open") if final else ("open", "final")
+        split = [{**part, "label": yes, "only": flag}, {**part, "label": no, "only": f"NOT {flag}"}]
         self.commit(name, [*keep, *split], flow)
         return self.read(name)
 
+    def merge_split(self, name: str, rows: DataFrame, flag: str, final: bool, flow: str = "") -> DataFrame:
+        """Keep all final parts; ``rows`` are the new open rows and those that became final."""
+        keep = [p for p in self.parts(name) if p["label"] == "final"]
+        return self.write_split(name, rows, flag, final, flow, keep)
+
+    def write_scd2(self, name: str, df: DataFrame, flow: str = "") -> DataFrame:
+        """First load of a type 2 table; closed versions are final."""
+        return self.write_split(name, df, "iscurrent", False, flow)
+
     def merge_scd2(self, name: str, merged, flow: str = "") -> DataFrame:
-        """Keep all closed parts, add newly closed versions and replace the current ones."""
-        closed = [p for p in self.parts(name) if p["label"] == "closed"]
-        return self.write_scd2(name, merged.rows, flow, closed)
+        return self.merge_split(name, merged.rows, "iscurrent", False, flow)
