@@ -69,7 +69,7 @@ def _customer_xml() -> list[str]:
     new = 'C_TAX_ID="123-45-6789" C_GNDR="{g}" C_TIER="{t}" C_DOB="{b}"'
     return [
         '<?xml version="1.0" encoding="UTF-8"?>',
-        '<TPCDI:Actions xmlns:TPCDI="http://www.tpc.org/tpc-di">',
+        '<TPCDI:Actions xmlns:TPCDI="urn:actions">',
         _action(
             "NEW", "2007-07-01T10:00:00", 1, new.format(g="m", t=1, b="1950-05-05"),
             _person("Li", "Wei", "1 Road", "111") + _account(11),
