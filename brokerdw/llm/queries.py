@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, license, mixing, shards
+from brokerdw.llm import bpe, hnsw, license, mixing, shards, toxicity
 
+NEIGHBOURS = 10
 QUERIES = {}
 ORACLES = {}
 
@@ -87,3 +88,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sharding")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(read(spark, sf_dir, "documents"))
+
+
+@query("op10_hnsw")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    index = hnsw.build_index(vectors, copies=NEIGHBOURS + 1)
+    return hnsw.search(vectors.filter("vec_id % 100 = 0"), index, NEIGHBOURS)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id"), 4) == toxicity.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
