@@ -36,6 +36,8 @@ LEAST, ERRORS = 3, 4.5
 BEGINNINGS = (3, 4, 5)
 # Classifiers; steps, step size and weight decay of each.
 PARTS, STEPS, RATE, DECAY = 4, 240, 0.05, 1e-4
+# The loss of calling a text negative grows no further beyond this margin, so that sure positives don't outweigh the rest.
+CLIP = 3.0
 THRESHOLD = 0.3
 HELD_OUT = 2  # the remainder modulo 4 that labels are not learned from
 REMEMBERED = 200_000
@@ -81,12 +83,11 @@ def train(ids: list[np.ndarray], positive: np.ndarray, size: int, prior: float)
     chance = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for step in range(1, STEPS + 1):
         zp, zu = score(sides[True]), score(sides[False])
-        as_negative = prior * chance(zp) / len(zp)  # positives within the unlabelled text
-        risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        if risk >= 0:
-            gp, gu = -prior * chance(-zp) / len(zp) - as_negative, chance(zu) / len(zu)
-        else:  # an overfitted negative risk is taken back
-            gp, gu = as_negative, -chance(zu) / len(zu)
+        gp, gu = -prior * chance(-zp) / len(zp), np.zeros(len(zu))
+        bounded = lambda z: np.logaddexp(0, np.minimum(z, CLIP)).mean()
+        if bounded(zu) > prior * bounded(zp):  # the corrected risk counts only while above zero
+            gp -= prior * chance(zp) * (zp < CLIP) / len(zp)
+            gu = chance(zu) * (zu < CLIP) / len(zu)
         g = DECAY * w
         g[-1] = 0
         for x, gx in ((sides[True], gp), (sides[False], gu)):
