@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BEFORE = "_before"
+BEFORE, WHOLE = "_before", "_whole"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -46,7 +48,7 @@ def group_key(column: str) -> Column:
 def sums_before(
     df: DataFrame, group: Sequence[str], cell: str, order: Sequence[Column | str], value: str
 ) -> DataFrame:
-    """Add ``_before``: the sum of ``value`` over the rows of the group that come earlier.
+    """Add ``_before``, the sum of ``value`` over the group's earlier rows, and ``_whole``, over all of them.
 
     ``cell`` is a column that grows with the order and cuts a group into a bounded number
     of parts: rows are summed per (group, cell), the sums of earlier cells are added. No
@@ -54,8 +56,30 @@ def sums_before(
     """
     sums = df.groupBy(*group, cell).agg(F.sum(value).alias("_cell_sum"))
     earlier = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*group, cell, F.coalesce(F.sum("_cell_sum").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = sums.select(
+        *group,
+        cell,
+        F.coalesce(F.sum("_cell_sum").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_cell_sum").over(Window.partitionBy(*group)).alias(WHOLE),
+    )
     inside = Window.partitionBy(*group, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = df.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     joined = local.join(offsets, [*group, cell])
     return joined.withColumn(BEFORE, F.col("_offset") + F.col("_local")).drop("_offset", "_local")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, as ``spark-submit --py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="brokerdw-code-")) / "brokerdw.zip"  # read by the driver alone
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
+_SHIPPED: set[str] = set()

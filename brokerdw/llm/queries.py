@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, hnsw, license, mixing, shards, toxicity
+from brokerdw.llm import bpe, hnsw, katz, license, mixing, nearcopies, shards, toxicity
+from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
 QUERIES = {}
@@ -15,7 +16,11 @@ ORACLES = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return fn
@@ -107,3 +112,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op2_katz")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(read(spark, sf_dir, "documents"))
+
+
+@query("op4_near_copies")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearcopies.cluster(read(spark, sf_dir, "documents"), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

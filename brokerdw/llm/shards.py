@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brokerdw.llm.common import BEFORE, group_key, sums_before
+from brokerdw.llm.common import BEFORE, WHOLE, group_key, sums_before
 
 SHARDS = 16
 SEED = "shard-1"
@@ -35,15 +35,11 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> Da
     ).withColumn("_cell", F.substring("_key", 1, 3))
     ties = ["_key", "text_crc32", "size"]
     ranked = sums_before(rows, ["_g"], "_cell", ties, "_one").drop("_cell")
-    counts = rows.groupBy("_g").agg(F.count("*").alias("_rows"))
-    part = (F.col(BEFORE) + 0.5) / F.col("_rows")
-    spread = ranked.join(counts, "_g").withColumn("_part", part).drop(BEFORE)
+    spread = ranked.withColumn("_part", (F.col(BEFORE) + 0.5) / F.col(WHOLE)).drop(BEFORE, WHOLE)
     spread = spread.withColumn("_cell", F.floor(F.col("_part") * CELLS).cast("int")).withColumn("_all", F.lit(0))
     placed = sums_before(spread, ["_all"], "_cell", ["_part", "_g", *ties], "_one")
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    placed = placed.join(F.broadcast(total))  # one row
-    exact = placed.withColumn("shard", F.expr(f"cast({BEFORE} * {shards} div _total as int)"))
-    start = F.expr(f"(shard * _total + {shards} - 1) div {shards}")
+    exact = placed.withColumn("shard", F.expr(f"cast({BEFORE} * {shards} div {WHOLE} as int)"))
+    start = F.expr(f"(shard * {WHOLE} + {shards} - 1) div {shards}")
     return exact.select(
         "doc_id",
         "size",
