@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, hnsw, katz, license, mixing, nearcopies, shards, toxicity
+from brokerdw.llm import bpe, hnsw, katz, license, lines, mixing, nearcopies, shards, toxicity
 from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
@@ -123,3 +123,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = nearcopies.cluster(read(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    removed = lines.repeated_lines(docs).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_t"), "removed")
+    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    sized = docs.select("doc_id", F.xxhash64("text").alias("tie"), count.alias("n_lines"))
+    joined = sized.join(removed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_t")), "left")
+    return joined.select(
+        "doc_id",
+        "n_lines",
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed"),
+    )
