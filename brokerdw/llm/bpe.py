@@ -6,7 +6,7 @@ cuts; the fragments between them are encoded on their own and concatenated. Whit
 stands in no token, so documents are cut there first; inside a word the pair table cuts
 further. Only the last fragment of a word carries the word end mark.
 
-Fragments are remembered in a table of bounded size per task. Nulls and empty texts have
+Fragments are remembered in tables of bounded size. Nulls and empty texts have
 no tokens; an empty table gives no rows; extra columns are not read.
 """
 
@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +25,30 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-# Fragments remembered per task; the table starts afresh when full.
-REMEMBERED = 200_000
+# Words, and runs without white space, remembered per Python worker (twice as many at most).
+REMEMBERED = 150_000
+# Letters whose words need no normalization beyond lower case: a-z and those of Latin-1.
+PLAIN = [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]
 ROWS_PER_BATCH = 512
 
 
+class Memory(dict):
+    """What ``make`` returns per key, for the keys met last: two generations of bounded size."""
+
+    def __init__(self, make: Callable, size: int = REMEMBERED):
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of a text, equal to the library's for the same vocabulary file."""
 
@@ -45,48 +67,39 @@ class Encoder:
         self.special = {t["content"]: np.array([t["id"]], np.int32).tobytes() for t in data["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.special_at = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.seen: dict[bytes, bytes] = {}
-        self.fragments: dict[tuple[str, bool], list[int]] = {}
+        probe = "".join(map(chr, PLAIN))
+        letters = self.words(probe)
+        # How the vocabulary writes the bytes of letters; letters that the normalizer changes are left out.
+        self.letter = {c: w for c in probe for w, _ in self.words(c)} if len(letters) == 1 else {}
+        self.letter = str.maketrans({c: w for c, w in self.letter.items() if self.normalize(c) == c})
+        self.words_seen = Memory(self.word)
+        self.chunks = Memory(self.run)
 
     def cut(self, word: str) -> list[str]:
         """Fragments of a word between byte pairs that are inside no token."""
-        out, start, inside = [], 0, self.inside
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in inside:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
-
-    def fragment(self, text: str, last: bool) -> list[int]:
-        key = (text, last)
-        if key not in self.fragments:
-            if len(self.fragments) >= REMEMBERED:
-                self.fragments.clear()
-            self.fragments[key] = [t.id for t in (self.ending if last else self.inner).tokenize(text)]
-        return self.fragments[key]
+        inside = self.inside
+        cuts = [i + 1 for i, pair in enumerate(map(add, word, word[1:])) if pair not in inside]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word, fragment by fragment; only the last one carries the end mark."""
+        *first, last = self.cut(word)
+        ids = [t.id for part in first for t in self.inner.tokenize(part)]
+        ids += [t.id for t in self.ending.tokenize(last)]
+        return array("i", ids).tobytes()
 
     def run(self, chunk: bytes) -> bytes:
         """Ids of a run without white space, as 32-bit integers."""
-        ids: list[int] = []
-        for word, _ in self.words(self.normalize(chunk.decode("utf-8"))):
-            cuts = self.cut(word)
-            for part in cuts[:-1]:
-                ids += self.fragment(part, False)
-            ids += self.fragment(cuts[-1], True)
-        return np.array(ids, np.int32).tobytes()
+        text = chunk.decode("utf-8")
+        core = text.rstrip(".,")
+        plain = core.lower()
+        if core.isalpha() and all(ord(c) in self.letter for c in set(plain)):
+            ids = self.words_seen[plain.translate(self.letter)]
+            return ids + self.words_seen[text[len(core) :]] if len(core) < len(text) else ids
+        return b"".join([self.words_seen[w] for w, _ in self.words(self.normalize(text))])
 
     def plain(self, text: str) -> bytes:
-        seen, out = self.seen, []
-        for chunk in text.encode("utf-8").split():
-            ids = seen.get(chunk)
-            if ids is None:
-                ids = self.run(chunk)
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.chunks.__getitem__, text.encode("utf-8").split()))
 
     def encode(self, text: str) -> bytes:
         if self.special_at is None or not self.special_at.search(text):
@@ -95,17 +108,23 @@ class Encoder:
         return b"".join(self.special[p] if p in self.special else self.plain(p) for p in parts)
 
 
+@lru_cache(maxsize=2)
+def encoder(spec: str) -> Encoder:
+    """Kept by a Python worker from task to task, so that fragments are encoded once."""
+    return Encoder(spec)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Per row: doc_id, ids (array of int). ``path``: a tokenizer file the driver can read."""
     with open(path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file: a fixed size
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(spec.value)
+        own = encoder(spec.value)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(start, ROWS_PER_BATCH)
-                packed = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
+                packed = [own.encode(t or "") for t in part.column(1).to_pylist()]
                 ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
