@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, hnsw, katz, license, lines, mixing, nearcopies, shards, toxicity
+from brokerdw.llm import bpe, fingerprints, hnsw, katz, license, lines, mixing, nearcopies, shards, toxicity
 from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
@@ -138,3 +138,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed"),
     )
+
+
+@query("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.shown(F.col("sketch")).alias("fingerprint"),
+        fingerprints.shown(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
