@@ -180,36 +180,50 @@ def fit(
     return Model({f: float(mean[i]) for f, i in vocabulary.items()}, float(mean[-1]))
 
 
+class Scorer:
+    """Scores of texts; the features of the words met last are remembered."""
+
+    def __init__(self, model: Model):
+        self.model, self.hits = model, {}
+
+    def __call__(self, text: str | None) -> float:
+        if not self.model.known:
+            return 0.0
+        weights, hits = self.model.weights, self.hits
+        found: set[str] = set()
+        for w in set(WORDS.findall((text or "").lower())):
+            own = hits.get(w)
+            if own is None:
+                if len(hits) >= REMEMBERED:
+                    hits.clear()
+                own = hits[w] = tuple(f for f in features(w) if f in weights)
+            if own:
+                found.update(own)
+        z = self.model.bias + sum(weights[f] for f in sorted(found))
+        return 1 / (1 + math.exp(-max(-500.0, z)))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, score (0 to 1)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.weights
-        known: dict[str, tuple[str, ...]] = {}
+        scorer = Scorer(model)
         for batch in batches:
-            out = []
-            for value in batch.column(1):
-                found: set[str] = set()
-                for w in set(WORDS.findall((value.as_py() or "").lower())):
-                    hits = known.get(w)
-                    if hits is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        hits = known[w] = tuple(f for f in features(w) if f in weights)
-                    if hits:
-                        found.update(hits)
-                z = model.bias + sum(weights[f] for f in sorted(found))
-                out.append(1 / (1 + math.exp(-max(-500.0, z))) if model.known else 0.0)
+            out = [scorer(v.as_py()) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(task, f"doc_id {kind}, score double")
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that the classifier doesn't call toxic, with all columns."""
+    """The rows that the classifier doesn't call toxic, with all columns; no row is shuffled."""
     model = fit(docs, labels)
-    keyed = docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("doc_id"), "text")
-    # Equal texts have equal scores, so a text's hash stands for its decision.
-    toxic = score(keyed, model).filter(F.col("score") >= threshold).select("doc_id").distinct()
-    return keyed.join(toxic, "doc_id", "left_anti").select("_row.*")
+    at = docs.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array([scorer(v.as_py()) < threshold for v in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)
