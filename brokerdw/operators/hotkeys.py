@@ -12,23 +12,22 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key with more rows than this is cut into cells.
+from brokerdw.session import scratch_dir
+
+# A key with more rows than one task should sort is cut into cells.
 HOT_ROWS = 2_000_000
-# A key with more validity intervals than this is cut into cells in interval joins.
+# A key with more validity intervals than one row should be compared with is cut in interval joins.
 HOT_VERSIONS = 1_000
-# By the pigeonhole principle at most MAX_HOT keys can each hold more than
-# 1/MAX_HOT of the rows, so this many marks always cover every dominating key and
-# the mark table stays small enough to broadcast whatever the data size.
-MAX_HOT = 1_000
-# Upper limit of cells per key.
-MAX_CELLS = 4_096
-
-# Inputs estimated below this many bytes (as stored) are sorted by one task in any case.
-SMALL_BYTES = 32 * 1024 * 1024
+# Cells per ``limit`` rows of a key, and sampled rows per cell that fix the cuts.
+CELLS, SAMPLES = 4, 32
+# Cuts are kept in groups of this many, so that a row is compared with two short lists.
+GROUP = 64
+# A mark list of at most this many keys is broadcast; a longer one is joined like any table.
+BROADCAST_MARKS = 1_000
 
 CELL = "_cell"
 FIRST_CELL = "_first_cell"
@@ -37,27 +36,27 @@ BLOCK, HALO = "_block", "_halo"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The dominating keys of a frame with the range of their ordering column."""
+    """The keys with many rows, each with the places in its order where it is cut.
+
+    ``marks`` has a row per key: ``_k0.., _cuts`` (groups of cut points, ascending).
+    """
 
     keys: tuple[str, ...]
-    schema: T.StructType
-    rows: tuple[Row, ...]
+    marks: DataFrame | None
+    count: int = 0
+    has_null: bool = False  # a null key is hot itself, so joins on the keys must be null-safe
+    width: int = 1  # leading columns of the order that the cuts compare
 
     def __bool__(self) -> bool:
-        return bool(self.rows)
+        return self.count > 0
 
-    @property
-    def has_null(self) -> bool:
-        """A null key is itself dominating, so joins on the keys must be null-safe."""
-        return any(value is None for row in self.rows for value in row[: len(self.keys)])
-
-    def marks(self, df: DataFrame) -> DataFrame:
-        """At most ``MAX_HOT`` rows: ``_k0.. , _lo, _width, _cells``."""
-        return df.sparkSession.createDataFrame(list(self.rows), self.schema)
+    def on(self, keys: Sequence[str]) -> HotKeys:
+        """The same marks for a frame whose key columns are named ``keys``."""
+        return HotKeys(tuple(keys), self.marks, self.count, self.has_null, self.width)
 
 
 # For inputs whose rows per key are bounded by construction (one row per key and day).
-NO_HOT = HotKeys((), T.StructType([]), ())
+NO_HOT = HotKeys((), None)
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
@@ -77,75 +76,93 @@ def _conf_rows(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
-def fits_one_task(*frames: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    """Whether Spark estimates every frame below ``limit`` bytes, so that no key can dominate.
+def hot_window_keys(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> HotKeys:
+    """Keys of a window input with more rows than one task should sort.
 
-    The estimate follows from file sizes and grows with every join, so it errs
-    towards probing. Where a session does not offer it, nothing counts as small.
+    The row limit can be set per session with ``brokerdw.hotRows``.
     """
-    try:
-        sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames]
-    except (AttributeError, TypeError):
-        return False
-    return all(size <= limit for size in sizes)
+    return find_hot_keys(df, keys, order_by, _conf_rows(df, "brokerdw.hotRows", HOT_ROWS))
 
 
-def hot_window_keys(df: DataFrame, keys: Sequence[str], order: str) -> HotKeys:
-    """Dominating keys of a window input; none if the whole input fits one task.
+def _place(order_by: Sequence[str]) -> Column:
+    """A row's place in the order as one value; nulls come first, as in an ascending sort."""
+    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
 
-    The row limit can be set per session with ``brokerdw.hotRows``.
+
+def find_hot_keys(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], limit: int) -> HotKeys:
+    """Count rows per key (combined map-side) and cut those with more than ``limit``.
+
+    The count reads the key columns only. The cuts are quantiles of the whole order, from
+    a sample of the hot keys' rows chosen by hash, so a burst of rows on one day is cut by
+    the columns that break the tie. There is no limit to the number of hot keys or cells.
     """
-    configured = df.sparkSession.conf.get("brokerdw.hotRows", None)
-    if configured is None and fits_one_task(df):
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    names = [f"_k{i}" for i in range(len(keys))]
+    keyed = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], _place(order_by).alias("_place"))
+    counts = keyed.groupBy(*names).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+    path = scratch_dir(df.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
+    nulls = F.coalesce(F.max(F.greatest(*[F.col(n).isNull() for n in [*names, names[0]]])), F.lit(False))
+    size = counts.agg(F.count("*").alias("n"), nulls.alias("null")).first()
+    if not size["n"]:
         return NO_HOT
-    return find_hot_keys(df, keys, order, int(configured or HOT_ROWS))
+    rate = min(1.0, CELLS * SAMPLES / limit)
+    drawn = F.pmod(F.xxhash64("_place", F.lit(17)), F.lit(1 << 30)) < int(rate * (1 << 30))
+    few = _broadcast(counts.select(*names), size["n"])
+    sample = _null_safe(keyed.filter(drawn | F.lit(rate >= 1)), few, names, "left_semi")
+    every = SAMPLES if rate < 1 else max(1, limit // CELLS)
+    chosen = F.filter("_all", lambda x, i: (i % every == 0) & (i > 0))
+    groups = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("_some") - 1, F.lit(0)), F.lit(GROUP)),
+        lambda i: F.slice("_some", i + 1, F.lit(GROUP)),
+    )
+    marks = (
+        sample.groupBy(*names)
+        .agg(F.sort_array(F.collect_list("_place")).alias("_all"))
+        .withColumn("_some", chosen)
+        .withColumn("_cuts", groups)
+        .select(*names, "_cuts")
+    )
+    path = scratch_dir(df.sparkSession, "hot-marks")
+    marks.write.parquet(path)
+    marks = df.sparkSession.read.schema(marks.schema).parquet(path)
+    return HotKeys(tuple(keys), marks, size["n"], bool(size["null"]), len(order_by))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> HotKeys:
-    """Count rows per key (combined map-side) and return those with more than ``limit``.
+def _broadcast(marks: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(marks) if count <= BROADCAST_MARKS else marks
 
-    Reads only the key and ordering columns; the result has at most ``MAX_HOT`` rows.
-    """
-    fields = [
-        T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)
-    ] + [T.StructField(n, T.LongType()) for n in ("_lo", "_width", "_cells")]
-    cells = F.least(F.lit(MAX_CELLS), 4 * F.ceil(F.col("_n") / F.lit(limit))).cast("long")
-    span = F.col("_hi") - F.col("_lo") + 1
-    found = (
-        df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], ordinal(df, order).alias("_o"))
-        .groupBy(*[f"_k{i}" for i in range(len(keys))])
-        .agg(F.count("*").alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-        .filter((F.col("_n") > limit) & F.col("_lo").isNotNull())
-        .orderBy(F.col("_n").desc())
-        .limit(MAX_HOT)
-        .withColumn("_cells", cells)
-        .withColumn("_width", F.ceil(span / F.col("_cells")).cast("long"))
-        .select(*[f.name for f in fields])
-    )
-    return HotKeys(tuple(keys), T.StructType(fields), tuple(found.collect()))
+
+def _null_safe(df: DataFrame, other: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    right = other
+    on = F.lit(True)
+    for n in names:
+        right = right.withColumnRenamed(n, f"_r{n}")
+        on = on & F.col(n).eqNullSafe(F.col(f"_r{n}"))
+    return df.join(right, on, how)
 
 
-def _cell_of(value: Column) -> Column:
-    """Cell number 1.._cells, clamped at both ends of the marked range."""
-    raw = 1 + F.floor((value - F.col("_lo")) / F.col("_width"))
-    return F.greatest(F.lit(1), F.least(F.col("_cells"), raw)).cast("long")
+def _cell_of(place: Column) -> Column:
+    """Cell number from 1: one more than the number of cuts at or before ``place``."""
+    group = F.size(F.filter("_cuts", lambda g: F.get(g, F.lit(0)) <= place))
+    inside = F.size(F.filter(F.get("_cuts", F.greatest(group - 1, F.lit(0))), lambda c: c <= place))
+    return (1 + F.greatest(group - 1, F.lit(0)) * GROUP + F.greatest(inside, F.lit(0))).cast("long")
 
 
 def _with_marks(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
-    marks = F.broadcast(hot.marks(df))  # at most MAX_HOT rows
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     on = same[0]
     for more in same[1:]:
         on = on & more
-    return df.join(marks, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return df.join(_broadcast(hot.marks, hot.count), on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
-def with_cells(df: DataFrame, keys: Sequence[str], order: str, hot: HotKeys) -> DataFrame:
-    """Add ``_cell``: 0 for ordinary keys, the position along ``order`` for hot ones."""
-    cell = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(
-        F.coalesce(_cell_of(ordinal(df, order)), F.lit(1))
-    )
-    return _with_marks(df, keys, hot).withColumn(CELL, cell.cast("long")).drop("_lo", "_width", "_cells")
+def with_cells(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], hot: HotKeys) -> DataFrame:
+    """Add ``_cell``: 0 for ordinary keys, for hot ones a number that grows along the order."""
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    cell = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_cell_of(_place(order_by[: hot.width])))
+    return _with_marks(df, keys, hot).withColumn(CELL, cell.cast("long")).drop("_cuts")
 
 
 def _join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
@@ -173,13 +190,13 @@ def carry_last(
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Replace each of ``cols`` by its last non-null value up to the row."""
-    hot = hot_window_keys(df, keys, order_by[0]) if hot is None else hot
+    hot = hot_window_keys(df, keys, order_by) if hot is None else hot
     so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not hot:
         w = so_far(Window.partitionBy(*keys).orderBy(*order_by))
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
-    celled = with_cells(df, keys, order_by[0], hot)
+    celled = with_cells(df, keys, order_by, hot)
     rank = F.struct(*order_by)
     tails = (
         celled.filter(F.col(CELL) > 0)
@@ -201,7 +218,7 @@ def row_positions(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], hot: HotKeys, name: str = "_pos"
 ) -> DataFrame:
     """Row number per key (from 1), hot keys numbered cell by cell plus an offset."""
-    celled = with_cells(df, keys, order_by[0], hot)
+    celled = with_cells(df, keys, order_by, hot)
     counts = celled.filter(F.col(CELL) > 0).groupBy(*keys, CELL).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, CELL, F.sum("_n").over(before).alias("_off"))
@@ -229,7 +246,7 @@ def bounded_window(
     A hot key is cut into blocks of consecutive rows; each block also receives
     copies of the neighbour rows its frames reach, which are dropped afterwards.
     """
-    hot = hot_window_keys(df, keys, order_by[0]) if hot is None else hot
+    hot = hot_window_keys(df, keys, order_by) if hot is None else hot
     if not hot:
         w = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumns({name: make(w) for name, make in exprs.items()})
@@ -279,11 +296,12 @@ def interval_cells(
     (intervals + cells) copies. ``_first_cell`` is the cell of the interval's start.
     """
     marked = _with_marks(df, keys, hot)
-    cold = F.col("_lo").isNull()
-    first = F.when(cold, F.lit(0)).otherwise(_cell_of(ordinal(df, start))).cast("long")
-    last = F.when(cold, F.lit(0)).otherwise(_cell_of(ordinal(df, end))).cast("long")
+    cold = F.col("_cuts").isNull()
+    first = F.when(cold, F.lit(0)).otherwise(_cell_of(_place([start]))).cast("long")
+    last = F.when(cold, F.lit(0)).otherwise(_cell_of(_place([end]))).cast("long")
     return (
         marked.withColumn(FIRST_CELL, first)
-        .withColumn(CELL, F.explode(F.sequence(first, last)))
-        .drop("_lo", "_width", "_cells")
+        .withColumn("_last_cell", last)
+        .withColumn(CELL, F.explode(F.sequence(F.col(FIRST_CELL), F.greatest(FIRST_CELL, "_last_cell"))))
+        .drop("_cuts", "_last_cell")
     )

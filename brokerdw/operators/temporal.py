@@ -12,12 +12,10 @@ from brokerdw.operators.hotkeys import (
     CELL,
     FIRST_CELL,
     HOT_VERSIONS,
-    NO_HOT,
     HotKeys,
     bounded_window,
     carry_last,
     find_hot_keys,
-    fits_one_task,
     interval_cells,
     with_cells,
 )
@@ -29,21 +27,13 @@ def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-# Two sides estimated below this many bytes are compared directly, whatever their keys.
-SMALL_JOIN_BYTES = 8 * 1024 * 1024
-
-
-def _many_versions(
-    versions: DataFrame, keys: Sequence[str], sides: Sequence[DataFrame]
-) -> HotKeys:
+def _many_versions(versions: DataFrame, keys: Sequence[str]) -> HotKeys:
     """Keys with more validity intervals than one row should be compared with.
 
     The limit can be set per session with ``brokerdw.hotVersions``.
     """
-    configured = versions.sparkSession.conf.get("brokerdw.hotVersions", None)
-    if configured is None and fits_one_task(*sides, limit=SMALL_JOIN_BYTES):
-        return NO_HOT
-    return find_hot_keys(versions, keys, START, int(configured or HOT_VERSIONS))
+    limit = versions.sparkSession.conf.get("brokerdw.hotVersions", None)
+    return find_hot_keys(versions, keys, START, int(limit or HOT_VERSIONS))
 
 
 def forward_fill(
@@ -132,11 +122,10 @@ def pit_join(
     wanted = list(dict.fromkeys([*dim_keys, START, END, *keep]))
     right = dim.select(*wanted)
     if hot is None:
-        hot = _many_versions(dim, dim_keys, [fact, dim])
+        hot = _many_versions(dim, dim_keys)
     day = fact.withColumn("_day", F.to_date(ts))
     if hot:
-        fact_hot = HotKeys(tuple(fact_keys), hot.schema, hot.rows)
-        day = with_cells(day, fact_keys, "_day", fact_hot)
+        day = with_cells(day, fact_keys, "_day", hot.on(fact_keys))
         right = interval_cells(right, dim_keys, START, END, hot)
     right = _prefixed(right, "_d_")
     cond = (F.col("_day") >= F.col(f"_d_{START}")) & (F.col("_day") < F.col(f"_d_{END}"))
@@ -188,12 +177,12 @@ def interval_join(
     ]
     if hot is None:
         both = left.select(*left_keys, START).union(right.select(*right_keys, START))
-        hot = _many_versions(both, left_keys, [left, right])
+        hot = _many_versions(both, left_keys)
     lhs = left.filter(F.col(START) < F.col(END))
     rhs = right.select(*dict.fromkeys([*right_keys, START, END, *keep]))
     if hot:
         lhs = interval_cells(lhs, left_keys, START, END, hot)
-        rhs = interval_cells(rhs, right_keys, START, END, HotKeys(tuple(right_keys), hot.schema, hot.rows))
+        rhs = interval_cells(rhs, right_keys, START, END, hot.on(right_keys))
     rhs = _prefixed(rhs, "_r_")
     cond = (F.col(START) < F.col(f"_r_{END}")) & (F.col(END) > F.col(f"_r_{START}"))
     for a, b in pairs:
@@ -211,9 +200,11 @@ def interval_join(
         joined = lhs.join(rhs, cond, "inner").filter(F.col(CELL) == first_cell)
     pieces = joined.select(*out_cols, start.alias(START), end.alias(END))
     if hot and how == "left":
-        # The start day identifies a version within its key.
-        matched = joined.select(*left_keys, START).distinct()
-        alone = left.filter(F.col(START) < F.col(END)).join(matched, [*left_keys, START], "left_anti")
+        # Equal rows meet the same partners, so a row's whole content tells whether it met any.
+        mark = [F.xxhash64(*left.columns), F.xxhash64(F.lit(1), *left.columns)]
+        matched = joined.select(*[m.alias(f"_h{i}") for i, m in enumerate(mark)]).distinct()
+        kept = left.filter(F.col(START) < F.col(END)).withColumns({f"_h{i}": m for i, m in enumerate(mark)})
+        alone = kept.join(matched, ["_h0", "_h1"], "left_anti")
         blank = {f.name: f.dataType for f in right.schema.fields}
         pieces = pieces.unionByName(
             alone.select(*others, *[F.lit(None).cast(blank[c]).alias(c) for c in keep], START, END)
