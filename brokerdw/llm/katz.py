@@ -39,7 +39,7 @@ ORDER = 2
 CUT = 5
 KEY_BITS = 56
 # Tokens after which a chunk is closed, and tokens per part of the count tables.
-CHUNK_TOKENS, PART_TOKENS = 3_000_000, 2_500_000
+CHUNK_TOKENS, PART_TOKENS = 1_500_000, 1_500_000
 END, BEGIN = b"\n", b" "  # no words
 PARTS_OF, HELD_OUT = 7, 2
 
@@ -132,33 +132,28 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 
 class Chunk:
-    """A chunk's n-grams: per order the distinct keys, and for every token the place of its n-gram."""
+    """A chunk's texts: for every token its word, its text and its place in it."""
 
-    def __init__(self, lengths: bytes, train: bytes, words: bytes, tokens: bytes, order: int):
+    def __init__(self, lengths: bytes, train: bytes, words: bytes, tokens: bytes):
         self.lengths = unpack(lengths, np.uint32).astype(np.int64)
         self.train = unpack(train, np.uint8).astype(bool)
-        word = unpack(words, np.uint64)[unpack(tokens, np.uint32)]
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.word = unpack(words, np.uint64)[unpack(tokens, np.uint32)]
+        self.doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
         starts = np.cumsum(self.lengths) - self.lengths
-        self.place = np.arange(len(word)) - starts[self.doc]
-        self.order = order
-        self.in_training = self.train[self.doc]
+        self.place = (np.arange(len(self.word)) - starts[self.doc]).astype(np.int32)
+
+    def grams(self, k: int) -> np.ndarray:
+        """The key of the n-gram of order k that ends at each token."""
         begin = np.uint64(xxhash.xxh3_64_intdigest(BEGIN))
-        self.token_keys, self.keys, self.first, self.at = [], [], [], []
-        for k in range(1, order + 1):
-            g = np.full(len(word), k, np.uint64)
-            for back in range(k - 1, -1, -1):
-                g ^= np.where(self.place >= back, np.roll(word, back), begin) if back else word
-                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-                    g ^= g >> np.uint64(shift)
-                    g *= np.uint64(factor)
-                g ^= g >> np.uint64(31)
-            g >>= np.uint64(64 - KEY_BITS)
-            keys, first, at = np.unique(g, return_index=True, return_inverse=True)
-            self.token_keys.append(g)
-            self.keys.append(keys)
-            self.first.append(first)
-            self.at.append(at.astype(np.int32))
+        g = np.full(len(self.word), k, np.uint64)
+        for back in range(k - 1, -1, -1):
+            g ^= np.where(self.place >= back, np.roll(self.word, back), begin) if back else self.word
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                g ^= g >> np.uint64(shift)
+                g *= np.uint64(factor)
+            g ^= g >> np.uint64(31)
+        g >>= np.uint64(64 - KEY_BITS)
+        return g
 
 
 def part_bounds(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -172,13 +167,15 @@ def asks(table: DataFrame, order: int, parts: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row["lengths"], row["train"], row["words"], row["tokens"], order)
-                for k in range(order):
-                    counts = np.bincount(c.at[k], c.in_training, len(c.keys[k])).astype(np.uint32)
-                    bounds = part_bounds(c.keys[k], parts)
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                c = Chunk(row["lengths"], row["train"], row["words"], row["tokens"])
+                for k in range(1, order + 1):
+                    keys, at = np.unique(c.grams(k), return_inverse=True)
+                    counts = np.bincount(at, c.train[c.doc], len(keys)).astype(np.uint32)
+                    bounds = part_bounds(keys, parts)
                     out = [
-                        (k + 1, p, row["chunk"], pack_sorted(c.keys[k][a:b]), pack(counts[a:b]))
+                        (k, p, row["chunk"], pack_sorted(keys[a:b]), pack(counts[a:b]))
                         for p, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))
                         if b > a
                     ]
@@ -246,8 +243,13 @@ class Model:
 
 def score_chunk(c: Chunk, answers: list[np.ndarray], m: Model, parts: int) -> tuple[dict[str, np.ndarray], list, list]:
     """Per document what is known without backoff weights; each context's sums; the weights asked for."""
-    count = [(a >> np.uint64(1)).astype(np.int64) for a in answers]
-    here = [count[k][c.at[k]] for k in range(m.order)]  # of the n-gram that ends at each token
+    grams = [c.grams(k) for k in range(1, m.order + 1)]
+    here, owned = [], []  # the count of the n-gram that ends at each token; tokens that stand for n-grams owned here
+    for g, a in zip(grams, answers, strict=True):
+        _, at, back = np.unique(g, return_index=True, return_inverse=True)
+        here.append((a >> np.uint64(1)).astype(np.int64)[back])
+        owned.append(at[((a & np.uint64(1)) == 1) & (a > 1)])
+    del back
     first = c.place == 0
     context = [np.full(len(first), m.tokens)]
     for k in range(1, m.order):
@@ -265,11 +267,10 @@ def score_chunk(c: Chunk, answers: list[np.ndarray], m: Model, parts: int) -> tu
         weights = [w & (here[k] == 0) for w in weights] + [backs]
     begin = (1 << KEY_BITS) - 1  # key of the empty context before a text, the same in every order
     for k in range(1, m.order):
-        keys = np.where(first, np.uint64(begin), np.roll(c.token_keys[k - 1], 1))
-        owned = c.first[k][((answers[k] & np.uint64(1)) == 1) & (count[k] > 0)]
-        names, at = np.unique(keys[owned], return_inverse=True)
-        a = np.bincount(at, p[k][owned], len(names))
-        b = np.bincount(at, p[k - 1][owned], len(names))
+        keys = np.where(first, np.uint64(begin), np.roll(grams[k - 1], 1))
+        names, at = np.unique(keys[owned[k]], return_inverse=True)
+        a = np.bincount(at, p[k][owned[k]], len(names))
+        b = np.bincount(at, p[k - 1][owned[k]], len(names))
         bounds = part_bounds(names, parts)
         for i, (x, y) in enumerate(zip(bounds, bounds[1:], strict=False)):
             if y > x:
@@ -335,7 +336,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def one(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
-        c = Chunk(row["lengths"], row["train"], row["words"], row["tokens"], order)
+        c = Chunk(row["lengths"], row["train"], row["words"], row["tokens"])
         answers = answers.sort_values(["ord", "part"])
         replies = [
             np.concatenate([unpack(b, np.uint64) for b in answers["counts"][answers["ord"] == k]]) for k in range(1, order + 1)
