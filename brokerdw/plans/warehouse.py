@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,13 +50,17 @@ class Warehouse:
     store: TableStore
 
     # -- raw relations ------------------------------------------------------
-    def raw_table(self, name: str) -> DataFrame:
+    def raw_table(self, name: str, batches: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a file in the folders of ``batches`` (all that are there)."""
         spec = next(s for s in scans.RAW_TABLES if s.name == name)
-        return scans.ingest(self.spark, self.raw, [spec])[name]
+        return scans.ingest(self.spark, self.raw, [spec], batches)[name]
 
-    def change_table(self, name: str, keep_cdc: bool = False) -> DataFrame:
+    def change_table(self, name: str, batches: Sequence[int] | None = None, keep_cdc: bool = False) -> DataFrame:
         spec = next(s for s in scans.CHANGE_TABLES if s.name == name)
-        return scans.scan_all_batches(self.spark, self.raw, spec, keep_cdc=keep_cdc)
+        return scans.scan_all_batches(self.spark, self.raw, spec, batches, keep_cdc)
+
+    def last_batch(self) -> int:
+        return self.store.read("batchdate").agg(F.max("batchid")).first()[0]
 
     def finwire(self) -> DataFrame:
         return self.store.read("stage_finwire")
@@ -65,22 +69,47 @@ class Warehouse:
         return {name: self.store.read(name) for name in WAREHOUSE}
 
     # -- stages -------------------------------------------------------------
-    def load_reference(self) -> None:
+    def load_reference(self, batches: Sequence[int] | None = None) -> None:
         for name in REFERENCE:
-            self.store.write(name, self.raw_table(name))
+            self.store.write(name, self.raw_table(name, batches))
 
-    def load_stages(self) -> None:
-        """Everything derived from raw files of all batches at once."""
+    def load_stages(self, batches: Sequence[int] | None = None) -> None:
+        """Everything derived from the raw files of ``batches`` (all that are there)."""
         s, store = self.spark, self.store
         wire = scans.scan_finwire(s, f"{self.raw}/Batch1/FINWIRE[0-9][0-9][0-9][0-9]Q[1-4]")
         store.write("stage_finwire", wire, partition_by=["rectype"])
+        scans.check_xml(s, f"{self.raw}/Batch1", schemas.XML_ROW_TAG, "CustomerMgmt.xml")
         actions = scans.scan_xml(
             s, f"{self.raw}/Batch1", schemas.XML_ROW_TAG, schemas.CUSTOMER_MGMT, "CustomerMgmt.xml"
         )
         store.write("stage_customermgmt", stages.customer_mgmt(actions), partition_by=["actiontype"])
-        store.write("stage_prospect", stages.prospect_stage(self.raw_table("prospect")))
-        store.write("stage_market", stages.daily_market_stage(self.change_table("dailymarket")), partition_by=["batchid"])
-        store.write("stage_cash", stages.cash_stage(self.change_table("cashtransaction")), partition_by=["batchid"])
+        store.write("stage_prospect", stages.prospect_stage(self.raw_table("prospect", batches)))
+        for name, build in self._daily(batches).items():
+            store.write(name, build, partition_by=["batchid"])
+
+    def _daily(self, batches: Sequence[int] | None) -> dict[str, DataFrame]:
+        """Quotes with the extremes of the year before, and balances; the quotes are read from their stored form."""
+        raw = self.store.write("stage_quotes", self.change_table("dailymarket", batches))
+        return {
+            "stage_market": stages.daily_market_stage(raw),
+            "stage_cash": stages.cash_stage(self.change_table("cashtransaction", batches)),
+        }
+
+    def load_batch_stages(self, n: int) -> None:
+        """The stages of batch ``n``, from the files of the batches up to it; no later folder is opened."""
+        store, upto = self.store, list(range(1, n + 1))
+        store.write("batchdate", self.raw_table("batchdate", upto))
+        store.write("stage_prospect", stages.prospect_stage(self.raw_table("prospect", upto)))
+        flow = f"batch-{n}"
+        if not store.has_flow("stage_quotes", flow):
+            store.write("stage_quotes", self.change_table("dailymarket", [n]), "append", flow=flow)
+        rows = {
+            "stage_market": lambda: stages.daily_market_stage(store.read("stage_quotes")),
+            "stage_cash": lambda: stages.cash_stage(self.change_table("cashtransaction", upto)),
+        }
+        for name, build in rows.items():
+            if not store.has_flow(name, flow):
+                store.write(name, build().filter(F.col("batchid") == n), "append", partition_by=["batchid"], flow=flow)
 
     def load_static(self) -> None:
         """Dimensions that only batch 1 changes."""
@@ -99,7 +128,7 @@ class Warehouse:
         self.load_static()
         changes = stages.customer_changes(self.raw_table("customer_cdc"))
         moves = stages.account_changes(self.raw_table("account_cdc"))
-        self._load_people(changes, moves, batch=3)
+        self._load_people(changes, moves, self.last_batch())
         trades = dims.trades_final(self.change_table("trade", keep_cdc=True), self.raw_table("tradehistory"))
         self._load_facts(trades, self.change_table("holdinghistory"), self.change_table("watchhistory"), None)
 
@@ -140,55 +169,66 @@ class Warehouse:
             self._run_next(n)
 
     def _run_first(self) -> None:
-        self.load_reference()
-        self.load_stages()
+        """The historical load; run again it loads every table afresh."""
+        first = [1]
+        self.load_reference(first)
+        self.load_stages(first)
         self.load_static()
         self._load_people(None, None, batch=1)
-        first = self.change_table("trade", keep_cdc=True).filter(F.col("batchid") == 1)
-        trades = dims.trades_final(first, self.raw_table("tradehistory"))
-        self._load_facts(trades, self.change_table("holdinghistory"), self.change_table("watchhistory"), 1)
+        trades = dims.trades_final(self.change_table("trade", first, keep_cdc=True), self.raw_table("tradehistory"))
+        self._load_facts(trades, self.change_table("holdinghistory", first), self.change_table("watchhistory", first), 1)
 
     def _run_next(self, n: int) -> None:
-        store = self.store
+        """Merge batch ``n``. A table that has it already is left alone, so a load can be repeated or taken up again."""
+        store, flow = self.store, f"batch-{n}"
+        self.load_batch_stages(n)
         batch_date, security = store.read("batchdate"), store.read("dimsecurity")
         prospects = store.read("stage_prospect")
         of_batch = F.col("batchid") == n
+        todo = lambda name: not store.has_flow(name, flow)
 
-        changes = stages.customer_changes(self.raw_table("customer_cdc"))
-        merged = increments.merge_dim_customer(
-            store.read("dimcustomer"), changes, n, store.read("taxrate"), prospects, batch_date
-        )
-        customer = store.merge_scd2("dimcustomer", merged, f"batch-{n}")
+        if todo("dimcustomer"):
+            changes = stages.customer_changes(self.raw_table("customer_cdc", [n]))
+            merged = increments.merge_dim_customer(
+                store.read("dimcustomer"), changes, n, store.read("taxrate"), prospects, batch_date
+            )
+            store.merge_scd2("dimcustomer", merged, flow)
+        customer = store.read("dimcustomer")
 
-        moves = stages.account_changes(self.raw_table("account_cdc"))
-        merged = increments.merge_dim_account(
-            store.read("dimaccount"), moves, n, customer, store.read("dimbroker"), batch_date
-        )
-        account = store.merge_scd2("dimaccount", merged, f"batch-{n}")
+        if todo("dimaccount"):
+            moves = stages.account_changes(self.raw_table("account_cdc", [n]))
+            merged = increments.merge_dim_account(
+                store.read("dimaccount"), moves, n, customer, store.read("dimbroker"), batch_date
+            )
+            store.merge_scd2("dimaccount", merged, flow)
+        account = store.read("dimaccount")
         store.write("prospect", facts.build_prospect(prospects, n, customer, batch_date))
 
-        trades = self.change_table("trade", keep_cdc=True)
-        moved = increments.merge_dim_trade(
-            store.read("dimtrade", "open"), trades, n, security, account, store.read("dimtrade", "final")
-        )
-        trade = store.merge_split("dimtrade", _closed(moved), "closed", True, f"batch-{n}")
-        holdings = self.change_table("holdinghistory").filter(of_batch)
+        if todo("dimtrade"):
+            trades = self.change_table("trade", [n], keep_cdc=True)
+            moved = increments.merge_dim_trade(
+                store.read("dimtrade", "open"), trades, n, security, account, store.read("dimtrade", "final")
+            )
+            store.merge_split("dimtrade", _closed(moved), "closed", True, flow)
+        trade = store.read("dimtrade").filter(of_batch)
         added = {
-            "factholdings": facts.build_fact_holdings(holdings, trade.filter(of_batch)),
-            "factcashbalances": facts.build_fact_cash_balances(
+            "factholdings": lambda: facts.build_fact_holdings(self.change_table("holdinghistory", [n]), trade),
+            "factcashbalances": lambda: facts.build_fact_cash_balances(
                 store.read("stage_cash").filter(of_batch), account, current=True
             ),
-            "factmarkethistory": facts.build_fact_market_history(
+            "factmarkethistory": lambda: facts.build_fact_market_history(
                 store.read("stage_market").filter(of_batch), security, store.read("stage_eps"), current=True
             ),
         }
-        for name, df in added.items():
-            store.write(name, df, "append", cluster_by=CLUSTER[name], flow=f"batch-{n}")
-        watches = facts.watch_stage(self.change_table("watchhistory").filter(of_batch))
-        moved = facts.merge_fact_watches(
-            store.read("factwatches", "open").drop("removed"), watches, security, customer
-        )
-        store.merge_split("factwatches", _removed(moved), "removed", True, f"batch-{n}")
+        for name, build in added.items():
+            if todo(name):
+                store.write(name, build(), "append", cluster_by=CLUSTER[name], flow=flow)
+        if todo("factwatches"):
+            watches = facts.watch_stage(self.change_table("watchhistory", [n]))
+            moved = facts.merge_fact_watches(
+                store.read("factwatches", "open").drop("removed"), watches, security, customer
+            )
+            store.merge_split("factwatches", _removed(moved), "removed", True, flow)
 
     # -- stream -------------------------------------------------------------
     def run_stream(self, checkpoints: str) -> None:
@@ -205,7 +245,7 @@ class Warehouse:
         mgmt = store.read("stage_customermgmt")
 
         def later(name: str, schema: str) -> DataFrame:
-            path = f"{self.raw}/Batch[23]"
+            path = f"{self.raw}/Batch{{[2-9],[1-9][0-9]*}}"
             stream = scans.stream_delimited(spark, path, f"{schemas.CDC_COLUMNS}, {schema}", pattern=name)
             return scans.with_batch_id(stream)
 
@@ -241,7 +281,8 @@ class Warehouse:
             return versions.filter(F.col("effectivedate") < F.col("enddate")).drop("__START_AT", "__END_AT")
 
         prospects = store.read("stage_prospect")
-        visible = prospects.filter((F.col("batchid") <= 3) & (F.col("recordbatchid") >= 3))
+        last = self.last_batch()
+        visible = prospects.filter((F.col("batchid") <= last) & (F.col("recordbatchid") >= last))
         customer = store.write_scd2(
             "dimcustomer",
             dims.build_dim_customer(history("log_customer", "customerid"), store.read("taxrate"), visible),
@@ -249,7 +290,7 @@ class Warehouse:
         account = store.write_scd2(
             "dimaccount", dims.build_dim_account(history("log_account", "accountid"), customer, store.read("dimbroker"))
         )
-        store.write("prospect", facts.build_prospect(prospects, 3, customer, batch_date))
+        store.write("prospect", facts.build_prospect(prospects, last, customer, batch_date))
 
         trades = self._stream_trades(later("Trade.txt", schemas.TRADE), checkpoints)
         watches = self._stream_watches(later("WatchHistory.txt", schemas.WATCH_HISTORY), checkpoints)
@@ -282,7 +323,7 @@ class Warehouse:
             F.min("th_dts").alias("create_ts"),
             F.max(F.struct("th_dts", "status")).alias("last"),
         )
-        first = self.change_table("trade").filter(F.col("batchid") == 1).drop("status")
+        first = self.change_table("trade", [1]).drop("status")
         done = F.col("last.status").isin(dims.CLOSED_TRADE)
         hydrated = first.join(past, "tradeid").withColumns(
             {
@@ -321,7 +362,7 @@ class Warehouse:
             "log_watch",
             lambda df: cdc.scd1_log(df, ["customerid", "symbol"], "w_dts", True, ["w_dts"]),
             f"{checkpoints}/watch",
-            once=shaped(self.change_table("watchhistory").filter(F.col("batchid") == 1)),
+            once=shaped(self.change_table("watchhistory", [1])),
         )
         return cdc.scd1_view(self.store.read("log_watch"), ["customerid", "symbol"])
 
@@ -334,19 +375,21 @@ class Warehouse:
         self.store.write("dimtrade", _closed(shapes["dimtrade"]).limit(0))
         self.store.write("factwatches", _removed(shapes["factwatches"]).limit(0))
 
-    def log(self, rows: DataFrame) -> None:
-        self.store.write("dimessages", rows, "append")
+    def log(self, rows: DataFrame, flow: str) -> None:
+        """Append messages, once for each ``flow``."""
+        if not self.store.has_flow("dimessages", flow):
+            self.store.write("dimessages", rows, "append", flow=flow)
 
     def finish_batch(self, n: int) -> None:
         """Validation report and phase record after a batch (0 is the empty warehouse)."""
-        self.log(messages.validation_report(self.tables(), n))
-        self.log(messages.phase_complete(self.spark, n))
+        self.log(messages.validation_report(self.tables(), n), f"validation-{n}")
+        self.log(messages.phase_complete(self.spark, n), f"phase-{n}")
 
     def log_visibility(self, kind: int, n: int) -> None:
-        self.log(messages.visibility(self.tables(), kind, n))
+        self.log(messages.visibility(self.tables(), kind, n), f"visibility-{kind}-{n}")
 
     def log_alerts(self) -> None:
-        self.log(messages.alerts(self.tables(), self.store.read("batchdate"), self.finwire()))
+        self.log(messages.alerts(self.tables(), self.store.read("batchdate"), self.finwire()), "alerts")
 
     def expectations(self) -> DataFrame:
         found = [

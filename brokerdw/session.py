@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,12 +30,22 @@ def build_session(master: str = "local[8]", app: str = "brokerdw", **conf: str)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder every executor can reach.
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    On a cluster this lies under ``spark.checkpoint.dir``. Only where that is
-    unset (a test on one machine) is a local temporary folder used.
+    Where the setting is absent a session on one machine takes a local folder, which is
+    removed when Python ends; a session on a cluster raises, because its executors would
+    each write to a disk of their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return tempfile.mkdtemp(prefix=f"brokerdw-{name}-")
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = _local_root()
     return f"{shared.rstrip('/')}/brokerdw-{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="brokerdw-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root

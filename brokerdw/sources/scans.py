@@ -86,7 +86,7 @@ def classify_finwire(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.select(
         rectype.alias("rectype"),
         F.to_date(F.try_to_timestamp(F.substring(text, 1, 8), F.lit("yyyyMMdd"))).alias("recdate"),
-        F.substring(text, schemas.FINWIRE_HEADER + 1, 1_000_000).alias("value"),
+        F.expr(f"substring({value}, {schemas.FINWIRE_HEADER + 1})").alias("value"),
     )
 
 
@@ -115,21 +115,41 @@ def _parse_wire(rows: DataFrame, fields: Sequence[FixedField], keep: Sequence[st
 def scan_xml(spark: SparkSession, path: str, row_tag: str, schema: str, pattern: str | None = None) -> DataFrame:
     """XML records with a declared schema; attributes are ``_name``.
 
-    The text reader cuts the file at the closing row tag, so one large file is read
-    by many tasks; each record is then parsed by ``from_xml``.
+    The text reader cuts the file at the closing row tag, so one large file is read by
+    many tasks. A piece may hold self-closing records before one with an end tag, and
+    comments, whose content is no record (a comment inside a record must not hold its end
+    tag). What is found is parsed by ``from_xml``. :func:`check_xml` finds records that are
+    opened and never closed.
     """
     close = f"</{row_tag}>"
-    reader = spark.read.option("lineSep", close)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    opening = F.regexp_instr("value", F.lit(f"<{row_tag}[ >]"))
-    record = F.expr(f"substring(value, regexp_instr(value, '<{row_tag}[ >]'))")
-    return (
-        reader.text(path)
-        .filter(opening > 0)
-        .select(F.from_xml(F.concat(record, F.lit(close)), schema).alias("r"))
-        .select("r.*")
-    )
+    attrs = """(?:[^>"']|"[^"]*"|'[^']*')*?"""
+    start = rf"<{row_tag}(?=[\s/>])"
+    alone, opened = rf"{start}{attrs}/>", rf"{start}(?!{attrs}/>)"
+    bare = F.col("value")
+    for comment in (r"(?s)<!--.*?-->", r"(?s)^(?:(?!<!--).)*?-->", r"(?s)<!--.*$"):  # whole, begun in the piece before, going on
+        bare = F.regexp_replace(bare, comment, "")
+    pieces = _text(spark, path, pattern, close).select(bare.alias("value"))
+    found = pieces.withColumn("at", F.regexp_instr("value", F.lit(opened)))
+    before = F.when(F.col("at") > 0, F.expr("left(value, at - 1)")).otherwise(F.col("value"))
+    rest = F.when(F.col("at") > 0, F.array(F.concat(F.expr("substring(value, at)"), F.lit(close))))
+    records = F.concat(F.regexp_extract_all(before, F.lit(alone), F.lit(0)), F.coalesce(rest, F.array().cast("array<string>")))
+    return found.select(F.explode(records).alias("record")).select(F.from_xml("record", schema).alias("r")).select("r.*")
+
+
+def check_xml(spark: SparkSession, path: str, row_tag: str, pattern: str | None = None) -> None:
+    """Raise if records are opened more or less often than closed, as in a file that was cut off."""
+    attrs = """(?:[^>"']|"[^"]*"|'[^']*')*?"""
+    tags = _text(spark, path, pattern, "<")
+    is_open = F.col("value").rlike(rf"^{row_tag}(?=[\s/>])(?!{attrs}/>)")
+    is_close = F.col("value").rlike(rf"^/{row_tag}[\s>]")
+    counts = tags.agg(F.count_if(is_open).alias("opens"), F.count_if(is_close).alias("closes")).first()
+    if counts["opens"] != counts["closes"]:
+        raise ValueError(f"{path}: {counts['opens']} records are opened and {counts['closes']} closed")
+
+
+def _text(spark: SparkSession, path: str, pattern: str | None, separator: str) -> DataFrame:
+    reader = spark.read.option("lineSep", separator)
+    return (reader.option("pathGlobFilter", pattern) if pattern else reader).text(path)
 
 
 def stream_delimited(
@@ -181,31 +201,53 @@ CHANGE_TABLES = [
 ]
 
 
-def ingest(spark: SparkSession, root: str, specs: Sequence[TableSpec] = tuple(RAW_TABLES)) -> dict[str, DataFrame]:
-    """One generic loader for every described file."""
-    return {spec.name: _load(spark, root, spec) for spec in specs}
+def ingest(
+    spark: SparkSession,
+    root: str,
+    specs: Sequence[TableSpec] = tuple(RAW_TABLES),
+    batches: Sequence[int] | None = None,
+) -> dict[str, DataFrame]:
+    """One generic loader for every described file; files of every batch can be limited to ``batches``."""
+    return {spec.name: _load(spark, root, spec, batches) for spec in specs}
 
 
-def _load(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+def _load(spark: SparkSession, root: str, spec: TableSpec, batches: Sequence[int] | None) -> DataFrame:
     schema = f"{schemas.CDC_COLUMNS}, {spec.schema}" if spec.cdc else spec.schema
-    df = scan_delimited(spark, f"{root}/{spec.batches}", schema, spec.sep, pattern=spec.file)
+    folders = batch_folders(batches) if batches is not None and spec.batches == "Batch*" else spec.batches
+    df = scan_delimited(spark, f"{root}/{folders}", schema, spec.sep, pattern=spec.file)
     return with_batch_id(df) if spec.tag_batch else df
 
 
 def scan_all_batches(
-    spark: SparkSession, root: str, spec: TableSpec, later: Sequence[int] = (2, 3), keep_cdc: bool = False
+    spark: SparkSession, root: str, spec: TableSpec, batches: Sequence[int] | None = None, keep_cdc: bool = False
 ) -> DataFrame:
-    """Historical rows of batch 1 and the change rows of later batches under one schema."""
+    """Historical rows of batch 1 and the change rows of later batches under one schema.
+
+    ``batches`` names the folders to read, and no other is opened; without it all that are there.
+    """
+    if batches is not None and 1 not in batches:
+        return _changes(spark, root, spec, batches, keep_cdc)
     first = scan_delimited(spark, f"{root}/Batch1", spec.schema, spec.sep, pattern=spec.file)
     first = first.withColumn("batchid", F.lit(1))
     if keep_cdc:
         first = first.select(F.lit("I").alias("cdc_flag"), F.lit(None).cast("bigint").alias("cdc_dsn"), *first.columns)
-    if not later:
+    if batches is not None and len(batches) == 1:
         return first
-    folders = "Batch{" + ",".join(str(n) for n in later) + "}"
+    return first.unionByName(_changes(spark, root, spec, batches, keep_cdc))
+
+
+def _changes(
+    spark: SparkSession, root: str, spec: TableSpec, batches: Sequence[int] | None, keep_cdc: bool
+) -> DataFrame:
     schema = f"{schemas.CDC_COLUMNS}, {spec.schema}"
-    rest = with_batch_id(scan_delimited(spark, f"{root}/{folders}", schema, spec.sep, pattern=spec.file))
-    return first.unionByName(rest if keep_cdc else rest.drop("cdc_flag", "cdc_dsn"))
+    names = batch_folders(batches) if batches is not None else "Batch{[2-9],[1-9][0-9]*}"
+    rows = with_batch_id(scan_delimited(spark, f"{root}/{names}", schema, spec.sep, pattern=spec.file)).filter("batchid != 1")
+    return rows if keep_cdc else rows.drop("cdc_flag", "cdc_dsn")
+
+
+def batch_folders(batches: Sequence[int]) -> str:
+    """Glob of the folders of these batches."""
+    return "Batch{" + ",".join(str(n) for n in batches) + "}"
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_COMMIT = "version BIGINT, parts STRING, flow STRING"
+_COMMIT = "version BIGINT, parts STRING, flow STRING, fresh BOOLEAN"
 
 
 class TableStore:
@@ -55,15 +55,21 @@ class TableStore:
         return bool(self.commits(name))
 
     def has_flow(self, name: str, flow: str) -> bool:
-        return any(r.flow == flow for r in self.commits(name))
+        """Whether a load named ``flow`` is part of the table, that is, came after it was last loaded afresh."""
+        for row in reversed(self.commits(name)):
+            if row.flow == flow:
+                return True
+            if row.fresh:
+                return False
+        return False
 
     def parts(self, name: str) -> list[dict]:
         done = self.commits(name)
         return json.loads(done[-1].parts) if done else []
 
-    def commit(self, name: str, parts: list[dict], flow: str = "") -> None:
+    def commit(self, name: str, parts: list[dict], flow: str = "", fresh: bool = False) -> None:
         done = self.commits(name)
-        entry = Row(version=len(done) + 1, parts=json.dumps(parts), flow=flow)
+        entry = Row(version=len(done) + 1, parts=json.dumps(parts), flow=flow, fresh=fresh)
         row = self.spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in entry.asDict().items()])
         row.write.mode("append").json(self._log(name))
         self._known[name] = [*done, entry]
@@ -108,7 +114,7 @@ class TableStore:
         if before and mode == "error":
             raise ValueError(f"table {name} exists")
         part = self.write_part(name, df, label, partition_by, cluster_by, derived)
-        self.commit(name, [*before, part] if mode == "append" else [part], flow)
+        self.commit(name, [*before, part] if mode == "append" else [part], flow, fresh=mode != "append")
         return self.read(name)
 
     def read(self, name: str, label: str | None = None) -> DataFrame:
@@ -130,7 +136,9 @@ class TableStore:
     def compact(self, name: str, combine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
         """Rewrite a table into one folder, optionally through a combining plan."""
         df = self.read(name)
-        return self.write(name, combine(df) if combine else df, flow="compact")
+        part = self.write_part(name, combine(df) if combine else df)
+        self.commit(name, [part], "compact")
+        return self.read(name)
 
     def view(self, name: str, df: DataFrame | None = None) -> DataFrame:
         """Register a frame, or the stored table, as a temporary view."""
@@ -140,7 +148,7 @@ class TableStore:
 
     # -- tables with a final part -------------------------------------------
     def write_split(
-        self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: Sequence[dict] = ()
+        self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: Sequence[dict] | None = None
     ) -> DataFrame:
         """Write a table once, split by a flag whose value ``final`` marks rows that never change.
 
@@ -150,7 +158,7 @@ class TableStore:
         part = self.write_part(name, df, partition_by=[flag])
         yes, no = ("final", "open") if final else ("open", "final")
         split = [{**part, "label": yes, "only": flag}, {**part, "label": no, "only": f"NOT {flag}"}]
-        self.commit(name, [*keep, *split], flow)
+        self.commit(name, [*(keep or []), *split], flow, fresh=keep is None)
         return self.read(name)
 
     def merge_split(self, name: str, rows: DataFrame, flag: str, final: bool, flow: str = "") -> DataFrame:

@@ -1,8 +1,10 @@
 """Automatic change application, type 1 and type 2, for batch and streaming sources.
 
 Both keep a log whose combination is associative, commutative and idempotent, so
-rows may arrive late, twice or in any order. A micro-batch only appends its combined
-rows; readers combine the log, and :meth:`TableStore.compact` folds it now and then.
+rows may arrive late, twice or in any order. Of several rows of one key and sequence one
+row wins as a whole: the one whose text has the largest MD5 digest. A micro-batch only
+appends its combined rows; readers combine the log, and :meth:`TableStore.compact` folds
+it now and then.
 """
 
 from __future__ import annotations
@@ -17,7 +19,13 @@ from brokerdw.operators.hotkeys import HotKeys, bounded_window, carry_last
 from brokerdw.operators.temporal import CURRENT, END, START
 from brokerdw.sources.store import TableStore
 
-SEQ = "_seq"
+SEQ, TIE = "_seq", "_tie"
+
+
+def row_rank(cols: Sequence[str]) -> Column:
+    """Orders rows of equal sequence by content: 60 bits of the MD5 digest of the values' text."""
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 # -- type 1 -------------------------------------------------------------------
@@ -33,16 +41,18 @@ def scd1_log(
 ) -> DataFrame:
     """Latest value of every column with its own sequence number, one row per key.
 
-    With ``ignore_nulls`` a null never replaces a value, so each column keeps the
-    sequence at which it was last set and a late row can still fill a gap.
+    Without ``ignore_nulls`` all values of a key come from one row. With it a null never
+    replaces a value, so each column keeps the sequence at which it was last set and a
+    late row can still fill a gap; ties are settled by the same row order in every column.
     """
     cols = _data_cols(batch, keys, sequence_by, except_cols)
+    ranked = batch.withColumn(TIE, row_rank([c for c in batch.columns if c not in (*keys, sequence_by)]))
 
     def versioned(c: str) -> Column:
-        pair = F.struct(F.col(sequence_by).alias("seq"), F.col(c).alias("val"))
-        return F.max(F.when(F.col(c).isNotNull(), pair) if ignore_nulls else pair).alias(c)
+        entry = F.struct(F.col(sequence_by).alias("seq"), F.col(TIE).alias("tie"), F.col(c).alias("val"))
+        return F.max(F.when(F.col(c).isNotNull(), entry) if ignore_nulls else entry).alias(c)
 
-    return batch.groupBy(*keys).agg(*[versioned(c) for c in cols])
+    return ranked.groupBy(*keys).agg(*[versioned(c) for c in cols])
 
 
 def combine_scd1(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,12 +84,14 @@ def apply_changes_scd1(
 def scd2_log(batch: DataFrame, keys: Sequence[str], sequence_by: str, except_cols: Sequence[str] = ()) -> DataFrame:
     """Change rows as received, one per key and sequence (a repeated row changes nothing)."""
     cols = [c for c in batch.columns if c not in (*keys, sequence_by, *except_cols)]
-    return batch.groupBy(*keys, F.col(sequence_by).alias(SEQ)).agg(*[F.max(c).alias(c) for c in cols])
+    ranked = batch.select(*keys, F.col(sequence_by).alias(SEQ), row_rank(cols).alias(TIE), *cols)
+    return combine_scd2(ranked, keys)
 
 
 def combine_scd2(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     cols = [c for c in log.columns if c not in (*keys, SEQ)]
-    return log.groupBy(*keys, SEQ).agg(*[F.max(c).alias(c) for c in cols])
+    winner = log.groupBy(*keys, SEQ).agg(F.max(F.struct(TIE, *[c for c in cols if c != TIE])).alias("_row"))
+    return winner.select(*keys, SEQ, "_row.*")
 
 
 def scd2_view(
@@ -91,7 +103,7 @@ def scd2_view(
     the interval it falls into. With ``ignore_nulls`` missing values are filled from
     the version before.
     """
-    rows = combine_scd2(log, keys)
+    rows = combine_scd2(log, keys).drop(TIE)
     cols = [c for c in rows.columns if c not in (*keys, SEQ)]
     filled = carry_last(rows, keys, [SEQ], cols, hot) if ignore_nulls else rows
     dated = bounded_window(
@@ -135,14 +147,17 @@ def run_cdc(
 
     ``once`` is loaded a single time before the stream (historical hydration). Every
     micro-batch is reduced by ``to_log`` and appended under its own commit; a batch
-    replayed after a failure is recognised by its id. Deleting the checkpoint and the
-    table starts a full refresh.
+    replayed after a failure is recognised by the stream's id, which its checkpoint keeps,
+    and the batch's number. A new checkpoint is a new stream: it reads all files again,
+    which the log absorbs. Deleting checkpoint and table starts a full refresh.
     """
     if once is not None and not store.has_flow(table, f"{flow}-once"):
         store.write(table, to_log(once), "append", flow=f"{flow}-once")
+    spark = source.sparkSession
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        name = f"{flow}-{batch_id}"
+        stream = spark.read.text(f"{checkpoint}/metadata").first()[0]
+        name = f"{flow}-{stream}-{batch_id}"
         if not store.has_flow(table, name):
             store.write(table, to_log(batch), "append", flow=name)
 
