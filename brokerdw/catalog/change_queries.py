@@ -11,13 +11,13 @@ from brokerdw.sources.store import TableStore
 from brokerdw.streaming import cdc
 
 LATEST = """
-    SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = {n}
+    SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = {n}
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
 """
 
 
 def _latest(spark, sf, n):
-    orders = table(spark, sf, "orders").filter(F.col("o_orderkey") % 3 == n)
+    orders = table(spark, sf, "orders").filter(F.col("o_orderkey") % 2 == n)
     return grouping.latest_record(orders, ["o_custkey"], ["o_orderkey"], ["o_orderkey", "o_totalprice"])
 
 
@@ -51,10 +51,10 @@ def merge_scd1(spark, sf):
     f"""
     WITH t AS ({LATEST.format(n=0)}), s AS ({LATEST.format(n=1)})
     SELECT t.o_custkey, t.o_orderkey, CASE WHEN s.o_custkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice
-    FROM t LEFT JOIN s ON t.o_custkey = s.o_custkey AND t.o_orderkey % 2 = 0
+    FROM t LEFT JOIN s ON t.o_custkey = s.o_custkey AND t.o_orderkey % 4 = 0
     UNION ALL
     SELECT s.o_custkey, s.o_orderkey, s.o_totalprice FROM s
-    WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_custkey = s.o_custkey AND t.o_orderkey % 2 = 0)
+    WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_custkey = s.o_custkey AND t.o_orderkey % 4 = 0)
     """,
 )
 def merge_open_rows(spark, sf):
@@ -64,7 +64,7 @@ def merge_open_rows(spark, sf):
         _latest(spark, sf, 1),
         ["o_custkey"],
         matched=[(None, {"o_totalprice": F.col("s_o_totalprice")})],
-        eligible=F.col("t_o_orderkey") % 2 == 0,
+        eligible=F.col("t_o_orderkey") % 4 == 0,
     )
 
 
@@ -77,7 +77,7 @@ HISTORY = """
     chg AS (
       SELECT o_custkey, DATE '2002-01-01' AS effectivedate,
              arg_max(CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderpriority END, o_orderkey) AS raw
-      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_custkey % 2 = 0 GROUP BY 1)
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
 """
 TAIL = """CAST(strftime(effectivedate, '%Y%m%d') || CAST(o_custkey AS VARCHAR) AS BIGINT) AS sk, o_custkey,
           o_orderpriority, CAST(effectivedate AS VARCHAR) AS effectivedate, CAST(enddate AS VARCHAR) AS enddate, iscurrent"""
@@ -100,9 +100,7 @@ def _history(spark, sf):
 
 
 def _changes(spark, sf):
-    late = table(spark, sf, "orders").filter(
-        (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("o_custkey") % 2 == 0)
-    )
+    late = table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     raw = F.when(F.col("o_orderkey") % 2 == 0, "").otherwise(F.col("o_orderpriority"))
     return late.groupBy("o_custkey").agg(F.nullif(F.max_by(raw, "o_orderkey"), F.lit("")).alias("o_orderpriority")).select(
         "o_custkey", "o_orderpriority", F.lit("2002-01-01").cast("date").alias("effectivedate")
@@ -257,7 +255,7 @@ def _stream_files(spark, sf, root):
     changes = _event_changes(spark, sf)
     for n in range(3):
         third = changes.filter(F.col("event_id") % 3 == (n + 1) % 3)
-        writer = third.coalesce(1).write.mode("append").option("sep", "|")
+        writer = third.write.mode("append").option("sep", "|")
         writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{root}/in")
     return scans.stream_delimited(spark, f"{root}/in", EVENT_SCHEMA, "|", FILES, max_files=1)
 

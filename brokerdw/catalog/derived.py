@@ -147,11 +147,11 @@ CTE["mgmt"] = f"""
 
 
 def customer_changes(spark, sf) -> DataFrame:
-    """One change record for two thirds of the customers with late orders."""
+    """One change record for each customer with late orders."""
     key, last = F.col("o_custkey"), F.col("last")
     late = (
         table(spark, sf, "orders")
-        .filter((F.to_date("o_orderdate") >= _day(SPLIT)) & (key % 3 < 2))
+        .filter(F.to_date("o_orderdate") >= _day(SPLIT))
         .groupBy("o_custkey")
         .agg(F.max("o_orderkey").alias("last"))
     )
@@ -164,29 +164,28 @@ def customer_changes(spark, sf) -> DataFrame:
     }
     null = F.lit(None).cast("string")
     cols = [given.get(c, null).alias(c) for c in stages.CUSTOMER_COLS]
-    return late.select(*cols, (key % 3 + 2).cast("int").alias("batchid"))
+    return late.select(*cols, (key % 2 + 2).cast("int").alias("batchid"))
 
 
 CTE["custchg"] = f"""
     SELECT o_custkey AS customerid, CASE WHEN l % 5 = 0 THEN 'Inactive' ELSE 'Active' END AS status,
            nullif(l % 4, 0) AS tier, CASE WHEN l % 3 = 0 THEN 'late ' || l END AS addressline1,
-           CAST(o_custkey % 3 + 2 AS INT) AS batchid
+           CAST(o_custkey % 2 + 2 AS INT) AS batchid
     FROM (SELECT o_custkey, max(o_orderkey) AS l FROM orders
-          WHERE o_orderdate >= TIMESTAMP '{SPLIT}' AND o_custkey % 3 < 2 GROUP BY 1)
+          WHERE o_orderdate >= TIMESTAMP '{SPLIT}' GROUP BY 1)
 """
 
 
 def account_changes(spark, sf) -> DataFrame:
     key = F.col("c_custkey")
-    rows = table(spark, sf, "customer").filter((key % 4).isin(1, 2))
-    return rows.select(
+    return table(spark, sf, "customer").select(
         (key * 10).alias("accountid"),
         key.alias("customerid"),
         F.when(key % 2 == 0, F.concat(F.lit("late "), text(key))).alias("accountdesc"),
         F.lit(None).cast("tinyint").alias("taxstatus"),
         F.when(key % 3 != 0, _broker(key)).alias("brokerid"),
         F.when(key % 5 != 0, "Active").alias("status"),
-        (key % 4 + 1).cast("int").alias("batchid"),
+        (key % 2 + 2).cast("int").alias("batchid"),
     )
 
 
@@ -194,8 +193,8 @@ CTE["acctchg"] = """
     SELECT c_custkey * 10 AS accountid, c_custkey AS customerid,
            CASE WHEN c_custkey % 2 = 0 THEN 'late ' || c_custkey END AS accountdesc, NULL AS taxstatus,
            CASE WHEN c_custkey % 3 <> 0 THEN 2 + 4 * (c_custkey % 5) END AS brokerid,
-           CASE WHEN c_custkey % 5 <> 0 THEN 'Active' END AS status, CAST(c_custkey % 4 + 1 AS INT) AS batchid
-    FROM customer WHERE c_custkey % 4 IN (1, 2)
+           CASE WHEN c_custkey % 5 <> 0 THEN 'Active' END AS status, CAST(c_custkey % 2 + 2 AS INT) AS batchid
+    FROM customer
 """
 
 
@@ -397,9 +396,9 @@ def wire_lines(spark, sf) -> DataFrame:
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     line = table(spark, sf, "lineitem")
     companies = (
-        line.filter(F.col("l_linenumber") == 7)
-        .select("l_suppkey", F.to_date("l_shipdate").alias("d"))
-        .distinct()
+        line.groupBy("l_suppkey", F.date_trunc("quarter", "l_shipdate"))
+        .agg(F.min(F.to_date("l_shipdate")).alias("d"))
+        .select("l_suppkey", "d")
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     score = (F.col("s_suppkey") + F.month("d")) % 24
@@ -419,9 +418,11 @@ def wire_lines(spark, sf) -> DataFrame:
         ).alias("value")
     )
     securities = (
-        line.filter(F.col("l_linenumber") == 6)
-        .groupBy("l_partkey", F.to_date("l_shipdate").alias("d"))
-        .agg(F.max_by(F.struct("l_suppkey", "l_tax", "l_orderkey"), F.struct("l_orderkey", "l_suppkey", "l_tax")).alias("r"))
+        line.groupBy("l_partkey", F.year("l_shipdate"))
+        .agg(
+            F.min(F.to_date("l_shipdate")).alias("d"),
+            F.max_by(F.struct("l_suppkey", "l_tax", "l_orderkey"), F.struct("l_orderkey", "l_suppkey", "l_tax")).alias("r"),
+        )
         .select("l_partkey", "d", "r.*")
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -469,7 +470,7 @@ def wire_lines(spark, sf) -> DataFrame:
 
 
 def industry(spark, sf) -> DataFrame:
-    nation = table(spark, sf, "nation").filter(F.col("n_nationkey") < 20)
+    nation = table(spark, sf, "nation")
     return nation.select(F.lpad(text("n_nationkey"), 2, "0").alias("in_id"), F.col("n_name").alias("in_name"))
 
 
@@ -485,8 +486,8 @@ CTE["dimcompany"] = f"""
     FROM (SELECT s_suppkey AS companyid, s_name AS name, n_name AS industry, d,
                  ([{_RATING_LIST}])[CAST((s_suppkey + month(d)) % 24 + 1 AS INT)] AS r,
                  coalesce(lead(d) OVER (PARTITION BY s_suppkey ORDER BY d), DATE '9999-12-31') AS enddate
-          FROM (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_linenumber = 7)
-          JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey AND n_nationkey < 20)
+          FROM (SELECT l_suppkey, CAST(min(l_shipdate) AS DATE) AS d FROM lineitem GROUP BY l_suppkey, date_trunc('quarter', l_shipdate))
+          JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey)
 """
 CTE["dimsecurity"] = """
     SELECT CAST('0x' || substr(md5(symbol || '|' || CAST(greatest(s.d, c.effectivedate) AS VARCHAR)), 1, 15) AS BIGINT)
@@ -495,9 +496,9 @@ CTE["dimsecurity"] = """
            least(s.e, c.enddate) AS enddate, least(s.e, c.enddate) = DATE '9999-12-31' AS iscurrent
     FROM (SELECT 'S' || l_partkey AS symbol, d, l_suppkey, shares, dividend,
                  coalesce(lead(d) OVER (PARTITION BY l_partkey ORDER BY d), DATE '9999-12-31') AS e
-          FROM (SELECT l_partkey, CAST(l_shipdate AS DATE) AS d, arg_max(l_suppkey, (l_orderkey, l_suppkey, l_tax)) AS l_suppkey,
+          FROM (SELECT l_partkey, CAST(min(l_shipdate) AS DATE) AS d, arg_max(l_suppkey, (l_orderkey, l_suppkey, l_tax)) AS l_suppkey,
                        max(l_orderkey) AS shares, arg_max(l_tax, (l_orderkey, l_suppkey, l_tax)) * 100 AS dividend
-                FROM lineitem WHERE l_linenumber = 6 GROUP BY 1, 2)) s
+                FROM lineitem GROUP BY l_partkey, year(l_shipdate))) s
     JOIN dimcompany c ON s.l_suppkey = c.companyid AND s.d < c.enddate AND s.e > c.effectivedate
 """
 CTE["financial"] = """
@@ -530,7 +531,7 @@ def financial(spark, sf) -> DataFrame:
 # -- trades and facts ---------------------------------------------------------------
 def trades(spark, sf) -> DataFrame:
     """One line of each order as a trade; some pending trades are completed by change rows."""
-    line = table(spark, sf, "lineitem").filter(F.col("l_linenumber") == 1)
+    line = table(spark, sf, "lineitem")
     cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount"]
     one = top1(line.select(*cols), ["l_orderkey"], ["l_partkey", "l_suppkey", "l_extendedprice"])
     joined = one.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -602,7 +603,7 @@ CTE["tradesfinal"] = """
     FROM (SELECT *, o_orderdate + INTERVAL 9 HOUR + to_seconds(o_orderkey % 3000) AS ts,
                  CASE WHEN o_orderkey % 7 = 0 THEN 'CNCL' WHEN o_orderkey % 7 < 5 THEN 'CMPT' ELSE 'PNDG' END AS st,
                  o_orderkey % 7 > 4 AND o_orderkey % 2 = 0 AS upd
-          FROM (SELECT * FROM lineitem WHERE l_linenumber = 1 QUALIFY row_number() OVER (
+          FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (
                   PARTITION BY l_orderkey ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1)
           JOIN orders ON l_orderkey = o_orderkey)
 """
@@ -622,8 +623,8 @@ TRADE = f"{ACCOUNT} {COMPANY} tradesfinal dimtrade"
 
 
 def holdings(spark, sf) -> DataFrame:
-    """Every line after the first as a holding change of its order's trade."""
-    line = table(spark, sf, "lineitem").filter(F.col("l_linenumber") > 1)
+    """Every line as a holding change of its order's trade."""
+    line = table(spark, sf, "lineitem")
     return line.select(
         (F.col("l_orderkey") - F.col("l_linenumber")).cast("int").alias("hh_h_t_id"),
         F.col("l_orderkey").cast("int").alias("hh_t_id"),
@@ -700,7 +701,7 @@ CTE["factwatch"] = """
     JOIN dimcustomer c ON c.customerid = w.customerid AND placed >= c.effectivedate AND placed < c.enddate
 """
 CTE["factholding"] = """
-    SELECT t.* FROM lineitem JOIN dimtrade t ON l_orderkey = t.tradeid WHERE l_linenumber > 1
+    SELECT t.* FROM lineitem JOIN dimtrade t ON l_orderkey = t.tradeid
 """
 CTE["dimdate"] = """
     SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS sk_dateid, d AS datevalue

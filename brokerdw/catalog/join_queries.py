@@ -80,14 +80,14 @@ def _hist(line, name):
       SELECT * FROM (
         SELECT l_suppkey, l_orderkey AS {name}_order, CAST(l_shipdate AS DATE) AS effectivedate,
                coalesce(CAST(lead(l_shipdate) OVER w AS DATE), DATE '9999-12-31') AS enddate
-        FROM lineitem WHERE l_linenumber = {line}
+        FROM lineitem WHERE l_linenumber {line}
         WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey))
       WHERE effectivedate < enddate)"""
 
 
 def _overlap(kind, right_line):
     return f"""
-    WITH {_hist(1, 'a')}, {_hist(right_line, 'b')},
+    WITH {_hist(f'<> {right_line}', 'a')}, {_hist(f'= {right_line}', 'b')},
     j AS (SELECT a.l_suppkey, a.a_order, b.b_order,
                  greatest(a.effectivedate, coalesce(b.effectivedate, a.effectivedate)) AS s,
                  least(a.enddate, coalesce(b.enddate, a.enddate)) AS e
@@ -99,18 +99,18 @@ def _overlap(kind, right_line):
     """
 
 
-def _supplier_history(spark, sf, line, name):
+def _supplier_history(spark, sf, which, name):
     rows = (
         table(spark, sf, "lineitem")
-        .filter(F.col("l_linenumber") == line)
+        .filter(which)
         .select("l_suppkey", F.col("l_orderkey").alias(name), "l_shipdate")
     )
     return temporal.scd2_history(rows, "l_suppkey", "l_shipdate", name).drop("l_shipdate", "iscurrent")
 
 
 def _interval(spark, sf, how, right_line, limit=None):
-    a = _supplier_history(spark, sf, 1, "a_order")
-    b = _supplier_history(spark, sf, right_line, "b_order")
+    a = _supplier_history(spark, sf, F.col("l_linenumber") != right_line, "a_order")
+    b = _supplier_history(spark, sf, F.col("l_linenumber") == right_line, "b_order")
     hot = None
     if limit:
         both = a.select("l_suppkey", "effectivedate").union(b.select("l_suppkey", "effectivedate"))
@@ -233,9 +233,9 @@ def quarter_left_join(spark, sf):
     "full_outer_merge",
     """
     WITH a AS (SELECT o_custkey AS k, max(o_totalprice) AS price, max(o_orderpriority) AS pri FROM orders
-               WHERE o_orderkey % 3 = 0 GROUP BY 1),
+               WHERE o_orderkey % 2 = 0 GROUP BY 1),
     b AS (SELECT o_custkey AS k, max(o_totalprice) AS price, max(o_orderpriority) AS pri FROM orders
-          WHERE o_orderkey % 3 = 1 GROUP BY 1)
+          WHERE o_orderkey % 2 = 1 GROUP BY 1)
     SELECT coalesce(a.k, b.k) AS k, coalesce(a.price, b.price) AS price, coalesce(a.pri, b.pri) AS pri
     FROM a FULL OUTER JOIN b ON a.k = b.k
     """,
@@ -244,7 +244,7 @@ def full_outer_merge(spark, sf):
     def source(rest):
         return (
             table(spark, sf, "orders")
-            .filter(F.col("o_orderkey") % 3 == rest)
+            .filter(F.col("o_orderkey") % 2 == rest)
             .groupBy(F.col("o_custkey").alias("k"))
             .agg(F.max("o_totalprice").alias("price"), F.max("o_orderpriority").alias("pri"))
         )

@@ -113,7 +113,7 @@ def dim_trade(spark, sf):
     SELECT l_orderkey - l_linenumber AS tradeid, l_orderkey AS currenttradeid, sk_customerid, sk_accountid, sk_securityid,
            sk_companyid, sk_closedateid AS sk_dateid, sk_closetimeid AS sk_timeid, tradeprice AS currentprice,
            CAST(l_quantity AS INT) AS currentholding, l_linenumber % 3 + 1 AS batchid
-    FROM lineitem JOIN dimtrade ON l_orderkey = dimtrade.tradeid WHERE l_linenumber > 1""",
+    FROM lineitem JOIN dimtrade ON l_orderkey = dimtrade.tradeid""",
     ),
 )
 def fact_holdings(spark, sf):

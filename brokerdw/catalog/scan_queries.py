@@ -281,7 +281,7 @@ def all_batches_scan(spark, sf):
 @query(
     "store_loads",
     """
-    SELECT o_orderpriority, o_orderkey, o_totalprice, o_orderkey % 2 = 0 AS closed FROM orders WHERE o_orderkey % 3 < 2
+    SELECT o_orderpriority, o_orderkey, o_totalprice, o_orderkey % 2 = 0 AS closed FROM orders
     """,
 )
 def store_loads(spark, sf):
@@ -289,11 +289,11 @@ def store_loads(spark, sf):
     store = TableStore(spark, scratch_dir(spark, "store"))
     orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
     closed = {"closed": F.col("o_orderkey") % 2 == 0}
-    third = lambda n: orders.filter(F.col("o_orderkey") % 3 == n)
-    store.write("orders", third(2), derived=closed)
-    store.write("orders", third(0), "overwrite", partition_by=["o_orderpriority"], derived=closed)
-    store.write("orders", third(1), "append", cluster_by=["o_orderkey"], derived=closed)
-    return store.write("orders", third(2), "ignore")
+    half = lambda n: orders.filter(F.col("o_orderkey") % 2 == n)
+    store.write("orders", orders, derived=closed)
+    store.write("orders", half(0), "overwrite", partition_by=["o_orderpriority"], derived=closed)
+    store.write("orders", half(1), "append", cluster_by=["o_orderkey"], derived=closed)
+    return store.write("orders", orders, "ignore")
 
 
 @query("temp_view", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")

@@ -1,10 +1,12 @@
 """The whole pipeline on a tiny extract, in all three modes."""
 
+import shutil
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from brokerdw.plans import facts
 from brokerdw.plans.warehouse import Warehouse
 from brokerdw.sources.store import TableStore
 from tests.raw_extract import write_extract
@@ -246,3 +248,43 @@ def test_load_is_replaceable(spark, incremental):
     """An older version stays readable after a later load."""
     commits = incremental.store.commits("dimcustomer")
     assert [r.flow for r in commits][-2:] == ["batch-2", "batch-3"]
+
+
+FACTS = ["dimcustomer", "dimaccount", "dimtrade", "factholdings", "factcashbalances", "factmarkethistory", "factwatches", "prospect"]
+
+
+def test_batches_as_they_arrive_repeated_and_taken_up_again(spark, raw, incremental, tmp_path, monkeypatch):
+    """Each folder appears after the load before; a load stopped half-way goes on; repeats change nothing."""
+    folder = tmp_path / "raw"
+    w = Warehouse(spark, str(folder), TableStore(spark, str(tmp_path / "store")))
+    state = lambda: {name: rows(w, name, "*") for name in FACTS}
+    for n in (1, 2, 3):
+        shutil.copytree(f"{raw}/Batch{n}", folder / f"Batch{n}")
+        if n == 3:
+            with monkeypatch.context() as m, pytest.raises(RuntimeError):
+                m.setattr(facts, "build_fact_cash_balances", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+                w.run_batch(n)
+        w.run_batch(n)
+        before = state()
+        w.run_batch(n)
+        assert state() == before
+    assert {name: len(r) for name, r in before.items()} == {name: incremental.store.read(name).count() for name in FACTS}
+
+    shutil.copytree(f"{raw}/Batch3", folder / "Batch4")
+    (folder / "Batch4" / "BatchDate.txt").write_text("2017-07-10\n")
+    w.run_batch(4)
+    after = state()
+    w.run_batch(4)
+    assert state() == after and w.last_batch() == 4
+    assert w.store.read("factmarkethistory").filter("batchid = 4").count() == w.store.read("factmarkethistory").filter("batchid = 3").count()
+
+
+def test_first_batch_again_loads_afresh(spark, raw, tmp_path):
+    w = Warehouse(spark, raw, TableStore(spark, str(tmp_path)))
+    counts = lambda: {name: w.store.read(name).count() for name in FACTS}
+    for n in (1, 2):
+        w.run_batch(n)
+    done = counts()
+    for n in (1, 2):
+        w.run_batch(n)
+    assert counts() == done
