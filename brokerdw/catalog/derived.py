@@ -6,6 +6,8 @@ securities, line items are quotes and trades. Every relation grows with the tabl
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -730,49 +732,57 @@ CTE["watch"] = f"""
 """
 
 
-_WAREHOUSES: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
-def warehouse(spark, sf) -> dict[str, DataFrame]:
-    """All products by name, stored once per application, for reports that read several of them."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = _build_warehouse(spark, sf)
-    return _WAREHOUSES[key]
-
-
-def _build_warehouse(spark, sf) -> dict[str, DataFrame]:
-    customer = stored(dim_customer(spark, sf), "dimcustomer")
-    account = stored(dim_account(spark, sf, customer), "dimaccount")
-    wire, company = company_tables(spark, sf)
-    security = stored(dims.build_dim_security(wire, company), "dimsecurity")
-    fin = stored(dims.build_financial(wire, company), "financial")
-    final = dims.trades_final(trades(spark, sf), trade_history(spark, sf))
-    trade = stored(dims.build_dim_trade(final, security, account), "dimtrade")
-    eps = stages.company_eps_stage(fin, company)
-    built = {
-        "dimdate": dim_date(spark, sf),
-        "dimbroker": dim_broker(spark, sf),
-        "dimtime": trade.select(F.col("sk_closetimeid").alias("sk_timeid")).filter("sk_timeid IS NOT NULL").distinct(),
-        "industry": industry(spark, sf),
-        "taxrate": tax_rate(spark, sf),
-        "statustype": table(spark, sf, "orders").select(F.col("o_orderstatus").alias("st_id")).distinct(),
-        "tradetype": table(spark, sf, "orders").select(F.col("o_orderpriority").alias("tt_id")).distinct(),
-        "factholdings": facts.build_fact_holdings(holdings(spark, sf), trade),
-        "factcashbalances": facts.build_fact_cash_balances(stages.cash_stage(cash_transactions(spark, sf)), account),
-        "factmarkethistory": facts.build_fact_market_history(
-            stages.daily_market_stage(daily_market(spark, sf)), security, eps
-        ),
-        "factwatches": facts.build_fact_watches(facts.watch_stage(watches(spark, sf)), security, customer),
-        "prospect": facts.build_prospect(prospect_stage(spark, sf), 3, customer, batch_date(spark)),
-    }
-    return {
-        "dimcustomer": customer,
-        "dimaccount": account,
-        "dimcompany": company,
-        "dimsecurity": security,
-        "financial": fin,
-        "dimtrade": trade,
-        "finwire": wire,
-        **{name: stored(df, name) for name, df in built.items()},
-    }
+class Products(Mapping):
+    """All products by name; one that a report reads is built and stored when it is first asked for."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf, self.built = spark, sf, {}
+        s = self
+        self.makers = {
+            "finwire": lambda: finwire(spark, sf),
+            "dimcustomer": lambda: dim_customer(spark, sf),
+            "dimaccount": lambda: dim_account(spark, sf, s["dimcustomer"]),
+            "dimcompany": lambda: dim_company(spark, sf, s["finwire"]),
+            "dimsecurity": lambda: dims.build_dim_security(s["finwire"], s["dimcompany"]),
+            "financial": lambda: dims.build_financial(s["finwire"], s["dimcompany"]),
+            "dimtrade": lambda: dims.build_dim_trade(
+                dims.trades_final(trades(spark, sf), trade_history(spark, sf)), s["dimsecurity"], s["dimaccount"]
+            ),
+            "dimdate": lambda: dim_date(spark, sf),
+            "dimbroker": lambda: dim_broker(spark, sf),
+            "dimtime": lambda: s["dimtrade"].select(F.col("sk_closetimeid").alias("sk_timeid")).filter("sk_timeid IS NOT NULL").distinct(),
+            "industry": lambda: industry(spark, sf),
+            "taxrate": lambda: tax_rate(spark, sf),
+            "statustype": lambda: table(spark, sf, "orders").select(F.col("o_orderstatus").alias("st_id")).distinct(),
+            "tradetype": lambda: table(spark, sf, "orders").select(F.col("o_orderpriority").alias("tt_id")).distinct(),
+            "factholdings": lambda: facts.build_fact_holdings(holdings(spark, sf), s["dimtrade"]),
+            "factcashbalances": lambda: facts.build_fact_cash_balances(
+                stages.cash_stage(cash_transactions(spark, sf)), s["dimaccount"]
+            ),
+            "factmarkethistory": lambda: facts.build_fact_market_history(
+                stages.daily_market_stage(daily_market(spark, sf)),
+                s["dimsecurity"],
+                stages.company_eps_stage(s["financial"], s["dimcompany"]),
+            ),
+            "factwatches": lambda: facts.build_fact_watches(
+                facts.watch_stage(watches(spark, sf)), s["dimsecurity"], s["dimcustomer"]
+            ),
+            "prospect": lambda: facts.build_prospect(prospect_stage(spark, sf), 3, s["dimcustomer"], batch_date(spark)),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            made = self.makers[name]()
+            self.built[name] = made if name == "finwire" else stored(made, name)  # the wire stage is stored as it is made
+        return self.built[name]
+
+    def __iter__(self):
+        return iter(self.makers)
+
+    def __len__(self) -> int:
+        return len(self.makers)
+
+
+def warehouse(spark, sf) -> Products:
+    """The products of one query."""
+    return Products(spark, sf)

@@ -243,6 +243,134 @@ def xml_scan(spark, sf):
     )
 
 
+def _action(key, kind):
+    """An action of the customer extract with every element it can have."""
+    phone = lambda n: F.struct(
+        F.when(key % 2 == 0, "1").alias("C_CTRY_CODE"),
+        F.when(key % 3 == 0, F.substring("c_mktsegment", 1, 2)).alias("C_AREA_CODE"),
+        F.when(key % (n + 3) != 0, F.substring("c_mktsegment", 4, 3)).alias("C_LOCAL"),
+        F.when(key % 5 == 0, "99").alias("C_EXT"),
+    )
+    customer = F.struct(
+        key.alias("_C_ID"),
+        F.concat(F.lit("T"), key.cast("string")).alias("_C_TAX_ID"),
+        F.when(key % 2 == 0, "m").otherwise("").alias("_C_GNDR"),
+        F.when(key % 4 != 0, key % 4).alias("_C_TIER"),
+        F.lit("1970-01-31").alias("_C_DOB"),
+        F.struct(F.col("c_name").alias("C_L_NAME"), F.lit("F & <G>").alias("C_F_NAME")).alias("Name"),
+        F.struct(F.col("c_mktsegment").alias("C_CITY"), F.lit("").alias("C_ADLINE2")).alias("Address"),
+        F.struct(F.lit("a@b").alias("C_PRIM_EMAIL"), *[phone(n).alias(f"C_PHONE_{n}") for n in (1, 2, 3)]).alias("ContactInfo"),
+        F.struct(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("C_LCL_TX_ID")).alias("TaxInfo"),
+        F.when(key % 3 != 0, F.struct((key * 10).alias("_CA_ID"), (key % 3).alias("_CA_TAX_ST"), F.lit("acct").alias("CA_NAME"))).alias("Account"),
+    )
+    return F.struct(kind.alias("_ActionType"), F.lit("1999-12-31T10:11:12").alias("_ActionTS"), customer.alias("Customer"))
+
+
+_KINDS = ["NEW", "ADDACCT", "UPDACCT", "UPDCUST", "CLOSEACCT", "INACT"]
+_PHONE_SQL = """CASE WHEN c_custkey % {m} <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN '+1 ' ELSE '' END ||
+        CASE WHEN c_custkey % 3 = 0 THEN '(' || substr(c_mktsegment, 1, 2) || ') ' ELSE '' END || substr(c_mktsegment, 4, 3) ||
+        CASE WHEN c_custkey % 5 = 0 THEN '99' ELSE '' END END AS phone{n}"""
+
+
+@query(
+    "customer_mgmt_stage",
+    f"""
+    SELECT c_custkey AS customerid, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey * 10 END AS accountid,
+           'T' || c_custkey AS taxid, CASE WHEN c_custkey % 3 <> 0 THEN 'acct' END AS accountdesc,
+           CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey % 3 AS TINYINT) END AS taxstatus,
+           CASE WHEN c_custkey % 6 < 4 THEN 'Active' ELSE 'Inactive' END AS status, c_name AS lastname,
+           'F & <G>' AS firstname, CASE WHEN c_custkey % 2 = 0 THEN 'M' END AS gender,
+           CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey % 4 AS TINYINT) END AS tier, '1970-01-31' AS dob,
+           NULL AS addressline2, c_mktsegment AS city, {", ".join(_PHONE_SQL.format(m=n + 3, n=n) for n in (1, 2, 3))},
+           'a@b' AS email1, 'N' || c_nationkey AS lcl_tx_id, '1999-12-31 10:11:12' AS update_ts,
+           ({_KINDS})[CAST(c_custkey % 6 + 1 AS INT)] AS actiontype
+    FROM customer
+    """,
+)
+def customer_mgmt_stage(spark, sf):
+    """The customer extract from XML to flat rows (DP-7)."""
+    from brokerdw.plans.stages import customer_mgmt
+    from brokerdw.sources import schemas
+
+    root = scratch_dir(spark, "mgmt")
+    key = F.col("c_custkey")
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (key % 6 + 1).cast("int"))
+    record = F.to_xml(_action(key, kind), {"rowTag": "Action"})
+    for tag in ("<Action", "</Action"):
+        record = F.replace(record, F.lit(tag), F.lit(tag.replace("Action", schemas.XML_ROW_TAG)))
+    table(spark, sf, "customer").select(record).write.text(f"{root}/Batch1")
+    flat = customer_mgmt(scans.scan_xml(spark, f"{root}/Batch1", schemas.XML_ROW_TAG, schemas.CUSTOMER_MGMT, FILES))
+    cols = (
+        "customerid accountid taxid accountdesc taxstatus status lastname firstname gender tier dob addressline2 city "
+        "phone1 phone2 phone3 email1 lcl_tx_id"
+    )
+    return flat.select(*cols.split(), F.col("update_ts").cast("string").alias("update_ts"), "actiontype")
+
+
+@query(
+    "customer_changes",
+    f"""
+    SELECT c_custkey AS customerid, CASE WHEN c_custkey % 2 = 0 THEN 'Active' ELSE 'Inactive' END AS status, c_name AS lastname,
+           CASE WHEN c_custkey % 3 <> 0 THEN 'F' END AS gender, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS city,
+           {_PHONE_SQL.format(m=4, n=1)}, c_custkey % 3 + 2 AS batchid
+    FROM customer
+    """,
+)
+def customer_changes(spark, sf):
+    """Change files of later batches, blanks as null, status and phones decoded (DP-7)."""
+    from brokerdw.plans import stages
+    from brokerdw.sources import schemas
+
+    key = F.col("c_custkey")
+    given = {
+        "customerid": key,
+        "status": F.when(key % 2 == 0, "ACTV").otherwise("INAC"),
+        "lastname": F.col("c_name"),
+        "gender": F.when(key % 3 != 0, "f").otherwise(""),
+        "city": F.when(key % 5 != 0, F.col("c_mktsegment")).otherwise(""),
+        "c_ctry_1": F.when(key % 2 == 0, "1"),
+        "c_area_1": F.when(key % 3 == 0, F.substring("c_mktsegment", 1, 2)),
+        "c_local_1": F.when(key % 4 != 0, F.substring("c_mktsegment", 4, 3)),
+        "c_ext_1": F.when(key % 5 == 0, "99"),
+    }
+    names = [c.split()[0] for c in schemas.CUSTOMER.split(", ")]
+    raw = table(spark, sf, "customer").select(
+        (key % 3 + 2).alias("batchid"), F.lit("I").alias("cdc_flag"), key.alias("cdc_dsn"),
+        *[given.get(c, F.lit("")).alias(c) for c in names],
+    )
+    root = scratch_dir(spark, "custcdc")
+    raw.write.partitionBy("batchid").option("sep", "|").csv(f"{root}/raw")
+    loaded = scans.scan_delimited(spark, f"{root}/raw", f"{schemas.CDC_COLUMNS}, {schemas.CUSTOMER}, batchid INT")
+    return stages.customer_changes(loaded).select("customerid", "status", "lastname", "gender", "city", "phone1", "batchid")
+
+
+@query(
+    "account_changes",
+    """
+    SELECT o_orderkey AS accountid, o_custkey AS customerid, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS accountdesc,
+           CAST(o_orderkey % 3 AS TINYINT) AS taxstatus, o_custkey % 7 AS brokerid,
+           CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Active' END AS status, o_orderkey % 2 + 2 AS batchid
+    FROM orders
+    """,
+)
+def account_changes(spark, sf):
+    """Change files of accounts (DP-7)."""
+    from brokerdw.plans import stages
+    from brokerdw.sources import schemas
+
+    key = F.col("o_orderkey")
+    raw = table(spark, sf, "orders").select(
+        (key % 2 + 2).alias("batchid"), F.lit("U").alias("cdc_flag"), key.alias("cdc_dsn"), key.alias("accountid"),
+        (F.col("o_custkey") % 7).alias("brokerid"), F.col("o_custkey").alias("customerid"),
+        F.when(key % 2 == 0, F.col("o_orderpriority")).otherwise("").alias("accountdesc"), (key % 3).alias("taxstatus"),
+        F.when(F.col("o_orderstatus") == "F", "CMPT").when(F.col("o_orderstatus") == "O", "ACTV").otherwise("???").alias("status"),
+    )
+    root = scratch_dir(spark, "acctcdc")
+    raw.write.partitionBy("batchid").option("sep", "|").csv(f"{root}/raw")
+    loaded = scans.scan_delimited(spark, f"{root}/raw", f"{schemas.CDC_COLUMNS}, {schemas.ACCOUNT}, batchid INT")
+    return stages.account_changes(loaded)
+
+
 @query(
     "metadata_ingest",
     """
