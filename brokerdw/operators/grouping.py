@@ -67,22 +67,11 @@ def snapshot_as_of(df: DataFrame, n: int, batch: str = "batchid", last: str = "r
 
 
 def latest_snapshot_row(df: DataFrame, keys: Sequence[str], batch: str = "batchid") -> DataFrame:
-    """Newest row of each key over all snapshots, with the last and the first batch of the key.
-
-    The newest row is carried in an array to which its batch is appended.
-    """
+    """Newest row of each key over all snapshots, with the last and the first batch of the key."""
     cols = [c for c in df.columns if c not in keys and c != batch]
-    texts = F.array(*[F.col(c).cast("string") for c in cols])
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.max_by(F.array_append(texts, F.col(batch).cast("string")), F.col(batch)).alias("_row"),
-            F.min(batch).alias(batch),
-        )
-        .select(
-            *keys,
-            *[F.get("_row", F.lit(i)).cast(df.schema[c].dataType).alias(c) for i, c in enumerate(cols)],
-            F.get("_row", F.lit(len(cols))).cast("int").alias("recordbatchid"),
-            batch,
-        )
+    newest = df.groupBy(*keys).agg(
+        F.max_by(F.struct(F.lit(1).alias("_"), *cols), F.col(batch)).alias("_row"),
+        F.max(batch).cast("int").alias("recordbatchid"),
+        F.min(batch).alias(batch),
     )
+    return newest.select(*keys, *[F.col("_row")[c].alias(c) for c in cols], "recordbatchid", batch)

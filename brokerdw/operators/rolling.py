@@ -15,7 +15,8 @@ def running_balance(
 ) -> DataFrame:
     """Daily totals per key, then the balance up to and including each day.
 
-    Totals are summed as decimals, so the result does not depend on row order. The
+    Amounts are rounded to four decimals and summed as decimals of up to 24 digits before
+    the point, so the result does not depend on row order. The
     window runs over daily totals: a key has at most one row per day (and value of
     ``extra_keys``) left, however many rows it had before. Rows of one day share the
     day's balance.
@@ -23,7 +24,7 @@ def running_balance(
     daily = (
         df.withColumn("_day", F.to_date(date))
         .groupBy(key, "_day", *extra_keys)
-        .agg(F.sum(F.col(amount).cast("decimal(18,4)")).alias("_total"))
+        .agg(F.sum(F.col(amount).cast("decimal(28,4)")).alias("_total"))
     )
     upto = Window.partitionBy(key).orderBy("_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     balance = F.sum("_total").over(upto).cast("double")
@@ -136,7 +137,7 @@ def cumulative_by_group(df: DataFrame, group: str, value: str, out: str = "cumul
     Meant for a bounded number of groups such as batch ids: the window runs over one
     row per group.
     """
-    totals = df.groupBy(group).agg(F.sum(F.col(value).cast("decimal(18,4)")).alias("total"))
+    totals = df.groupBy(group).agg(F.sum(F.col(value).cast("decimal(28,4)")).alias("total"))
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return totals.select(
         group, F.col("total").cast("double").alias("total"), F.sum("total").over(w).cast("double").alias(out)
