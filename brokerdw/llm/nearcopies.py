@@ -8,9 +8,10 @@ that share a band are candidates, and every link is confirmed on the full shingl
 a similarity of 0.8 a pair shares no band with a probability of 1.3e-7.
 
 Texts with the same shingle set are one node. In a bucket of nodes all are first compared
-with one of them; only where a bucket then still holds several components, the nodes of
-different components are compared too. A large group of copies so costs about one
-comparison a node and band, and no link that could join two components goes unchecked.
+with one of them. Where a bucket then still holds several components, its nodes go through
+an exact prefix filter, and those that pass and differ in component are compared block by
+block, without a row for each pair. A large group of copies so costs about one comparison a node and band, and no link
+that could join two components goes unchecked.
 
 Nulls and texts without words have no shingles and are linked with nothing. Texts of fewer
 words than a shingle have one shingle. Rows that repeat an id are one document. Rows
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brokerdw.llm.common import stored
@@ -36,6 +37,8 @@ BANDS, ROWS = 40, 5
 COORDINATES = BANDS * ROWS
 # Bits of the filter that spares reading most texts a second time; its size is fixed.
 FILTER_BITS = 1 << 22
+# Shingles of the sets in a block.
+BLOCK_SHINGLES = 1 << 16
 REMEMBERED = 200_000
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -172,6 +175,88 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(task, "a long, b long")
 
 
+def posts(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """s, node, n, i: the shingles at the front of each set's order, by which similar sets must meet.
+
+    With shingles in order of rarity, two similar sets share one among their first
+    n - ceil(n * percent / 100) + 1. A variant whose own edits fill these places meets nobody.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column(0), batch.column(1), strict=True):
+                s = np.frombuffer(data.as_buffer(), np.int64)
+                same = np.full(len(s), node.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(same), pa.array(s)], ["node", "s"])
+
+    held = sets.join(nodes.select("node"), "node").select("node", "set").mapInArrow(task, "node long, s long")
+    shared = held.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1")
+    own = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "s")) - 1
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    front = held.join(shared, "s").join(nodes, "node").withColumn("i", place).filter(F.col("i") <= room)
+    return front.select("s", "node", "n", "i")
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """Per set of ``a``: how many elements it has in common with each set of ``b``."""
+    held = np.concatenate(b)
+    owner = np.repeat(np.arange(len(b)), [len(x) for x in b])
+    order = np.argsort(held, kind="stable")
+    held, owner = held[order], owner[order]
+    for i, x in enumerate(a):
+        low, high = np.searchsorted(held, x, "left"), np.searchsorted(held, x, "right")
+        size = high - low
+        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        yield i, np.bincount(owner[at], minlength=len(b))
+
+
+def block_links(front: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links a, b between nodes of different components that share a shingle of ``posts``.
+
+    The holders of a shingle form the family of its most frequent component. The nodes of
+    a family that are in other components are compared with all of it, block by block:
+    a row holds two blocks of sets, whatever the number of pairs between them, and gives
+    one link for each node and component it meets. Blocks have a bounded number of shingles.
+    """
+    rows = front.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    groups = rows.groupBy("s", "comp").agg(F.count("*").alias("c"))
+    most = groups.groupBy("s").agg(F.max_by("comp", F.struct("c", "comp")).alias("family"), F.count("*").alias("k"))
+    members = rows.join(most.filter("k > 1").drop("k"), "s").select("family", "node", "comp", "n").distinct()
+    members = stored(members.withColumn("other", F.col("comp") != F.col("family")), "copies-families")
+    total = members.groupBy("family", "other").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    placed = members.join(total, ["family", "other"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    full = placed.join(sets, "node").groupBy("family", "other", "block").agg(
+        F.collect_list(F.struct("node", "comp", "set")).alias("nodes")
+    )
+    full = stored(full, "copies-blocks")
+    keys = full.select("family", "other", "block")
+    one = keys.filter("other").select("family", F.col("block").alias("x"))
+    two = keys.select("family", F.col("other").alias("o"), F.col("block").alias("y"))
+    pairs = one.join(two, "family").filter("not o or x <= y")
+    left = full.filter("other").select("family", F.col("block").alias("x"), F.col("nodes").alias("first"))
+    right = full.select("family", F.col("other").alias("o"), F.col("block").alias("y"), F.col("nodes").alias("second"))
+    met = pairs.join(left, ["family", "x"]).join(right, ["family", "o", "y"]).select("first", "second")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                first, second = (batch.column(k)[i].as_py() for k in (0, 1))
+                x, y = ([np.frombuffer(r["set"], np.uint64) for r in rows_] for rows_ in (first, second))
+                sizes = np.array([len(s) for s in y])
+                comps = np.array([r["comp"] for r in second])
+                links = []
+                for j, common in common_counts(x, y):
+                    good = 100 * common >= percent * (len(x[j]) + sizes - common)
+                    good &= comps != first[j]["comp"]
+                    _, at = np.unique(comps[good], return_index=True)
+                    links += [(first[j]["node"], second[k]["node"]) for k in np.flatnonzero(good)[at]]
+                columns = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return met.mapInArrow(task, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) of nodes a, b with edges, by alternating large and small stars."""
     edges = stored(edges.select("a", "b").distinct(), "copies-edges")
@@ -214,12 +299,9 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
 
     labelled = members.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = labelled.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo != _hi")
-    open_ = stored(labelled.join(several.select("bucket"), "bucket").join(size, "node"), "copies-open")
-    one = open_.select("bucket", F.col("node").alias("a"), F.col("comp").alias("c1"), "n", "lead")
-    two = open_.select("bucket", F.col("node").alias("b"), F.col("comp").alias("c2"), F.col("n").alias("n2"))
-    cross = one.join(two, "bucket").filter("a < b and c1 != c2").filter(similar).filter("a != lead and b != lead")
-    more = verified(cross.select("a", "b").distinct(), sets, percent)
-    found = components(links.union(more))
+    open_ = labelled.join(several.select("bucket"), "bucket").select("node").distinct().join(size, "node")
+    front = stored(posts(stored(open_, "copies-open"), sets, percent), "copies-posts")
+    found = components(links.union(block_links(front, found, sets, percent)))
 
     placed = nodes.join(found, "node", "left").select("node", "low", F.coalesce("comp", "node").alias("comp"))
     lowest = placed.groupBy("comp").agg(F.min("low").alias("keep"))
