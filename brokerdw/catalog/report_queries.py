@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from brokerdw.catalog import derived as d
 from brokerdw.catalog.registry import query, table
+from brokerdw.operators import checks
 from brokerdw.plans import audit, messages
 from brokerdw.sources.scans import union_all
 
@@ -286,3 +287,33 @@ def audit_report(spark, sf):
         ]
     )
     return audit.audit(w, log, expected)
+
+
+def _rule(name: str, rule: str, passes: str) -> str:
+    return (
+        f"SELECT '{name}' AS name, '{rule}' AS rule, count(*) FILTER (WHERE {passes}) AS passed, "
+        f"count(*) - count(*) FILTER (WHERE {passes}) AS failed FROM "
+    )
+
+
+@query(
+    "expectations_products",
+    d.with_ctes(
+        f"{d.TRADE} financial eps market factmarket",
+        " UNION ALL ".join(
+            [
+                _rule("dimcustomer", "invalid_customer_tier", "tier IN (1, 2, 3)") + "dimcustomer",
+                _rule("factmarkethistory", "no_earnings_for_company", "peratio IS NOT NULL") + "factmarket",
+                _rule("dimtrade", "invalid_trade_commission", "commission IS NULL OR commission <= tradeprice * quantity") + "dimtrade",
+                _rule("dimtrade", "invalid_trade_fee", "fee IS NULL OR fee <= tradeprice * quantity") + "dimtrade",
+            ]
+        ),
+    ),
+)
+def expectations_products(spark, sf):
+    """The rules of the change pipeline on the products they belong to (DQ-7)."""
+    w = d.warehouse(spark, sf)
+    found = [
+        checks.expect(w[name], rules).select(F.lit(name).alias("name"), "*") for name, rules in messages.expectations().items()
+    ]
+    return union_all(found)

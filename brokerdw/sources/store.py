@@ -1,9 +1,10 @@
 """Tables as lists of immutable Parquet folders.
 
-A commit row names the folders that make up a version. A load writes new folders
-first and commits last, so a table can be read while it is being replaced and a lost
-executor or a failed job leaves the previous version intact. Replacing only the
-folder of current rows keeps a type 2 batch from rewriting history.
+A commit row names the folders a load adds and which earlier ones stay, so the log grows
+with the loads and not with their square. A load writes new folders first and commits
+last, so a table can be read while it is being replaced and a lost executor or a failed
+job leaves the previous version intact. Replacing only the folder of current rows keeps a
+type 2 batch from rewriting history.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_COMMIT = "version BIGINT, parts STRING, flow STRING, fresh BOOLEAN"
+_COMMIT = "version BIGINT, parts STRING, flow STRING, fresh BOOLEAN, keep STRING"
+# Which folders of the version before a commit keeps: all, none, or those with this label.
+ALL, NONE = "*", ""
 
 
 class TableStore:
@@ -64,12 +67,16 @@ class TableStore:
         return False
 
     def parts(self, name: str) -> list[dict]:
+        """The folders of the current version."""
+        parts: list[dict] = []
+        for row in self.commits(name):
+            parts = [p for p in parts if row.keep in (ALL, p["label"])] + json.loads(row.parts)
+        return parts
+
+    def commit(self, name: str, parts: list[dict], flow: str = "", keep: str = NONE, fresh: bool = False) -> None:
+        """Add folders to a table; ``fresh`` starts it anew, so that loads before count as not done."""
         done = self.commits(name)
-        return json.loads(done[-1].parts) if done else []
-
-    def commit(self, name: str, parts: list[dict], flow: str = "", fresh: bool = False) -> None:
-        done = self.commits(name)
-        entry = Row(version=len(done) + 1, parts=json.dumps(parts), flow=flow, fresh=fresh)
+        entry = Row(version=len(done) + 1, parts=json.dumps(parts), flow=flow, fresh=fresh, keep=keep)
         row = self.spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in entry.asDict().items()])
         row.write.mode("append").json(self._log(name))
         self._known[name] = [*done, entry]
@@ -114,7 +121,7 @@ class TableStore:
         if before and mode == "error":
             raise ValueError(f"table {name} exists")
         part = self.write_part(name, df, label, partition_by, cluster_by, derived)
-        self.commit(name, [*before, part] if mode == "append" else [part], flow, fresh=mode != "append")
+        self.commit(name, [part], flow, ALL if mode == "append" else NONE, fresh=mode != "append")
         return self.read(name)
 
     def read(self, name: str, label: str | None = None) -> DataFrame:
@@ -137,7 +144,7 @@ class TableStore:
         """Rewrite a table into one folder, optionally through a combining plan."""
         df = self.read(name)
         part = self.write_part(name, combine(df) if combine else df)
-        self.commit(name, [part], "compact")
+        self.commit(name, [part], "compact", NONE)
         return self.read(name)
 
     def view(self, name: str, df: DataFrame | None = None) -> DataFrame:
@@ -148,7 +155,7 @@ class TableStore:
 
     # -- tables with a final part -------------------------------------------
     def write_split(
-        self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: Sequence[dict] | None = None
+        self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: str = NONE
     ) -> DataFrame:
         """Write a table once, split by a flag whose value ``final`` marks rows that never change.
 
@@ -158,13 +165,12 @@ class TableStore:
         part = self.write_part(name, df, partition_by=[flag])
         yes, no = ("final", "open") if final else ("open", "final")
         split = [{**part, "label": yes, "only": flag}, {**part, "label": no, "only": f"NOT {flag}"}]
-        self.commit(name, [*(keep or []), *split], flow, fresh=keep is None)
+        self.commit(name, split, flow, keep, fresh=keep == NONE)
         return self.read(name)
 
     def merge_split(self, name: str, rows: DataFrame, flag: str, final: bool, flow: str = "") -> DataFrame:
         """Keep all final parts; ``rows`` are the new open rows and those that became final."""
-        keep = [p for p in self.parts(name) if p["label"] == "final"]
-        return self.write_split(name, rows, flag, final, flow, keep)
+        return self.write_split(name, rows, flag, final, flow, "final")
 
     def write_scd2(self, name: str, df: DataFrame, flow: str = "") -> DataFrame:
         """First load of a type 2 table; closed versions are final."""
