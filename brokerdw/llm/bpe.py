@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
 # Words, and runs without white space, remembered per Python worker (twice as many at most).
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 # Letters whose words need no normalization beyond lower case: a-z and those of Latin-1.
 PLAIN = [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]
 ROWS_PER_BATCH = 512

@@ -39,7 +39,7 @@ COORDINATES = BANDS * ROWS
 FILTER_BITS = 1 << 22
 # Shingles of the sets in a block.
 BLOCK_SHINGLES = 1 << 16
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 

@@ -40,7 +40,9 @@ PARTS, STEPS, RATE, DECAY = 4, 240, 0.05, 1e-4
 CLIP = 3.0
 THRESHOLD = 0.3
 HELD_OUT = 2  # the remainder modulo 4 that labels are not learned from
-REMEMBERED = 200_000
+REMEMBERED = 60_000
+# Features that a task counts before it passes the counts on.
+COUNTED = 100_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -114,20 +116,25 @@ def sample(docs: DataFrame, confirmed: DataFrame, positives: int, others: int, t
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
-    """feature, p, u: documents of the sample holding it, counted per task first."""
+    """feature, p, u: documents of the sample holding it, counted within tasks first."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {True: Counter(), False: Counter()}
+        counts: Counter[tuple[str, bool]] = Counter()
+
+        def passed_on() -> pa.RecordBatch:
+            names, sides = [f for f, _ in counts], [s for _, s in counts]
+            n = list(counts.values())
+            p, u = ([x if s is side else 0 for s, x in zip(sides, n, strict=True)] for side in (True, False))
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(p, pa.int64()), pa.array(u, pa.int64())], ["feature", "p", "u"])
+
         for batch in batches:
-            for text, positive in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[positive].update(document_features(text))
-        names = list(counts[True].keys() | counts[False].keys())
-        for start in range(0, max(1, len(names)), 100_000):
-            part = names[start : start + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), *(pa.array([counts[s][f] for f in part], pa.int64()) for s in (True, False))],
-                ["feature", "p", "u"],
-            )
+            for text, positive in zip(batch.column(0), batch.column(1), strict=True):
+                side = positive.as_py()
+                counts.update((f, side) for f in document_features(text.as_py()))
+                if len(counts) >= COUNTED:
+                    yield passed_on()
+        yield passed_on()
 
     found = rows.select("text", "positive").mapInArrow(task, "feature string, p long, u long")
     return found.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
