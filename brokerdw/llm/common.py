@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
@@ -11,35 +10,18 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BEFORE, WHOLE = "_before", "_whole"
-
+from brokerdw.session import scratch_dir
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
-
-    A local folder is taken only where the setting is absent and the session runs on one
-    machine (tests); on a cluster without the setting this raises.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="brokerdw-llm-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+BEFORE, WHOLE = "_before", "_whole"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = shared_folder(df.sparkSession, name)
+    path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, other letters as they are."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def group_key(column: str) -> Column:
     """Text that is equal for equal values and for nulls, and different otherwise."""
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))

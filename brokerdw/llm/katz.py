@@ -33,7 +33,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerdw.llm.common import shared_folder, stored
+from brokerdw.llm.common import stored
+from brokerdw.session import scratch_dir
 
 ORDER = 2
 CUT = 5
@@ -323,7 +324,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     table = stored(chunks(docs), "lm-chunks")
     size = table.agg(F.sum("n").alias("n"), F.sum("train_docs").alias("d")).first()
     parts = max(1, math.ceil((size["n"] or 0) / PART_TOKENS))
-    path = shared_folder(spark, "lm-counts")
+    path = scratch_dir(spark, "lm-counts")
     counted = asks(table, order, parts).groupBy("ord", "part").applyInPandas(count_part, COUNTS)
     counted.write.partitionBy("kind").parquet(path)
     counts = spark.read.schema(COUNTS).parquet(path)
