@@ -10,6 +10,7 @@ from brokerdw.llm import bpe, fingerprints, hnsw, katz, license, lines, mixing,
 from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
+MODEL_ORDER = 3
 QUERIES = {}
 ORACLES = {}
 
@@ -116,7 +117,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_katz")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(read(spark, sf_dir, "documents"))
+    return katz.score(read(spark, sf_dir, "documents"), MODEL_ORDER)
 
 
 @query("op4_near_copies")

@@ -1,5 +1,6 @@
 """Licence scan, language model and BPE against brute force."""
 
+import functools
 import hashlib
 import math
 import re
@@ -89,6 +90,54 @@ def test_language_model_equals_recursion_by_hand(spark, odd):
             assert abs(sum(p(context, w) for w in lower) + p(context, "never met") - 1) < 1e-9
 
 
+def katz_of_order(docs, order):
+    """The recursion in plain Python for any order."""
+    split = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(ASCII)), "\n"]
+    grams = lambda w, k: list(zip(*[([" "] * (k - 1) + w)[i:] for i in range(k)]))
+    counts = [Counter(g for i, t in docs if i is None or zlib.crc32(str(i).encode()) % 7 != 2 for g in grams(split(t), k)) for k in range(1, order + 1)]
+    d = [katz.discounts([sum(c == r for c in x.values()) for r in range(1, katz.CUT + 2)]) for x in counts]
+    after, follow = Counter(), {}
+    for x in counts:
+        for g, c in x.items():
+            after[g[:-1]] += c
+            follow.setdefault(g[:-1], []).append(g[-1])
+    seen = lambda g: d[len(g) - 1][min(counts[len(g) - 1][g], katz.CUT + 1)] * counts[len(g) - 1][g] / (after[g[:-1]] + 1)
+    unknown = 1 - sum(seen(g) for g in counts[0])
+
+    @functools.cache
+    def alpha(h):
+        return (1 - sum(seen((*h, w)) for w in follow[h])) / (1 - sum(p((*h[1:], w)) for w in follow[h]))
+
+    def p(g):
+        if counts[len(g) - 1][g]:
+            return seen(g)
+        if len(g) == 1:
+            return unknown
+        return p(g[1:]) * (alpha(g[:-1]) if after[g[:-1]] else 1)
+
+    return [(i, round(sum(math.log10(p(g)) for g in grams(split(t), order)), 6)) for i, t in docs], p, [g[0] for g in counts[0]]
+
+
+def test_language_model_of_higher_orders_equals_recursion(spark, odd, monkeypatch):
+    some = spark.createDataFrame(
+        [(i, f"the cat {'sat' if i % 3 else 'ran'} on the {'mat' if i % 2 else 'red roof'} {i % 11}") for i in range(60)],
+        "doc_id long, text string",
+    )
+    monkeypatch.setattr(katz, "PART_TOKENS", 100)
+    for df, order in ((some, 3), (some, 4), (odd.filter("doc_id is null or doc_id != 8"), 3)):
+        want, p, words = katz_of_order(texts(df), order)
+        got = [(r["doc_id"], round(r["score"], 6)) for r in katz.score(df, order).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+        for context in ((" ", " "), (" ", "the"), ("on", "the"), ("never", "met"), ("met", "the")):
+            assert abs(sum(p((*context, w)) for w in words) + p((*context, "never met")) - 1) < 1e-9
+
+
+def test_language_model_query_scores_trigrams(spark):
+    want, _, _ = katz_of_order(texts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")), 3)
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op2_katz"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(want) and all(abs(got[i] - s) < 1e-5 for i, s in want)
+
+
 def test_language_model_chunks_do_not_matter(odd, monkeypatch):
     rows = lambda: sorted(((r["doc_id"], r["n_known"], round(r["score"], 6)) for r in katz.score(odd).collect()), key=repr)
     whole = rows()
