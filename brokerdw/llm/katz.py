@@ -288,8 +288,8 @@ def score_chunk(c: Chunk, answers: list[np.ndarray], m: Model, parts: int) -> tu
     return docs, sums, wanted
 
 
-SCORED = "ord int, part int, chunk long, doc int, keys binary, a binary, b binary, {}"
-RESULT = "doc_id {}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+RESULT = "held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SCORED = f"ord int, part int, chunk long, doc int, keys binary, a binary, b binary, {RESULT}"
 
 
 def weigh_part(pdf: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
@@ -320,7 +320,6 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     folder: counts by order and part.
     """
     spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType.simpleString()
     table = stored(chunks(docs), "lm-chunks")
     size = table.agg(F.sum("n").alias("n"), F.sum("train_docs").alias("d")).first()
     parts = max(1, math.ceil((size["n"] or 0) / PART_TOKENS))
@@ -333,7 +332,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     )
     stats = {r["ord"]: [r[f"s{i}"] for i in range(CUT + 3)] for r in totals.collect()}  # one row per order
     model = Model(stats, size["d"] or 0, order)
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    names = ["held_out", "n_tokens", "n_known", "base_score", "score"]
 
     def one(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = chunk.iloc[0]
@@ -343,19 +342,19 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
             np.concatenate([unpack(b, np.uint64) for b in answers["counts"][answers["ord"] == k]]) for k in range(1, order + 1)
         ]
         found, sums, wanted = score_chunk(c, replies, model, parts)
-        per_doc = pd.DataFrame({"doc": np.arange(len(c.lengths)), "doc_id": list(row["ids"]), "held_out": ~c.train, **found})
+        per_doc = pd.DataFrame({"doc": np.arange(len(c.lengths)), "held_out": ~c.train, **found})
         rest = pd.DataFrame([*sums, *wanted], columns=["ord", "part", "keys", "a", "b"])
         out = pd.concat([per_doc.assign(ord=0, part=int(row["chunk"] % 1009)), rest])
         return out.assign(chunk=row["chunk"]).reindex(columns=["ord", "part", "chunk", "doc", "keys", "a", "b", *names])
 
-    columns = table.select("chunk", "lengths", "train", "words", "tokens", "ids")
+    columns = table.select("chunk", "lengths", "train", "words", "tokens")
     answers = counts.filter("kind = 'answer'").select("chunk", "ord", "part", "counts")
-    result = RESULT.format(kind)
-    scored = columns.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(one, SCORED.format(result))
-    weighed = scored.groupBy("ord", "part").applyInPandas(
-        lambda pdf: weigh_part(pdf, names), f"chunk long, doc int, {result}"
-    )
+    scored = columns.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(one, SCORED)
+    weighed = scored.groupBy("ord", "part").applyInPandas(lambda pdf: weigh_part(pdf, names), f"chunk long, doc int, {RESULT}")
     whole = weighed.groupBy("chunk", "doc").agg(
-        *[F.first(n, ignorenulls=True).alias(n) for n in names[:5]], F.sum("score").alias("score")
+        *[F.first(n, ignorenulls=True).alias(n) for n in names[:4]], F.sum("score").alias("score")
     )
-    return whole.select(*names[:4], F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    # The ids do not pass through pandas, where a column with missing values is one of floats.
+    ids = table.select("chunk", F.posexplode("ids").alias("doc", "doc_id"))
+    whole = whole.join(ids, ["chunk", "doc"])
+    return whole.select("doc_id", *names[:3], F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -145,6 +145,12 @@ def test_language_model_chunks_do_not_matter(odd, monkeypatch):
     assert rows() == whole
 
 
+def test_language_model_keeps_wide_ids(spark):
+    ids = [(1 << 60) + 1, (1 << 60) + 2, None, -(1 << 61) - 3]
+    rows = spark.createDataFrame([(i, "the cat sat") for i in ids], "doc_id long, text string").coalesce(1)
+    assert sorted((r["doc_id"] for r in katz.score(rows).collect()), key=repr) == sorted(ids, key=repr)
+
+
 def test_tokens_equal_the_library(odd, documents):
     tokenizer = Tokenizer.from_file(PATH)
     for df in (odd, documents):
