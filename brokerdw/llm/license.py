@@ -1,10 +1,15 @@
 """Licence scan by a positional index of rare words.
 
-Every template (a notice or a phrase) is a sequence of words with mandatory key phrases.
-The index holds, for each template, its words with the highest inverse document frequency
-over all documents, with their positions. In a file, occurrences of the rarest word give
-candidate starts; the postings of the other indexed words at the same relative position
-confirm or drop them; at a start that is left the key phrases are verified.
+Every template is a sequence of words: a phrase that must stand word for word, or a notice
+with mandatory key phrases. The index holds, for each phrase, its words with the highest
+inverse document frequency over all documents, with their positions, and for each notice
+the rarest word of each key phrase. In a file, occurrences of a phrase's rarest word give
+candidate starts; the postings of its other indexed words at the same relative position
+confirm or drop them. For a notice the postings of the indexed words lead to the key
+phrases; where all of them stand within ``SHIFT`` words of their places around one start,
+the share is counted in order over the starts within ``SHIFT`` of it, so that words left out
+or put in do not end the match. Of the places of a notice within ``SHIFT`` words the fullest
+counts.
 
 Words are runs of 0-9, a-z and characters beyond ASCII, after lower-casing A-Z.
 
@@ -16,6 +21,7 @@ read.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -24,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rare words per template that the index holds.
+# Rare words per phrase that the index holds.
 INDEXED = 4
-# Share of a template's words that a place must hold, and words by which a key phrase may be shifted.
+# Share of a notice's words that a place must hold, and words by which a word or key phrase may be shifted.
 COVERAGE, SHIFT = 0.7, 6
 # Byte table: A-Z become a-z, ASCII other than letters and digits becomes a blank.
 TABLE = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).lower()
@@ -59,6 +65,22 @@ TEMPLATES = (
     Template("cc-by", "creative commons attribution 4 0 international license"),
     Template("unlicense", "this is free and unencumbered software released into the public domain",
              ("free and unencumbered software", "public domain")),
+    Template("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+             ("apache license", "2 0", "in compliance with the license")),
+    Template("gpl-3", "gnu general public license as published by the free software foundation either version 3",
+             ("gnu general public license", "free software foundation", "version 3")),
+    Template("gpl-2", "gnu general public license as published by the free software foundation either version 2",
+             ("gnu general public license", "free software foundation", "version 2")),
+    Template("gpl-3", "version 3 of the gnu general public license", ("version 3", "gnu general public license")),
+    Template("gpl-2", "version 2 of the gnu general public license", ("version 2", "gnu general public license")),
+    Template("lgpl", "gnu lesser general public license as published by the free software foundation",
+             ("lesser general public license", "free software foundation")),
+    Template("lgpl", "gnu library general public license as published by the free software foundation",
+             ("library general public license", "free software foundation")),
+    Template("agpl-3", "gnu affero general public license as published by the free software foundation either version 3",
+             ("affero general public license", "free software foundation", "version 3")),
+    Template("mpl-2", "mozilla public license v 2 0", ("mozilla public license", "2 0")),
+    Template("cc-by", "creative commons attribution 4 0 international public license", ("creative commons attribution 4 0",)),
 )
 
 
@@ -94,14 +116,14 @@ class Index:
         self.plans = []
         for t in templates:
             words = words_of(t.text)
-            order = sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))  # noqa: B023
-            chosen = [(words[i], i) for i in order[:INDEXED]]
+            rarest = lambda positions: sorted(positions, key=lambda i: (-idf[words[i]], i))  # noqa: B023, E731
             keys = []
-            for phrase in t.keys or (t.text,):
+            for phrase in t.keys:
                 k = words_of(phrase)
                 at = next(i for i in range(len(words)) if words[i : i + len(k)] == k)
-                keys.append((k, at))
-            self.plans.append((t, words, chosen, keys))
+                keys.append((k, at, rarest(range(at, at + len(k)))[0]))
+            chosen = [i for _, _, i in keys] or rarest(range(len(words)))[:INDEXED]
+            self.plans.append((t, words, [(words[i], i) for i in chosen], keys))
         self.vocabulary = {w for _, _, chosen, _ in self.plans for w, _ in chosen}
 
     def places(self, words: list[bytes]) -> list[tuple[str, int, int, float, bool]]:
@@ -116,32 +138,55 @@ class Index:
                 at[w].append(i)
         found = []
         for t, text, chosen, keys in self.plans:
-            exact = not t.keys
-            present = [(w, i) for w, i in chosen if w in at]
-            if len(present) < (len(chosen) if exact else max(2, len(chosen) // 2)):
+            if any(w not in at for w, _ in chosen):
                 continue
-            starts: Counter[int] = Counter()
-            if exact:
-                left = {p - present[0][1] for p in at[present[0][0]]}
-                for w, i in present[1:]:
-                    left.intersection_update([p - i for p in at[w]])
-                starts.update(left)
-            else:
-                for w, i in present:
-                    starts.update(p - i for p in at[w])
+            if keys:
+                found.extend((t.label, max(start, 0), len(text), share, t.base) for start, share in notices(words, text, keys, at))
+                continue
+            starts = {p - chosen[0][1] for p in at[chosen[0][0]]}
+            for w, i in chosen[1:]:
+                starts.intersection_update([p - i for p in at[w]])
             for start in sorted(starts):
-                if exact:
-                    if start >= 0 and words[start : start + len(text)] == text:
-                        found.append((t.label, start, len(text), 1.0, t.base))
-                elif starts[start] >= max(2, len(chosen) // 2):
-                    share = sum(words[start + i : start + i + 1] == [w] for i, w in enumerate(text) if start + i >= 0) / len(text)
-                    if share >= COVERAGE and all(verified(words, k, start + p) for k, p in keys):
-                        found.append((t.label, max(start, 0), len(text), share, t.base))
+                if start >= 0 and words[start : start + len(text)] == text:
+                    found.append((t.label, start, len(text), 1.0, t.base))
         return found
 
 
-def verified(words: list[bytes], phrase: list[bytes], at: int) -> bool:
-    return any(words[i : i + len(phrase)] == phrase for i in range(max(0, at - SHIFT), at + SHIFT + 1))
+def notices(words: list[bytes], text: list[bytes], keys: list, at: dict[bytes, list[int]]) -> list[tuple[int, float]]:
+    """(start, share) of the places of a notice."""
+    starts = []  # of the notice, as each key phrase has it
+    for k, place, rare in keys:
+        begins = [p - (rare - place) for p in at[text[rare]]]
+        starts.append([b - place for b in begins if b >= 0 and words[b : b + len(k)] == k])
+    found: list[tuple[int, float]] = []
+    for low in sorted(set().union(*starts)):
+        nearest = [x[i] if (i := bisect_left(x, low)) < len(x) else None for x in starts]
+        if None in nearest:
+            break
+        if max(nearest) - low > 2 * SHIFT:
+            continue
+        start = (low + max(nearest)) // 2
+        share = shared(words, text, start)
+        if share < COVERAGE:
+            continue
+        if found and start - found[-1][0] <= SHIFT:
+            if share > found[-1][1]:
+                found[-1] = (start, share)
+        else:
+            found.append((start, share))
+    return found
+
+
+def shared(words: list[bytes], text: list[bytes], start: int) -> float:
+    """Share of the words of ``text`` that stand in its order within ``SHIFT`` words of their places."""
+    best = [0] * (2 * SHIFT + 1)  # most words found so far, by shift
+    for i, w in enumerate(text):
+        first = start + i - SHIFT
+        before, best = [*best, 0], []
+        for s in range(2 * SHIFT + 1):
+            n = before[s] + (0 <= first + s < len(words) and words[first + s] == w)
+            best.append(max(n, before[s + 1], best[-1] if best else 0))
+    return max(best) / len(text)
 
 
 def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, text: str = "text") -> DataFrame:

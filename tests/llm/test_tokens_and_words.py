@@ -40,6 +40,47 @@ def test_licence_notices_need_their_key_phrases(spark):
     assert found == {1: {"mit"}, 2: set(), 3: {"gpl-3"}, 4: {"cc-by-nc"}}
 
 
+def licence_labels(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: sorted({s["label"] for s in r["spans"]}) for r in license.scan(rows).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_licence_headers_as_they_are_written(spark):
+    gnu = ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {}General Public License as\n"
+           "# published by the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.")
+    headers = {
+        gnu.format("", 3): ["gpl-3"],
+        gnu.format("", 2): ["gpl-2"],
+        gnu.format("Affero ", 3): ["agpl-3"],
+        gnu.format("Lesser ", "2.1"): ["lgpl"],
+        gnu.format("Library ", 2): ["lgpl"],
+        "under the terms of version 2 of the GNU General Public License": ["gpl-2"],
+        "GNU General Public License as published by the Free Software Foundation, version 4": [],
+        "subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed": ["mpl-2"],
+        "subject to the Mozilla Public License, v. 1.1": [],
+        'Licensed under the Apache License 2.0 (the "License"); you may not use this file except in compliance with the License.': ["apache-2"],
+        "Creative Commons Attribution 4.0 International Public License": ["cc-by"],
+        "Creative Commons Attribution-NonCommercial 4.0 International Public License": [],
+    }
+    assert licence_labels(spark, headers) == list(headers.values())
+
+
+def test_licence_notices_stand_left_out_and_added_words(spark):
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"
+    texts = [
+        isc.replace("/or", ""),  # the common text
+        isc.replace("this software", "this software and all of its documentation"),
+        isc.replace("or without fee", "a fee"),  # no key phrase
+        "Permission to use, copy, modify. " + "word " * 9 + "with or without fee",
+        "with or without fee this software, distribute: permission to use, copy, modify",  # another order
+        f"{isc.replace('/or', '')}\n{isc}",
+    ]
+    assert licence_labels(spark, texts) == [["isc"], ["isc"], [], [], [], ["isc"]]
+    index = license.Index(license.TEMPLATES, {}, 1)
+    assert [p[1] for p in index.places(license.words_of(texts[-1]))] == [0, 16]
+
+
 def test_licence_query_columns(spark):
     rows = QUERIES["op1_license_scan"](spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all((r["n_base"] == 0) == (r["first_word"] is None) and 0 <= r["score"] <= 1 for r in rows)
