@@ -7,15 +7,18 @@ securities, line items are quotes and trades. Every relation grows with the tabl
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brokerdw.catalog.registry import table
-from brokerdw.functions.exprs import RATINGS
+from brokerdw.functions.exprs import RATINGS, full_years
 from brokerdw.operators.grouping import top1
+from brokerdw.operators.hotkeys import carry_last
 from brokerdw.plans import dimensions as dims
 from brokerdw.plans import facts, stages
+from brokerdw.plans.audit import FIRST_CALENDAR_DAY
 from brokerdw.session import scratch_dir
 from brokerdw.sources import scans
 from brokerdw.sources.schemas import PROSPECT
@@ -786,3 +789,110 @@ class Products(Mapping):
 def warehouse(spark, sf) -> Products:
     """The products of one query."""
     return Products(spark, sf)
+
+
+# -- the audit ----------------------------------------------------------------
+def as_of(w: Products, batch: int, day) -> dict[str, DataFrame]:
+    """The products as they stood after a batch of day ``day``; batch 0 is the empty start."""
+    if batch == 0:
+        return {name: w[name].filter(F.lit(False)) for name in w if name != "finwire"}
+    seen = lambda df: df.filter(F.col("batchid") <= batch) if "batchid" in df.columns else df
+    out = {name: seen(w[name]) for name in w if name not in ("finwire", "factwatches", "prospect")}
+    out["dimcustomer"] = out["dimcustomer"].withColumn("iscurrent", F.col("enddate") > F.lit(day))
+    placed = facts.watch_stage(seen(watches(w.spark, w.sf)))
+    out["factwatches"] = stored(facts.build_fact_watches(placed, w["dimsecurity"], w["dimcustomer"]), "factwatches")
+    out["prospect"] = _visible(prospect_stage(w.spark, w.sf), batch)
+    return out
+
+
+def _actions(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Customer and account records of all batches: key, batchid, update_ts, kind and, of customers, tier and dob."""
+    days = batch_date(spark).withColumnRenamed("batchdate", "update_ts").withColumn("update_ts", F.col("update_ts").cast("timestamp"))
+    mgmt = customer_mgmt(spark, sf).withColumn("batchid", F.lit(1))
+    changes = customer_changes(spark, sf).join(days, "batchid").withColumn(
+        "actiontype", F.when(F.col("status") == "Inactive", "INACT").otherwise("UPDCUST")
+    )
+    moves = account_changes(spark, sf).join(days, "batchid").withColumn(
+        "actiontype", F.when(F.col("status") == "Inactive", "CLOSEACCT").otherwise("UPDACCT")
+    )
+    person = ["customerid", "batchid", "update_ts", "actiontype", "tier", "dob"]
+    customers = mgmt.filter(F.col("actiontype").isin("NEW", "INACT", "UPDCUST")).select(*person).unionByName(changes.select(*person))
+    held = ["accountid", "batchid", "update_ts", "actiontype"]
+    accounts = mgmt.filter(F.col("accountid").isNotNull()).select(*held).unionByName(moves.select(*held))
+    return customers, accounts
+
+
+def expected(w: Products, dates: dict) -> DataFrame:
+    """What the loads announce: per data set, attribute and batch a count of source records, and the days of each batch.
+
+    A batch's days begin after the batch before it. Counts that a batch has no record for are 0.
+    """
+    spark, sf = w.spark, w.sf
+    customers, accounts = _actions(spark, sf)
+    day = F.to_date("update_ts")
+
+    def counted(dataset: str, df: DataFrame, values: dict[str, Column]) -> DataFrame:
+        batches = spark.createDataFrame([(b,) for b in dates], "batchid int")
+        found = df.groupBy(F.col("batchid").cast("int").alias("batchid")).agg(*[v.cast("bigint").alias(n) for n, v in values.items()])
+        every = batches.join(found, "batchid", "left")
+        rows = [F.struct(F.lit(n).alias("attribute"), F.coalesce(F.col(n), F.lit(0)).alias("value")) for n in values]
+        return every.select(F.lit(dataset).alias("dataset"), "batchid", F.inline(F.array(*rows)))
+
+    rows = F.count(F.lit(1))
+    of = lambda kind: F.count_if(F.col("actiontype") == kind)
+
+    def overwritten(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key, day.alias("day"), "batchid").agg((rows - 1).alias("n"))
+
+    # A change that leaves a value out keeps the one before it; of a day the last record stays.
+    known = carry_last(customers, ["customerid"], ["update_ts", "batchid"], ["tier", "dob"])
+    last = known.groupBy("customerid", day.alias("day"), "batchid").agg(
+        F.max_by(F.struct("tier", "dob"), F.struct("update_ts", "batchid")).alias("r")
+    )
+    person = last.select("customerid", "batchid", "r.*").join(batch_date(spark), "batchid").groupBy("customerid", "batchid").agg(
+        F.max(F.col("tier").isNull() | ~F.col("tier").isin(1, 2, 3)).alias("tier"),
+        F.max(full_years("dob", "batchdate") >= 100).alias("old"),
+        F.max(F.col("dob") > F.col("batchdate")).alias("unborn"),
+    )
+    wire = w["finwire"].withColumn("batchid", F.lit(1))
+    records = trades(spark, sf)
+    final = records.groupBy("tradeid").agg(
+        F.max_by(F.struct("batchid", "status", "fee", "commission", "tradeprice", "quantity"), "batchid").alias("r")
+    ).select("r.*")
+    worth = F.col("tradeprice") * F.col("quantity")
+    parts = [
+        counted("DimCustomer", customers, {"C_NEW": of("NEW"), "C_UPDCUST": of("UPDCUST"), "C_INACT": of("INACT")}),
+        counted("DimCustomer", overwritten(customers, "customerid"), {"C_ID_HIST": F.sum("n")}),
+        counted(
+            "DimCustomer",
+            person,
+            {"C_DOB_TO": F.count_if("old"), "C_DOB_TY": F.count_if("unborn"), "C_TIER_INV": F.count_if("tier")},
+        ),
+        counted("DimAccount", accounts, {f"CA_{kind}": of(kind) for kind in ("ADDACCT", "CLOSEACCT", "UPDACCT")}),
+        counted("DimAccount", overwritten(accounts, "accountid"), {"CA_ID_HIST": F.sum("n")}),
+        counted("DimBroker", hr(spark, sf).withColumn("batchid", F.lit(1)), {"HR_BROKERS": F.count_if(F.col("employeejobcode") == "314")}),
+        *[
+            counted(dataset, wire, {f"FW_{kind}": F.count_if(F.col("rectype").startswith(kind))})
+            for dataset, kind in (("DimCompany", "CMP"), ("DimSecurity", "SEC"), ("Financial", "FIN"))
+        ],
+        counted("DimTrade", records, {"T_NEW": F.count_if(F.coalesce("cdc_flag", F.lit("I")) == "I")}),
+        counted(
+            "DimTrade",
+            final,
+            {
+                "T_CanceledTrades": F.count_if(F.col("status") == "CNCL"),
+                "T_InvalidCommision": F.count_if(F.col("commission") > worth),
+                "T_InvalidCharge": F.count_if(F.col("fee") > worth),
+            },
+        ),
+        counted("FactHoldings", holdings(spark, sf), {"HH_RECORDS": rows}),
+        counted("FactMarketHistory", daily_market(spark, sf), {"DM_RECORDS": rows}),
+        counted("FactWatches", watches(spark, sf), {"WH_RECORDS": rows, "WH_ACTIVE": F.count_if(F.col("w_action") == "ACTV")}),
+        counted("Prospect", prospect_snapshots(spark, sf), {"P_RECORDS": rows}),
+        counted("Generator", table(spark, sf, "orders").withColumn("batchid", F.lit(1)), {"SOURCE_ORDERS": rows}),
+    ]
+    first = {b: dates[b - 1] + timedelta(days=1) if b - 1 in dates else date.fromisoformat(FIRST_CALENDAR_DAY) for b in dates}
+    bounds = [("Batch", b, attribute, of_batch[b]) for attribute, of_batch in (("FirstDay", first), ("LastDay", dates)) for b in dates]
+    days = spark.createDataFrame(bounds, "dataset string, batchid int, attribute string, date date").withColumn("value", F.lit(None).cast("bigint"))
+    counts = scans.union_all(parts).withColumn("date", F.lit(None).cast("date"))
+    return counts.unionByName(days).withColumn("dvalue", F.lit(None).cast("decimal(15,5)"))

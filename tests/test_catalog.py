@@ -41,3 +41,23 @@ def test_product_equals_sql(spark, con, name):
 def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) > 110
+
+
+def test_audit_expects_all_data_sets_attributes_and_days_of_every_batch(spark):
+    from brokerdw.catalog import derived
+    from brokerdw.plans.audit import AUDIT_SOURCES
+
+    w = derived.warehouse(spark, "/root/testdata/sf0.001")
+    dates = {r["batchid"]: r["batchdate"] for r in derived.batch_date(spark).collect()}
+    rows = derived.expected(w, dates).collect()
+    assert {r["dataset"] for r in rows} == set(AUDIT_SOURCES)
+    assert {(r["dataset"], r["attribute"], r["batchid"]) for r in rows} == {(r["dataset"], r["attribute"], b) for r in rows for b in dates}
+    days = {(r["attribute"], r["batchid"]): str(r["date"]) for r in rows if r["dataset"] == "Batch"}
+    assert days["FirstDay", 1] == "1950-01-01" and days["LastDay", 1] == "2001-12-31" and days["FirstDay", 3] == days["LastDay", 3] == "2002-01-02"
+    value = {(r["attribute"], r["batchid"]): r["value"] for r in rows}
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    late = orders.filter("o_orderdate >= '2000-06-01'")
+    assert value["C_NEW", 1] == spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count() and value["C_NEW", 2] == 0
+    assert value["WH_RECORDS", 1] + value["WH_RECORDS", 2] == orders.count() and value["WH_RECORDS", 2] == late.count()
+    assert sum(value[k, b] for k in ("C_UPDCUST", "C_INACT") for b in (2, 3)) == late.select("o_custkey").distinct().count()
+    assert value["FW_FIN", 1] > 0 and value["T_NEW", 1] > value["T_NEW", 2] == 0

@@ -237,6 +237,24 @@ def test_audit_finds_errors(spark, incremental):
     assert {"DimAccount EndDate", "DimAccount IsCurrent", "DimTrade distinct keys", "DimTrade SK_SecurityID"} <= failed
 
 
+def test_audit_compares_every_batch_and_needs_its_days(spark, incremental):
+    """A fourth batch is audited like the others; dates outside a batch differ; without its days they are not checked."""
+    from brokerdw.plans import audit
+
+    def found(tables, expected):
+        log = incremental.store.read("dimessages")
+        return {(r.test, r.batch): r.result for r in audit.audit(tables, log, expected).collect()}
+
+    tables, expected = dict(incremental.tables()), incremental.audit_file()
+    early = dict(tables, factcashbalances=tables["factcashbalances"].withColumn("sk_dateid", F.lit(19400101).cast("bigint")))
+    wrong = found(early, expected.filter("batchid <= 3 AND NOT (attribute IN ('FirstDay', 'LastDay') AND batchid = 3)"))
+    assert [wrong["FactCashBalances SK_DateID", b] for b in (1, 2, 3)] == ["differs", "differs", "not checked"]
+    fourth = expected.filter("batchid = 3").withColumn("batchid", F.lit(4).cast(expected.schema["batchid"].dataType))
+    more = found(tables, expected.unionByName(fourth))
+    assert more["Audit table batches", None] == "OK" and more["DimTrade batches", None] == "differs"
+    assert {b for t, b in more if t == "DimCustomer row count"} == {1, 2, 3, 4}
+
+
 def test_expectations(incremental):
     got = {(r.table, r.rule): (r.passed, r.failed) for r in incremental.expectations().collect()}
     assert got["dimcustomer", "invalid_customer_tier"] == (5, 2)
