@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, fingerprints, hnsw, katz, license, lines, mixing, nearcopies, shards, toxicity
+from brokerdw.llm import bpe, divergence, fingerprints, hnsw, katz, license, lines, mixing, nearcopies, shards, toxicity
 from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
@@ -153,3 +153,44 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+DIVERGENCE_SQL = f"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as words from documents),
+words as (select r, lang, source, unnest(words) as term from docs),
+kept as (select lang, term from words group by lang, term having count(distinct r) >= {divergence.LEAST}),
+sizes as (select lang, count(*) as v from kept group by lang),
+counts as (select lang, source, term, count(*)::hugeint as n from words semi join kept using (lang, term) group by all),
+groups as (
+  select g.lang, g.source, coalesce(sum(n), 0)::hugeint as whole, coalesce(any_value(v), 0)::hugeint as v
+  from (select distinct lang, source from docs) g
+  left join counts c on g.lang = c.lang and g.source = c.source left join sizes s on g.lang = s.lang group by all),
+langs as (select lang, sum(whole)::hugeint as whole from groups group by lang),
+shares as (
+  select g.lang, g.source, k.term, coalesce(n, 0) as n,
+    1 + ({divergence.SCALE} * (coalesce(n, 0) + {divergence.ADD})::hugeint) // (g.whole + {divergence.ADD} * g.v) as p
+  from groups g join kept k on g.lang = k.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+wholes as (
+  select c.lang, term, 1 + ({divergence.SCALE} * (sum(n) + {divergence.ADD})::hugeint) // (any_value(l.whole) + {divergence.ADD} * any_value(v)) as q
+  from counts c join langs l on c.lang = l.lang join sizes s on s.lang = c.lang group by c.lang, term),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum(abs(x.p - y.p)), 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join shares x on x.lang = a.lang and x.source = a.source
+  left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term group by all),
+above as (
+  select s.lang, s.source, 'term' as part, s.term as item, (p - q)::bigint as value
+  from shares s join wholes w on s.lang = w.lang and s.term = w.term where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+  from (from pairs union all by name from above))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= {divergence.TOP_TERMS}
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
