@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, divergence, fingerprints, hnsw, katz, license, lines, mixing, nearcopies, shards, toxicity
+from brokerdw.llm import bpe, divergence, fingerprints, hnsw, katz, license, lines, mixing, nearcopies, resampling, shards, toxicity
 from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
@@ -194,3 +194,49 @@ select lang, source, part, item, value, rank from ranked where part = 'pair' or
 @query("op11_source_divergence", DIVERGENCE_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+# CRC-32 by its table, which eight halvings of every byte give; words are hashed once each.
+RESAMPLING_SQL = f"""
+with recursive halved(i, step, c) as (
+  select i, 0, i::bigint from range(256) t(i)
+  union all
+  select i, step + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from halved where step < 8),
+tab as (select list(c order by i) as t from halved where step = 8),
+texts as (
+  select 'd' as side, row_number() over () as r, text from documents
+  union all select 't', row_number() over (), text from benchmark),
+words as (
+  select side, r, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as w from texts),
+hashed as (
+  select w, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(strlen(w)),
+      lambda i: (strpos('0123456789ABCDEF', hex(w)[2 * i + 1]) * 16 + strpos('0123456789ABCDEF', hex(w)[2 * i + 2]) - 17)::bigint)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {resampling.BUCKETS} as b
+  from (select distinct w from words), tab),
+counted as (
+  select b, count(*) filter (side = 'd') as s, count(*) filter (side = 't') as t from words join hashed using (w) group by b),
+wholes as (select sum(s)::double as ss, sum(t)::double as tt from counted),
+gains as (
+  select b, floor(1000 * ln(((t + 1)::double * (ss + {resampling.BUCKETS})) / ((s + 1)::double * (tt + {resampling.BUCKETS}))))::bigint as g
+  from counted, wholes),
+sums as (
+  select r, count(*) as n, sum(g)::bigint as g from words join hashed using (w) join gains using (b) where side = 'd' group by r),
+weighed as (
+  select d.doc_id, coalesce(n, 0)::bigint as n_features, coalesce((g - ((g % n) + n) % n) // n, 0)::bigint as weight,
+    ('0x' || substr(sha256('{resampling.SEED}:' || coalesce(cast(d.doc_id as varchar), '')), 1, 8))::bigint as h
+  from (select row_number() over () as r, doc_id from documents) d left join sums using (r)),
+scored as (
+  select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score,
+    n_features >= {resampling.LEAST_WORDS} as fit from weighed),
+ranked as (select *, row_number() over (partition by fit order by score desc, doc_id) as rank from scored)
+select doc_id, n_features, weight, score,
+  case when fit and rank <= (select count(*) filter (fit) * {resampling.PERCENT} // 100 from scored) then rank end as rank
+from ranked
+"""
+
+
+@query("op13_resampling", RESAMPLING_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
