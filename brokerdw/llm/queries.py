@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brokerdw.llm import bpe, divergence, fingerprints, hnsw, katz, license, lines, mixing, nearcopies, resampling, shards, toxicity
+from brokerdw.llm import bpe, divergence, fingerprints, hnsw, katz, languages, license, lines, mixing, nearcopies, resampling, shards, toxicity
 from brokerdw.llm.common import ship_package
 
 NEIGHBOURS = 10
@@ -240,3 +240,10 @@ from ranked
 @query("op13_resampling", RESAMPLING_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = languages.identify(docs, languages.fit(docs))
+    return found.select("doc_id", languages.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs", "shares")
