@@ -140,7 +140,7 @@ class Model:
             p = (n + BACKOFF * below) / (own + BACKOFF)
             weight = BACKOFF / (whole + BACKOFF)
             known = dict(zip(keys.tolist(), p, strict=True))
-            lower = lambda k, known=known: np.array([known[x] for x in k.tolist()]).reshape(len(k), -1)
+            lower = lambda k, known=known: np.array([known[x] for x in k.tolist()]).reshape(len(k), len(langs))
             chains.append((Table(keys, np.log(p), np.zeros(len(langs))), Table(histories, np.log(weight), np.zeros(len(langs)))))
         return Model(langs, chains[::-1])
 
