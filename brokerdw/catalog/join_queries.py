@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from brokerdw.catalog.registry import query, table
 from brokerdw.catalog.window_queries import VERSIONS, customer_versions
 from brokerdw.operators import joins, temporal
-from brokerdw.operators.hotkeys import find_hot_keys
 
 PIT = f"""
     WITH {VERSIONS}
@@ -24,7 +23,7 @@ def _shipments(spark, sf):
 
 def _pit(spark, sf, limit=None):
     dim = customer_versions(spark, sf).withColumnRenamed("o_orderkey", "version")
-    hot = find_hot_keys(dim, ["o_custkey"], "effectivedate", limit) if limit else None
+    hot = temporal.many_versions(dim, ["o_custkey"], limit) if limit else None
     joined = temporal.pit_join(
         _shipments(spark, sf), dim, "o_custkey", "l_shipdate", dim_cols=["version", "o_orderpriority"], hot=hot
     )
@@ -114,7 +113,7 @@ def _interval(spark, sf, how, right_line, limit=None):
     hot = None
     if limit:
         both = a.select("l_suppkey", "effectivedate").union(b.select("l_suppkey", "effectivedate"))
-        hot = find_hot_keys(both, ["l_suppkey"], "effectivedate", limit)
+        hot = temporal.many_versions(both, ["l_suppkey"], limit)
     return temporal.interval_join(a, b, "l_suppkey", how, ["b_order"], hot)
 
 

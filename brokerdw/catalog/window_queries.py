@@ -76,7 +76,7 @@ def _fill(spark, sf, split=False):
         F.when(F.col("value") >= 50, F.col("value")).alias("value"),
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
     )
-    hot = find_hot_keys(events, ["user_id"], "ts", SMALL) if split else None
+    hot = find_hot_keys(events, ["user_id"], SMALL) if split else None
     return temporal.forward_fill(events, "user_id", ["ts", "event_id"], ["value", "event_type"], hot).drop("ts")
 
 
@@ -108,7 +108,7 @@ def scd2_history(spark, sf):
 
 @query("scd2_history_split", SCD2)
 def scd2_history_split(spark, sf):
-    hot = find_hot_keys(table(spark, sf, "orders"), ["o_custkey"], "o_orderdate", 5)
+    hot = find_hot_keys(table(spark, sf, "orders"), ["o_custkey"], 5)
     v = customer_versions(spark, sf, hot)
     return v.select(X.smart_key("effectivedate", "o_custkey").alias("sk"), *v.columns)
 
@@ -134,7 +134,7 @@ def _extremes(spark, sf, preceding, split=False):
     market = table(spark, sf, "lineitem").select(
         "l_partkey", F.to_date("l_shipdate").alias("d"), "l_orderkey", "l_linenumber", "l_extendedprice"
     )
-    hot = find_hot_keys(market, ["l_partkey"], "d", SMALL) if split else None
+    hot = find_hot_keys(market, ["l_partkey"], SMALL) if split else None
     found = rolling.rolling_extremes(
         market, "l_partkey", ["d", "l_orderkey", "l_linenumber", "l_extendedprice"], "l_extendedprice", "l_extendedprice", preceding, hot
     )

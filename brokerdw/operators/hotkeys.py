@@ -5,12 +5,16 @@ key with more rows than one task should sort is cut into cells along its orderin
 column; windows then run per (key, cell), and the little that crosses a cell border
 (a carried value, a row offset, a few neighbour rows) is exchanged separately. Keys
 below the limit keep the plain one-shuffle plan.
+
+Cells are the ranges into which Spark's range partitioning deals the hot keys' rows by key
+and place. The rows are stored with the number of their range, so every later step sees the
+same cells; no row carries the borders, and no task gathers the rows of a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -22,37 +26,34 @@ from brokerdw.session import scratch_dir
 HOT_ROWS = 2_000_000
 # A key with more validity intervals than one row should be compared with is cut in interval joins.
 HOT_VERSIONS = 1_000
-# Cells per ``limit`` rows of a key, and sampled rows per cell that fix the cuts.
-CELLS, SAMPLES = 4, 32
-# Cuts are kept in groups of this many, so that a row is compared with two short lists.
-GROUP = 64
+# Cells per ``limit`` rows of hot keys; beyond FEW_CELLS a cell has LEAST_ROWS rows on average, however low the limit.
+CELLS, FEW_CELLS, LEAST_ROWS = 4, 32, 10_000
 # A mark list of at most this many keys is broadcast; a longer one is joined like any table.
 BROADCAST_MARKS = 1_000
+# Results of counting that are remembered, by plan, keys and limit.
+REMEMBERED = 256
 
 CELL = "_cell"
-FIRST_CELL = "_first_cell"
 BLOCK, HALO = "_block", "_halo"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys with many rows, each with the places in its order where it is cut.
-
-    ``marks`` has a row per key: ``_k0.., _cuts`` (groups of cut points, ascending).
-    """
+    """The keys with many rows: ``marks`` has a row per key, ``_hot0..``, and nothing that grows with a key's rows."""
 
     keys: tuple[str, ...]
     marks: DataFrame | None
     count: int = 0
+    rows: int = 0  # of all hot keys together
+    limit: int = 1
     has_null: bool = False  # a null key is hot itself, so joins on the keys must be null-safe
-    width: int = 1  # leading columns of the order that the cuts compare
 
     def __bool__(self) -> bool:
         return self.count > 0
 
     def on(self, keys: Sequence[str]) -> HotKeys:
         """The same marks for a frame whose key columns are named ``keys``."""
-        return HotKeys(tuple(keys), self.marks, self.count, self.has_null, self.width)
+        return replace(self, keys=tuple(keys))
 
 
 # For inputs whose rows per key are bounded by construction (one row per key and day).
@@ -76,93 +77,71 @@ def _conf_rows(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
-def hot_window_keys(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> HotKeys:
+def hot_window_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """Keys of a window input with more rows than one task should sort.
 
     The row limit can be set per session with ``brokerdw.hotRows``.
     """
-    return find_hot_keys(df, keys, order_by, _conf_rows(df, "brokerdw.hotRows", HOT_ROWS))
-
+    return find_hot_keys(df, keys, _conf_rows(df, "brokerdw.hotRows", HOT_ROWS))
 
-def _place(order_by: Sequence[str]) -> Column:
-    """A row's place in the order as one value; nulls come first, as in an ascending sort."""
-    return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
 
+def find_hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> HotKeys:
+    """Count rows per key (combined map-side, key columns only) and mark those with more than ``limit``.
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], limit: int) -> HotKeys:
-    """Count rows per key (combined map-side) and cut those with more than ``limit``.
-
-    The count reads the key columns only. The cuts are quantiles of the whole order, from
-    a sample of the hot keys' rows chosen by hash, so a burst of rows on one day is cut by
-    the columns that break the tie. There is no limit to the number of hot keys or cells.
+    The usual answer, that there is none, takes one job and writes nothing. An equal plan is
+    counted once a session: marks only choose between plans that give the same rows.
     """
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    names = [f"_k{i}" for i in range(len(keys))]
-    keyed = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], _place(order_by).alias("_place"))
+    names = [f"_hot{i}" for i in range(len(keys))]
+    keyed = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    known = (df.sparkSession.sparkContext.applicationId, keyed.semanticHash(), limit)
+    if known in _COUNTED:
+        return _COUNTED[known].on(keys)
     counts = keyed.groupBy(*names).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    path = scratch_dir(df.sparkSession, "hot-keys")
-    counts.write.parquet(path)
-    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
     nulls = F.coalesce(F.max(F.greatest(*[F.col(n).isNull() for n in [*names, names[0]]])), F.lit(False))
-    size = counts.agg(F.count("*").alias("n"), nulls.alias("null")).first()
-    if not size["n"]:
-        return NO_HOT
-    rate = min(1.0, CELLS * SAMPLES / limit)
-    drawn = F.pmod(F.xxhash64("_place", F.lit(17)), F.lit(1 << 30)) < int(rate * (1 << 30))
-    few = _broadcast(counts.select(*names), size["n"])
-    sample = _null_safe(keyed.filter(drawn | F.lit(rate >= 1)), few, names, "left_semi")
-    every = SAMPLES if rate < 1 else max(1, limit // CELLS)
-    chosen = F.filter("_all", lambda x, i: (i % every == 0) & (i > 0))
-    groups = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_some") - 1, F.lit(0)), F.lit(GROUP)),
-        lambda i: F.slice("_some", i + 1, F.lit(GROUP)),
-    )
-    marks = (
-        sample.groupBy(*names)
-        .agg(F.sort_array(F.collect_list("_place")).alias("_all"))
-        .withColumn("_some", chosen)
-        .withColumn("_cuts", groups)
-        .select(*names, "_cuts")
-    )
-    path = scratch_dir(df.sparkSession, "hot-marks")
-    marks.write.parquet(path)
-    marks = df.sparkSession.read.schema(marks.schema).parquet(path)
-    return HotKeys(tuple(keys), marks, size["n"], bool(size["null"]), len(order_by))
+    size = counts.agg(F.count("*").alias("n"), F.sum("_n").alias("rows"), nulls.alias("null")).first()
+    found = NO_HOT
+    if size["n"]:
+        marks = stored(counts.select(*names), "hot-keys")
+        found = HotKeys(tuple(keys), marks, size["n"], size["rows"], limit, bool(size["null"]))
+    while len(_COUNTED) >= REMEMBERED:
+        _COUNTED.pop(next(iter(_COUNTED)))
+    _COUNTED[known] = found
+    return found
 
 
-def _broadcast(marks: DataFrame, count: int) -> DataFrame:
-    return F.broadcast(marks) if count <= BROADCAST_MARKS else marks
+_COUNTED: dict[tuple[str, int, int], HotKeys] = {}
 
 
-def _null_safe(df: DataFrame, other: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    right = other
-    on = F.lit(True)
-    for n in names:
-        right = right.withColumnRenamed(n, f"_r{n}")
-        on = on & F.col(n).eqNullSafe(F.col(f"_r{n}"))
-    return df.join(right, on, how)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _cell_of(place: Column) -> Column:
-    """Cell number from 1: one more than the number of cuts at or before ``place``."""
-    group = F.size(F.filter("_cuts", lambda g: F.get(g, F.lit(0)) <= place))
-    inside = F.size(F.filter(F.get("_cuts", F.greatest(group - 1, F.lit(0))), lambda c: c <= place))
-    return (1 + F.greatest(group - 1, F.lit(0)) * GROUP + F.greatest(inside, F.lit(0))).cast("long")
+def _broadcast(marks: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(marks) if count <= BROADCAST_MARKS else marks
 
 
-def _with_marks(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    on = same[0]
-    for more in same[1:]:
-        on = on & more
-    return df.join(_broadcast(hot.marks, hot.count), on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+def split_hot(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary keys and those of hot ones."""
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_hot{i}"))
+    marks = _broadcast(hot.marks, hot.count)
+    return df.join(marks, on, "left_anti"), df.join(marks, on, "left_semi")
 
 
 def with_cells(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], hot: HotKeys) -> DataFrame:
-    """Add ``_cell``: 0 for ordinary keys, for hot ones a number that grows along the order."""
+    """Add ``_cell``: 0 for ordinary keys, for hot ones a number that grows along the order.
+
+    Rows of one key and place share a cell.
+    """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    cell = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_cell_of(_place(order_by[: hot.width])))
-    return _with_marks(df, keys, hot).withColumn(CELL, cell.cast("long")).drop("_cuts")
+    cold, many = split_hot(df, keys, hot)
+    ranges = max(2, min(-(-hot.rows * CELLS // hot.limit), max(FEW_CELLS, hot.rows // LEAST_ROWS)))
+    dealt = many.repartitionByRange(ranges, *keys, *order_by).withColumn(CELL, F.spark_partition_id().cast("long") + 1)
+    return cold.withColumn(CELL, F.lit(0).cast("long")).unionByName(stored(dealt, "hot-cells"))
 
 
 def _join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
@@ -190,7 +169,7 @@ def carry_last(
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Replace each of ``cols`` by its last non-null value up to the row."""
-    hot = hot_window_keys(df, keys, order_by) if hot is None else hot
+    hot = hot_window_keys(df, keys) if hot is None else hot
     so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not hot:
         w = so_far(Window.partitionBy(*keys).orderBy(*order_by))
@@ -246,7 +225,7 @@ def bounded_window(
     A hot key is cut into blocks of consecutive rows; each block also receives
     copies of the neighbour rows its frames reach, which are dropped afterwards.
     """
-    hot = hot_window_keys(df, keys, order_by) if hot is None else hot
+    hot = hot_window_keys(df, keys) if hot is None else hot
     if not hot:
         w = Window.partitionBy(*keys).orderBy(*order_by)
         return df.withColumns({name: make(w) for name, make in exprs.items()})
@@ -287,21 +266,25 @@ def spread_blocks(
     )
 
 
-def interval_cells(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, hot: HotKeys
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    column: str,
+    name: str,
+    how: str = "sum",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Repeat each interval once per cell it touches (once for ordinary keys).
-
-    The intervals of one key do not overlap, so a key gets at most
-    (intervals + cells) copies. ``_first_cell`` is the cell of the interval's start.
-    """
-    marked = _with_marks(df, keys, hot)
-    cold = F.col("_cuts").isNull()
-    first = F.when(cold, F.lit(0)).otherwise(_cell_of(_place([start]))).cast("long")
-    last = F.when(cold, F.lit(0)).otherwise(_cell_of(_place([end]))).cast("long")
-    return (
-        marked.withColumn(FIRST_CELL, first)
-        .withColumn("_last_cell", last)
-        .withColumn(CELL, F.explode(F.sequence(F.col(FIRST_CELL), F.greatest(FIRST_CELL, "_last_cell"))))
-        .drop("_cuts", "_last_cell")
-    )
+    """Add the sum or maximum of ``column`` over the key's rows before the row (null before the first)."""
+    hot = hot_window_keys(df, keys) if hot is None else hot
+    combine = {"sum": F.sum, "max": F.max}[how]
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    if not hot:
+        return df.withColumn(name, combine(column).over(before(Window.partitionBy(*keys).orderBy(*order_by))))
+    celled = with_cells(df, keys, order_by, hot)
+    wholes = celled.filter(F.col(CELL) > 0).groupBy(*keys, CELL).agg(combine(column).alias("_whole"))
+    carried = wholes.select(*keys, CELL, combine("_whole").over(before(Window.partitionBy(*keys).orderBy(CELL))).alias("_carried"))
+    local = celled.withColumn(name, combine(column).over(before(Window.partitionBy(*keys, CELL).orderBy(*order_by))))
+    joined = _join_small(local, carried, keys, hot)
+    both = F.col("_carried") + F.col(name) if how == "sum" else F.greatest("_carried", name)
+    return joined.withColumn(name, F.coalesce(both, name, "_carried")).select(*df.columns, name)

@@ -56,7 +56,7 @@ def rolling_extremes(
         F.struct(F.col(high).alias("v"), (-ordinal(df, date)).alias("o"), F.col(date).alias("d")),
     )
     packed = df.withColumns({"_low": lowest, "_high": highest})
-    hot = hot_window_keys(df, [key], order_by) if hot is None else hot
+    hot = hot_window_keys(df, [key]) if hot is None else hot
     keys = [key]
     if hot:
         packed = spread_blocks(packed, keys, order_by, preceding, 0, hot)

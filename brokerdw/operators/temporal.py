@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brokerdw.functions.exprs import OPEN_END, open_end
 from brokerdw.operators.hotkeys import (
-    CELL,
-    FIRST_CELL,
     HOT_VERSIONS,
     HotKeys,
     bounded_window,
     carry_last,
     find_hot_keys,
-    interval_cells,
-    with_cells,
+    hot_window_keys,
+    running,
+    split_hot,
+    stored,
 )
 
 START, END, CURRENT = "effectivedate", "enddate", "iscurrent"
@@ -28,12 +28,16 @@ def _names(on: str | Sequence[str]) -> list[str]:
 
 
 def _many_versions(versions: DataFrame, keys: Sequence[str]) -> HotKeys:
-    """Keys with more validity intervals than one row should be compared with.
+    """Keys with more validity intervals than one row should be compared with; a null key joins nothing.
 
     The limit can be set per session with ``brokerdw.hotVersions``.
     """
     limit = versions.sparkSession.conf.get("brokerdw.hotVersions", None)
-    return find_hot_keys(versions, keys, START, int(limit or HOT_VERSIONS))
+    return many_versions(versions, keys, int(limit or HOT_VERSIONS))
+
+
+def many_versions(versions: DataFrame, keys: Sequence[str], limit: int) -> HotKeys:
+    return find_hot_keys(versions.dropna(subset=list(keys)), keys, limit)
 
 
 def forward_fill(
@@ -98,6 +102,63 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
 
+# Days are placed in blocks of powers of two; every date of the calendar lies within 2 ** LEVELS days of its first.
+LEVELS, FIRST_DAY = 23, 1 << 22
+
+
+def _blocks(start: Column, end: Column) -> Column:
+    """The interval of days as few blocks (level, number): block b of level l holds the days from b * 2**l on."""
+    block = "named_struct('l', l, 'b', {})"
+    left, right = block.format("acc.s"), block.format("acc.e - 1")
+    step = f"""(acc, l) -> named_struct(
+        's', if(acc.s < acc.e, shiftright(acc.s + 1, 1), acc.s),
+        'e', if(acc.s < acc.e, shiftright(acc.e, 1), acc.e),
+        'out', concat(acc.out,
+            if(acc.s < acc.e and acc.s % 2 = 1, array({left}), array()),
+            if(acc.s < acc.e and acc.e % 2 = 1, array({right}), array())))"""
+    return F.expr(f"""aggregate(sequence(0, {LEVELS}),
+        named_struct('s', _s, 'e', _e, 'out', cast(array() as array<struct<l:int,b:int>>)), {step}, acc -> acc.out)""")
+
+
+def _open_at(points: DataFrame, versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``points`` (keys, _day, _p) with ``_v``: each version (keys, _day, _end, _v) that is open on the day, or null.
+
+    Points and versions of a key are stacked and sorted once, and the version that opened
+    last is carried to the points behind it. That is the open one as long as the versions of
+    a key follow each other. Versions that begin while an earlier one is open are set apart;
+    they are cut into blocks of days and meet the points by equality of the block, so neither
+    way compares a point with versions that are not open on its day.
+    """
+    known = versions.filter("_day < _end").dropna(subset=list(keys))
+    reached = running(known, keys, ["_day", "_end"], "_end", "_reached", "max")
+    reached = stored(reached, "open-versions")
+    follows = F.col("_reached").isNull() | (F.col("_reached") <= F.col("_day"))
+    chain, within = reached.filter(follows), reached.filter(~follows)
+    opened = chain.select(*keys, "_day", F.lit(0).alias("_kind"), F.struct("_end", "_v").alias("_open"), F.lit(None).cast(points.schema["_p"].dataType).alias("_p"))
+    asked = points.select(*keys, "_day", F.lit(1).alias("_kind"), F.lit(None).cast(opened.schema["_open"].dataType).alias("_open"), "_p")
+    swept = carry_last(opened.unionByName(asked), keys, ["_day", "_kind"], ["_open"]).filter("_kind = 1")
+    version = F.when(F.col("_open._end") > F.col("_day"), F.col("_open._v")).alias("_v")
+    met = swept.select(*keys, "_day", "_p", version)
+    if within.isEmpty():
+        return met
+    day = lambda c: F.unix_date(c) + FIRST_DAY
+    cut = within.withColumns({"_s": day("_day"), "_e": day("_end")}).withColumn("_b", F.explode(_blocks(F.col("_s"), F.col("_e"))))
+    cut = cut.select(*keys, F.col("_b.l").alias("_l"), F.col("_b.b").alias("_n"), "_v")
+    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_l")
+    placed = points.dropna(subset=[*keys, "_day"]).join(within.select(*keys).distinct(), list(keys), "left_semi")
+    placed = placed.select(*keys, "_day", "_p", level).withColumn("_n", F.expr(f"shiftright(unix_date(_day) + {FIRST_DAY}, _l)"))
+    more = placed.join(cut, [*keys, "_l", "_n"]).select(*keys, "_day", "_p", "_v")
+    # A point that only a version within another one holds has no row without a version.
+    marks = [F.xxhash64("_p").alias("_h0"), F.xxhash64(F.lit(1), "_p").alias("_h1")]
+    found = more.select(*marks).distinct()
+    alone = met.filter("_v is null").select("*", *marks).join(found, ["_h0", "_h1"], "left_anti").select(*met.columns)
+    return met.filter("_v is not null").unionByName(alone).unionByName(more)
+
+
+def _keyed(df: DataFrame, on: Sequence[str], **more: Column) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(on)], *[c.alias(n) for n, c in more.items()])
+
+
 def pit_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -114,27 +175,31 @@ def pit_join(
 
     Equality on the key lets Spark hash or sort-merge, with the interval as a
     residual test. A key with thousands of versions would compare every fact row
-    with every version, so such keys also join on a time cell.
+    with every version; facts and versions of such keys go through one ordered
+    sweep instead.
     """
     pairs = [(on, on)] if isinstance(on, str) else list(on)
     keep = list(dim_cols) if dim_cols is not None else [c for c in dim.columns if c not in fact.columns]
     fact_keys, dim_keys = [f for f, _ in pairs], [d for _, d in pairs]
-    wanted = list(dict.fromkeys([*dim_keys, START, END, *keep]))
-    right = dim.select(*wanted)
+    right = dim.select(*dict.fromkeys([*dim_keys, START, END, *keep]))
     if hot is None:
         hot = _many_versions(dim, dim_keys)
-    day = fact.withColumn("_day", F.to_date(ts))
+    swept = None
     if hot:
-        day = with_cells(day, fact_keys, "_day", hot.on(fact_keys))
-        right = interval_cells(right, dim_keys, START, END, hot)
+        fact, many = split_hot(fact, fact_keys, hot)
+        right, their = split_hot(right, dim_keys, hot)
+        points = _keyed(many, fact_keys, _day=F.to_date(ts), _p=F.struct(*many.columns))
+        versions = _keyed(their, dim_keys, _day=F.col(START), _end=F.col(END), _v=F.struct(*keep, F.lit(True).alias("_is")))
+        found = _open_at(points, versions, [f"_k{i}" for i in range(len(pairs))])
+        found = found if how == "left" else found.filter("_v is not null")
+        swept = found.select("_p.*", *[F.col(f"_v.{c}").alias(c) for c in keep])
     right = _prefixed(right, "_d_")
+    day = fact.withColumn("_day", F.to_date(ts))
     cond = (F.col("_day") >= F.col(f"_d_{START}")) & (F.col("_day") < F.col(f"_d_{END}"))
-    if hot:
-        cond = (F.col(CELL) == F.col(f"_d_{CELL}")) & cond
     for f, d in pairs:
         cond = (F.col(f) == F.col(f"_d_{d}")) & cond
-    joined = day.join(right, cond, how)
-    return joined.select(*fact.columns, *[F.col(f"_d_{c}").alias(c) for c in keep])
+    joined = day.join(right, cond, how).select(*fact.columns, *[F.col(f"_d_{c}").alias(c) for c in keep])
+    return joined.unionByName(swept) if hot else joined
 
 
 def current_join(
@@ -167,7 +232,9 @@ def interval_join(
     """Pair overlapping validity intervals of one key and clip them to the overlap.
 
     ``how`` is ``inner`` or ``left``; a left row without any overlap keeps its own
-    interval. Empty pieces are dropped, and ``iscurrent`` follows the open end.
+    interval. Empty intervals overlap nothing, and ``iscurrent`` follows the open end.
+
+    Keys with many versions go through two ordered sweeps, see ``_overlaps``.
     """
     pairs = [(on, on)] if isinstance(on, str) else list(on)
     left_keys, right_keys = [a for a, _ in pairs], [b for _, b in pairs]
@@ -179,37 +246,52 @@ def interval_join(
         both = left.select(*left_keys, START).union(right.select(*right_keys, START))
         hot = _many_versions(both, left_keys)
     lhs = left.filter(F.col(START) < F.col(END))
-    rhs = right.select(*dict.fromkeys([*right_keys, START, END, *keep]))
+    rhs = right.select(*dict.fromkeys([*right_keys, START, END, *keep])).filter(F.col(START) < F.col(END))
+    others = [c for c in left.columns if c not in (START, END, CURRENT)]
+    pieces = None
     if hot:
-        lhs = interval_cells(lhs, left_keys, START, END, hot)
-        rhs = interval_cells(rhs, right_keys, START, END, hot.on(right_keys))
+        lhs, many = split_hot(lhs, left_keys, hot)
+        rhs, their = split_hot(rhs, right_keys, hot)
+        pieces = _overlaps(many, left_keys, their, right_keys, how).select(
+            *[F.col(f"_a.{c}").alias(c) for c in others],
+            *[F.col(f"_b.{c}").alias(c) for c in keep],
+            F.greatest(F.col(f"_a.{START}"), F.col(f"_b.{START}")).alias(START),
+            F.least(F.col(f"_a.{END}"), F.col(f"_b.{END}")).alias(END),
+        )
     rhs = _prefixed(rhs, "_r_")
     cond = (F.col(START) < F.col(f"_r_{END}")) & (F.col(END) > F.col(f"_r_{START}"))
     for a, b in pairs:
         cond = (F.col(a) == F.col(f"_r_{b}")) & cond
-    start, end = F.greatest(START, f"_r_{START}"), F.least(END, f"_r_{END}")
-    others = [c for c in left.columns if c not in (START, END, CURRENT)]
-    out_cols = [*others, *[F.col(f"_r_{c}").alias(c) for c in keep]]
-
-    if not hot:
-        joined = lhs.join(rhs, cond, how)
-    else:
-        # A pair meets in every cell both intervals touch; keep it where its overlap starts.
-        first_cell = F.greatest(F.col(FIRST_CELL), F.col(f"_r_{FIRST_CELL}"))
-        cond = (F.col(CELL) == F.col(f"_r_{CELL}")) & cond
-        joined = lhs.join(rhs, cond, "inner").filter(F.col(CELL) == first_cell)
-    pieces = joined.select(*out_cols, start.alias(START), end.alias(END))
-    if hot and how == "left":
-        # Equal rows meet the same partners, so a row's whole content tells whether it met any.
-        mark = [F.xxhash64(*left.columns), F.xxhash64(F.lit(1), *left.columns)]
-        matched = joined.select(*[m.alias(f"_h{i}") for i, m in enumerate(mark)]).distinct()
-        kept = left.filter(F.col(START) < F.col(END)).withColumns({f"_h{i}": m for i, m in enumerate(mark)})
-        alone = kept.join(matched, ["_h0", "_h1"], "left_anti")
-        blank = {f.name: f.dataType for f in right.schema.fields}
-        pieces = pieces.unionByName(
-            alone.select(*others, *[F.lit(None).cast(blank[c]).alias(c) for c in keep], START, END)
-        )
-    return pieces.filter(F.col(START) < F.col(END)).withColumn(CURRENT, F.col(END) == open_end())
+    joined = lhs.join(rhs, cond, how).select(
+        *others,
+        *[F.col(f"_r_{c}").alias(c) for c in keep],
+        F.greatest(START, f"_r_{START}").alias(START),
+        F.least(END, f"_r_{END}").alias(END),
+    )
+    out = joined.unionByName(pieces) if hot else joined
+    return out.withColumn(CURRENT, F.col(END) == open_end())
+
+
+def _overlaps(a: DataFrame, a_keys: Sequence[str], b: DataFrame, b_keys: Sequence[str], how: str) -> DataFrame:
+    """Pairs ``_a, _b`` of overlapping intervals of a key; with ``left`` also each ``_a`` without one.
+
+    Of two intervals that overlap, one is open when the other starts: each side's starts are
+    looked up among the other side's intervals, equal starts from the left one only.
+    """
+    keys = [f"_k{i}" for i in range(len(a_keys))]
+    points = lambda df, on: _keyed(df, on, _day=F.col(START), _p=F.struct(*df.columns))
+    versions = lambda df, on: _keyed(df, on, _day=F.col(START), _end=F.col(END), _v=F.struct(*df.columns))
+    ours = _open_at(points(a, a_keys), versions(b, b_keys), keys).select(F.col("_p").alias("_a"), F.col("_v").alias("_b"))
+    theirs = _open_at(points(b, b_keys), versions(a, a_keys), keys).filter(F.col(f"_v.{START}") < F.col("_day"))
+    theirs = theirs.select(F.col("_v").alias("_a"), F.col("_p").alias("_b"))
+    both = ours.filter("_b is not null").unionByName(theirs)
+    if how != "left":
+        return both
+    # Equal rows meet the same partners, so a row's whole content tells whether it met any.
+    marks = [F.xxhash64("_a").alias("_h0"), F.xxhash64(F.lit(1), "_a").alias("_h1")]
+    alone = ours.filter("_b is null").select("*", *marks)
+    alone = alone.join(theirs.select(*marks).distinct(), ["_h0", "_h1"], "left_anti").select("_a", "_b")
+    return both.unionByName(alone)
 
 
 def union_key_join(

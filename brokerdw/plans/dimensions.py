@@ -151,7 +151,7 @@ def customer_history(mgmt: DataFrame, changes: DataFrame | None, batch_date: Dat
     if changes is not None:
         dated = changes.join(batch_date, "batchid").withColumn("update_ts", F.col("batchdate").cast("timestamp"))
         rows = rows.unionByName(dated.select(*rows.columns))
-    hot = hot_window_keys(rows, ["customerid"], ["update_ts", "batchid"])
+    hot = hot_window_keys(rows, ["customerid"])
     filled = forward_fill(rows, "customerid", ["update_ts", "batchid"], CUSTOMER_FILL, hot)
     return scd2_history(filled, "customerid", "update_ts", "batchid", hot=hot).drop("update_ts")
 
@@ -197,7 +197,7 @@ def account_history(mgmt: DataFrame, changes: DataFrame | None, batch_date: Data
     if changes is not None:
         dated = changes.join(batch_date, "batchid").withColumn("update_ts", F.col("batchdate").cast("timestamp"))
         rows = rows.unionByName(dated.select(*rows.columns))
-    hot = hot_window_keys(rows, ["accountid"], ["update_ts", "batchid"])
+    hot = hot_window_keys(rows, ["accountid"])
     filled = forward_fill(rows, "accountid", ["update_ts", "batchid"], ACCOUNT_FILL, hot)
     return scd2_history(filled, "accountid", "update_ts", "batchid", hot=hot).drop("update_ts")
 
