@@ -7,7 +7,8 @@ stands in no token, so documents are cut there first; inside a word the pair tab
 further. Only the last fragment of a word carries the word end mark.
 
 Fragments are remembered in tables of bounded size. Nulls and empty texts have
-no tokens; an empty table gives no rows; extra columns are not read.
+no tokens; very long texts are read whole, word by word; repeated rows are encoded one by one;
+an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations

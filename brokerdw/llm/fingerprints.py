@@ -8,7 +8,8 @@ while a set has fewer than k.
 
 Nulls count as empty texts; an empty text has an empty sketch, which resembles only empty
 ones. Long texts are read whole; repeated rows are treated one by one; an empty table gives
-no rows; extra columns are not read.
+no rows; extra columns are not read. The edits need the documents' order, so there doc_id must
+be a number, of any size; null ids come first.
 """
 
 from __future__ import annotations
@@ -96,7 +97,9 @@ def with_cells(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     group = F.size(F.filter(edges, lambda e: e <= number))
     low = F.element_at(edges, F.col("_g"))
     high = F.coalesce(F.get(edges, F.col("_g")), low + 1)
-    part = F.least(F.lit(per_group - 1), F.floor((number - low) / (high - low) * per_group)).cast("int")
+    # Beyond 2**53 neighbouring ids are one double: such ids share a part, and a range may have no width.
+    width = F.greatest(high - low, F.lit(1.0))
+    part = F.least(F.lit(per_group - 1), F.floor((number - low) / width * per_group)).cast("int")
     grouped = docs.withColumn("_g", F.when(number.isNull(), F.lit(0)).otherwise(group))
     cell = F.when(F.col("_g") == 0, F.lit(-1)).otherwise(F.col("_g") * per_group + part)
     celled = grouped.withColumn("_cell", cell.cast("int")).drop("_g")

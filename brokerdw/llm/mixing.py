@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brokerdw.llm.common import BEFORE, group_key, sums_before
+from brokerdw.llm.common import BEFORE, group_key, stored, sums_before
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
+CELLS = 4_096
 
 
 def word_count(text: Column) -> Column:
@@ -121,8 +122,23 @@ def mixed_documents(
     )
     decided = _taken(rows.drop("_row"), weights, max_epochs, seed, whole=True)
     times = F.when(F.col("_size") > 0, F.floor(F.col("taken") / F.col("_size"))).otherwise(1).cast("int")
-    per_id = decided.groupBy("_id", "_tie").agg(F.max(times).alias("_times"))
-    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_tie") == F.col("_t"))
-    chosen = per_id.select(F.col("_id").alias("_i"), F.col("_tie").alias("_t"), "_times").filter("_times > 0")
-    out = rows.join(chosen, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    # Repeated rows stand side by side in the order of the mix, so their counts fall once at
+    # most: of ``_n`` rows of an id and text the first ``_more`` come ``_most`` times.
+    same = ["_g", "_id", "_tie"]
+    per_id = decided.select(*same, times.alias("_times")).groupBy(*same).agg(
+        F.max("_times").alias("_most"), F.min("_times").alias("_least"), F.sum("_times").alias("_sum"), F.count("*").alias("_n")
+    )
+    per_id = per_id.withColumn("_more", F.col("_sum") - F.col("_least") * F.col("_n")).filter("_most > 0")
+    known = per_id.select(*[F.col(c).alias(f"{c}_") for c in same], "_most", "_least", "_more", "_n")
+    on = F.lit(True)
+    for c in same:
+        on = on & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    met = rows.join(known, on)
+    even = met.filter("_most = _least").select("_row", F.col("_most").alias("_times"))
+    # Only the rows at the cut of a source are numbered, one id and text each; stored random cells let many tasks number them.
+    at_cut = met.filter("_most > _least").select("_row", "_least", "_more", F.xxhash64(*same).alias("_h"), F.lit(1).alias("_one"))
+    at_cut = stored(at_cut.withColumn("_cell", F.floor(F.rand(11) * CELLS).cast("int")), "mix-cut")
+    cut = sums_before(at_cut, ["_h"], "_cell", ["_cell"], "_one")
+    cut = cut.select("_row", (F.col("_least") + (F.col(BEFORE) < F.col("_more")).cast("int")).alias("_times"))
+    out = even.unionByName(cut).withColumn("_copy", F.explode(F.when(F.col("_times") > 0, F.sequence(F.lit(1), F.col("_times")))))
     return out.select("_row.*")

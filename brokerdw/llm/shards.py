@@ -6,7 +6,7 @@ are cut into shards whose row counts differ by one at most.
 
 Nulls: null sources form one source; a null text has no bytes; null ids are shuffled like
 others. Repeated rows take separate slots. An empty table gives no rows. Extra columns are
-not read.
+not read. Of a text, however long, only size and checksum are kept.
 """
 
 from __future__ import annotations

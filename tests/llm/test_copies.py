@@ -178,3 +178,32 @@ def test_empty_tables(empty):
 def test_query_columns(spark):
     got = QUERIES["op5_line_dedup"](spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "n_lines", "n_removed", "removed"] and got.count() == 200
+
+
+@pytest.mark.parametrize("ids", ["hashed", "around 2**53", "one"])
+def test_fingerprints_of_large_ids(spark, ids):
+    texts_ = [f"{i} words of text number {i * i} and more" for i in range(200)]
+    make = {
+        "hashed": F.xxhash64("n"),
+        "around 2**53": F.col("n") + F.lit((1 << 53) - 90),
+        "one": F.lit((1 << 63) - 1),
+    }[ids]
+    rows = spark.createDataFrame(list(enumerate(texts_)), "n long, text string").select(make.cast("long").alias("doc_id"), "text")
+    docs = sorted(((r["doc_id"], r["text"]) for r in rows.collect()), key=lambda r: r[0])
+    got = fingerprints.fingerprint_edits(rows).collect()
+    assert sorted(r["doc_id"] for r in got) == [i for i, _ in docs]
+    if ids == "one":
+        return
+    by_id = {r["doc_id"]: r for r in got}
+    for (i, t), (_, after) in zip(docs, docs[1:] + docs[:1]):
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        assert by_id[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_equal_lines_of_rows_without_an_id_or_with_one_id(spark):
+    rows = [(None, "a b c d e\nx"), (None, "a b c d e\ny"), (None, "a b c d e\nz"), (7, "k l m n o\nu"), (7, "k l m n o\nv")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lines.repeated_lines(df).collect()
+    assert sorted((r["doc_id"] is None, r["removed"]) for r in got) == [(False, [0]), (True, [0]), (True, [0])]
+    kept = lines.without_repeats(df).collect()
+    assert sum("a b c d e" in r["text"] for r in kept) == 1 and sum("k l m n o" in r["text"] for r in kept) == 1

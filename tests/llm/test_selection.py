@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brokerdw.llm import hnsw, mixing, shards, toxicity
-from brokerdw.llm.queries import MIX_SQL, QUERIES
+from brokerdw.llm.queries import MIX_SQL, QUERIES, SHARD_SQL
 
 from .conftest import texts
 
@@ -45,6 +45,26 @@ def test_mix_equals_sql(spark):
     assert sorted((r[0], r[1], r[2], round(r[3], 6), r[4]) for r in got) == want
 
 
+def test_repeated_rows_at_the_cut_are_mixed_one_by_one(spark):
+    """Five equal rows of 4 words and a target of 16 words: three come once, one not at all."""
+    rows = [(7, "a b c d", "s")] * 5 + [(i, "w " * 10, "t") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = {r["source_size"]: r["target"] for r in mixing.mix(df).collect()}
+    for weights in ((1, 2), (1, 9), (2, 1), (7, 3)):
+        taken = {r["source_size"]: r["target"] for r in mixing.mix(df, weights).collect()}
+        got = mixing.mixed_documents(df, weights).filter("source = 's'").count()
+        assert abs(4 * got - taken[20]) <= 2, (weights, got, taken)
+    assert targets
+
+
+def test_shards_equal_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    rel = con.sql(SHARD_SQL)
+    got = QUERIES["op8_sharding"](spark, SF).select(*rel.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(rel.fetchall())
+
+
 def test_mixed_documents(odd, empty):
     out = mixing.mixed_documents(odd)
     assert out.columns == odd.columns and mixing.mixed_documents(empty).count() == mixing.mix(empty).count() == 0
