@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brokerdw.functions.exprs import col
+from brokerdw.operators.hotkeys import stored
 from brokerdw.sources import schemas
 
 Field = tuple[str, int, str]
@@ -112,24 +113,34 @@ def _parse_wire(rows: DataFrame, fields: Sequence[FixedField], keep: Sequence[st
     return parse_fixed(rows, "value", fields, keep, schemas.FINWIRE_HEADER)
 
 
+# What a piece of XML can begin in: text, a comment, a CDATA section, a processing instruction.
+OPENERS = ("", "<!--", "<![CDATA[", "<?")
+_WHOLE = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+_TO_THE_END = r"(?s)(<!\[CDATA\[.*?(?:\]\]>|\z))|<!--.*?(?:-->|\z)|<\?.*?(?:\?>|\z)"
+_ATTRS = """(?:[^>"']|"[^"]*"|'[^']*')*?"""
+# Pieces that are put together at once on the way to the state at the start of each piece.
+TOGETHER = 64
+
+
 def scan_xml(spark: SparkSession, path: str, row_tag: str, schema: str, pattern: str | None = None) -> DataFrame:
     """XML records with a declared schema; attributes are ``_name``.
 
-    The text reader cuts the file at the closing row tag, so one large file is read by
-    many tasks. A piece may hold self-closing records before one with an end tag, and
-    comments, whose content is no record (a comment inside a record must not hold its end
-    tag). What is found is parsed by ``from_xml``. :func:`check_xml` finds records that are
-    opened and never closed.
+    The text reader cuts the file at the closing row tag, so one large file is read by many
+    tasks. A closing tag inside a comment, a CDATA section or a processing instruction ends
+    no record. Whether a piece begins inside one depends on all pieces before it, so each
+    piece is summed up as a function from what it begins in to what it ends in; functions
+    are composed in a tree, and the states come back down it. A file in which no piece ends
+    inside such a construct, as nearly every file, is parsed piece by piece without that.
+
+    Comments and instructions are dropped and CDATA becomes escaped text, so what is found
+    afterwards as a tag is one. A piece may hold self-closing records before one with an end
+    tag. Records are parsed by ``from_xml``. Records inside records and attributes with a
+    ``<``, which XML forbids, are reported by :func:`check_xml`.
     """
     close = f"</{row_tag}>"
-    attrs = """(?:[^>"']|"[^"]*"|'[^']*')*?"""
     start = rf"<{row_tag}(?=[\s/>])"
-    alone, opened = rf"{start}{attrs}/>", rf"{start}(?!{attrs}/>)"
-    bare = F.col("value")
-    for comment in (r"(?s)<!--.*?-->", r"(?s)^(?:(?!<!--).)*?-->", r"(?s)<!--.*$"):  # whole, begun in the piece before, going on
-        bare = F.regexp_replace(bare, comment, "")
-    pieces = _text(spark, path, pattern, close).select(bare.alias("value"))
-    found = pieces.withColumn("at", F.regexp_instr("value", F.lit(opened)))
+    alone, opened = rf"{start}{_ATTRS}/>", rf"{start}(?!{_ATTRS}/>)"
+    found = _xml_text(spark, path, row_tag, pattern).withColumn("at", F.regexp_instr("value", F.lit(opened)))
     before = F.when(F.col("at") > 0, F.expr("left(value, at - 1)")).otherwise(F.col("value"))
     rest = F.when(F.col("at") > 0, F.array(F.concat(F.expr("substring(value, at)"), F.lit(close))))
     records = F.concat(F.regexp_extract_all(before, F.lit(alone), F.lit(0)), F.coalesce(rest, F.array().cast("array<string>")))
@@ -137,14 +148,107 @@ def scan_xml(spark: SparkSession, path: str, row_tag: str, schema: str, pattern:
 
 
 def check_xml(spark: SparkSession, path: str, row_tag: str, pattern: str | None = None) -> None:
-    """Raise if records are opened more or less often than closed, as in a file that was cut off."""
-    attrs = """(?:[^>"']|"[^"]*"|'[^']*')*?"""
-    tags = _text(spark, path, pattern, "<")
-    is_open = F.col("value").rlike(rf"^{row_tag}(?=[\s/>])(?!{attrs}/>)")
-    is_close = F.col("value").rlike(rf"^/{row_tag}[\s>]")
-    counts = tags.agg(F.count_if(is_open).alias("opens"), F.count_if(is_close).alias("closes")).first()
-    if counts["opens"] != counts["closes"]:
-        raise ValueError(f"{path}: {counts['opens']} records are opened and {counts['closes']} closed")
+    """Raise if records are opened more or less often than closed, as in a file that was cut off.
+
+    A whole file has one piece more than closing tags: what follows the last one.
+    """
+    opened = rf"<{row_tag}(?=[\s/>])(?!{_ATTRS}/>)"
+    pieces = _xml_text(spark, path, row_tag, pattern)
+    found = F.size(F.regexp_extract_all("value", F.lit(opened), F.lit(0)))
+    counts = pieces.groupBy("file").agg(F.sum(found).alias("opens"), (F.count("*") - 1).alias("closes"), F.max(found).alias("most"))
+    bad = counts.filter("opens <> closes or most > 1").orderBy("file").first()
+    if bad:
+        raise ValueError(f"{bad['file']}: {bad['opens']} records are opened and {bad['closes']} closed, up to {bad['most']} at once")
+
+
+def _end_state(text: Column) -> Column:
+    """What a text that begins outside of everything ends in, as a place in ``OPENERS``."""
+    left = F.regexp_extract(F.regexp_replace(text, _WHOLE, " "), r"<!--|<!\[CDATA\[|<\?", 0)
+    return (F.array_position(F.array(*map(F.lit, OPENERS)), left) - 1).cast("int")
+
+
+def _plain(text: Column) -> Column:
+    """The text without comments and instructions, CDATA as escaped text; what is open at the end ends there."""
+    kept = F.regexp_replace(text, _TO_THE_END, "$1")
+
+    def escaped(part: Column, i: Column) -> Column:
+        end = F.instr(part, F.lit("]]>"))
+        data = F.when(end > 0, F.substring(part, F.lit(1), end - 1)).otherwise(part)
+        for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            data = F.replace(data, F.lit(sign), F.lit(entity))
+        after = F.when(end > 0, F.substring(part, end + 3, F.length(part))).otherwise(F.lit(""))
+        return F.when(i == 0, part).otherwise(F.concat(data, after))
+
+    parts = F.transform(F.split(kept, r"<!\[CDATA\["), escaped)
+    return F.when(F.contains(kept, F.lit("<![CDATA[")), F.array_join(parts, "")).otherwise(kept)
+
+
+def _xml_text(spark: SparkSession, path: str, row_tag: str, pattern: str | None) -> DataFrame:
+    """``file, value``: the plain text up to each closing tag that ends a record, and the rest of the file."""
+    close = f"</{row_tag}>"
+    pieces = _text(spark, path, pattern, close).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("i"),
+        "value",
+    )
+    if pieces.filter(_end_state(F.col("value")) != 0).isEmpty():
+        return pieces.select("file", _plain(F.col("value")).alias("value"))
+    states = _start_states(pieces)
+    opener = F.get(F.array(*map(F.lit, OPENERS)), F.col("state"))
+    whole = F.concat(opener, F.col("value"))
+    # A closing tag inside CDATA is text; one inside a comment is nothing.
+    tag = F.when(_end_state(whole) == 2, F.lit(f"&lt;/{row_tag}&gt;")).otherwise(F.lit(""))
+    known = pieces.join(states, ["file", "block", "i"]).withColumn("value", F.concat(_plain(whole), tag))
+    # What lies inside a comment is gone by now, however long it is.
+    known = known.filter((F.col("value") != "") | (F.col("state") == 0))
+    parts = F.array_sort(F.collect_list(F.struct("block", "i", "value")))
+    records = known.groupBy("file", "record").agg(parts.alias("parts"))
+    return records.select("file", F.array_join(F.transform("parts", lambda p: p["value"]), "").alias("value"))
+
+
+def _start_states(pieces: DataFrame) -> DataFrame:
+    """``file, block, i, state, record``: what each piece begins in, and the number of records that end before it.
+
+    A node of the tree holds, for every state at its start, the state at its end and the
+    records that end in it. Nodes are groups of ``TOGETHER`` pieces, then of as many groups,
+    then the block that a task reads, then the file: none gathers more than a file's blocks
+    or a block's groups of groups.
+    """
+    ends = [_end_state(F.concat(F.lit(o), F.col("value"))) for o in OPENERS]
+    step = F.array(*[F.struct(e.alias("e"), (e == 0).cast("long").alias("c")) for e in ends]).alias("f")
+    leaves = pieces.select("file", "block", "i", step)
+    base = leaves.withColumn("g1", F.expr(f"i div {TOGETHER}")).withColumn("g2", F.expr(f"g1 div {TOGETHER}"))
+    nothing = F.expr("transform(sequence(0, 3), s -> named_struct('e', cast(s as int), 'c', 0L))")
+
+    def then(a: Column, b: Column) -> Column:
+        return F.transform(a, lambda x: F.struct(F.get(b, x["e"])["e"].alias("e"), (x["c"] + F.get(b, x["e"])["c"]).alias("c")))
+
+    def up(nodes: DataFrame, group: list[str], order: str) -> DataFrame:
+        kids = F.array_sort(F.collect_list(F.struct(order, "f"))).alias("kids")
+        grouped = nodes.groupBy(*group).agg(kids)
+        return grouped.withColumn("f", F.aggregate("kids", nothing, lambda a, k: then(a, k["f"])))
+
+    def down(nodes: DataFrame, group: list[str], order: str) -> DataFrame:
+        """The state and the records before each child, from those of its node."""
+        first = F.struct(F.col("state").alias("e"), F.col("record").alias("c"), F.expr(f"cast(array() as array<struct<{order}:bigint,state:int,record:bigint>>)").alias("out"))
+
+        def one(a: Column, k: Column) -> Column:
+            own = F.get(k["f"], a["e"])
+            entry = F.struct(k[order].alias(order), a["e"].alias("state"), a["c"].alias("record"))
+            return F.struct(own["e"].alias("e"), (a["c"] + own["c"]).alias("c"), F.concat(a["out"], F.array(entry)).alias("out"))
+
+        return nodes.select(*group, F.inline(F.aggregate("kids", first, one, lambda a: a["out"])))
+
+    levels = [(["file", "block", "g2", "g1"], "i"), (["file", "block", "g2"], "g1"), (["file", "block"], "g2"), (["file"], "block")]
+    tree, nodes = [], base
+    for group, order in levels:
+        nodes = stored(up(nodes, group, order), "xml-states")
+        tree.append(nodes)
+    placed = down(nodes.withColumns({"state": F.lit(0), "record": F.lit(0).cast("long")}), *levels[-1])
+    for nodes, (group, order) in zip(tree[-2::-1], levels[-2::-1], strict=True):
+        placed = down(nodes.join(placed, group), group, order)
+    return placed.select("file", "block", "i", "state", "record")
 
 
 def _text(spark: SparkSession, path: str, pattern: str | None, separator: str) -> DataFrame:
