@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from brokerdw.catalog import derived as d
-from brokerdw.catalog.registry import query
+from brokerdw.catalog.registry import query, table
 from brokerdw.plans import dimensions as dims
-from brokerdw.plans import facts, increments, stages
+from brokerdw.plans import carried, facts, increments, stages
 
 DATES = "CAST(effectivedate AS VARCHAR) AS effectivedate, CAST(enddate AS VARCHAR) AS enddate, iscurrent"
 CUSTOMER_COLS = """
@@ -259,6 +259,91 @@ def prospect_stage(spark, sf):
     return d.prospect_stage(spark, sf).select("agencyid", "networth", "marketingnameplate", "recordbatchid", "batchid")
 
 
+# -- batches one after the other, from what the batch before left ---------------------
+
+FOUR = (1, 2, 3, 4)
+# A batch holds the days of two years, and every fiftieth order comes late.
+_BATCH = "CAST(CASE WHEN {key} % 50 = 0 THEN 4 ELSE least(4, (year({day}) - 1992) // 2 + 1) END AS INT)"
+
+
+def _batch(key, day):
+    by_day = F.least(F.lit(4), F.floor((F.year(day) - 1992) / 2).cast("int") + 1)
+    return F.when(F.col(key) % 50 == 0, 4).otherwise(by_day).alias("batchid")
+
+
+def _after_each(sql: str) -> str:
+    """The rows of each batch as a run over all batches up to it gives them."""
+    return " UNION ALL ".join(f"SELECT * FROM ({sql.format(n=n)}) WHERE batchid = {n}" for n in FOUR)
+
+
+@query(
+    "cash_opening_balances",
+    f"""WITH days AS (SELECT o_custkey AS accountid, CAST(o_orderdate AS DATE) AS d, {_BATCH.format(key="o_orderkey", day="o_orderdate")} AS batchid,
+        sum(CAST(o_totalprice AS DECIMAL(18,4))) AS t FROM orders GROUP BY ALL) """
+    + _after_each(
+        """SELECT accountid, CAST(d AS VARCHAR) AS datevalue, batchid,
+        CAST(sum(t) OVER (PARTITION BY accountid ORDER BY d) AS DOUBLE) AS cash FROM days WHERE batchid <= {n}"""
+    ),
+)
+def cash_opening_balances(spark, sf):
+    """Balances of four batches, each from its own transactions and the closing balances before; some come late."""
+    orders = table(spark, sf, "orders")
+    cash = orders.select(
+        F.col("o_custkey").alias("accountid"), F.col("o_orderdate").alias("ct_dts"), F.col("o_totalprice").alias("ct_amt"), _batch("o_orderkey", "o_orderdate")
+    )
+    days = d.stored(carried.cash_days(cash), "cash-days")
+    of = lambda n: days.filter(F.col("batchid") == n)
+    out, closing = stages.cash_stage(cash.filter("batchid = 1")), carried.close_balances(of(1))
+    for n in FOUR[1:]:
+        closing = d.stored(closing, "closing")
+        out = out.unionByName(carried.cash_after(of(n), closing, days.filter(F.col("batchid") < n)))
+        closing = carried.close_balances(of(n), closing)
+    return out
+
+
+@query(
+    "market_year_tails",
+    f"""WITH quotes AS (SELECT CAST(l_shipdate AS DATE) AS d, 'S' || (l_partkey % 20) AS s, {_BATCH.format(key="l_orderkey", day="l_shipdate")} AS batchid,
+        max(l_extendedprice) AS hi, min(l_extendedprice) AS lo FROM lineitem GROUP BY ALL) """
+    + _after_each(
+        """SELECT CAST(d AS VARCHAR) AS dm_date, s AS dm_s_symb, hi AS dm_high, lo AS dm_low, batchid, max(hi) OVER w AS fiftytwoweekhigh,
+        CAST(strftime(arg_max(d, (hi, -date_diff('day', DATE '1970-01-01', d))) OVER w, '%Y%m%d') AS BIGINT) AS sk_fiftytwoweekhighdate,
+        min(lo) OVER w AS fiftytwoweeklow, CAST(strftime(arg_min(d, (lo, d)) OVER w, '%Y%m%d') AS BIGINT) AS sk_fiftytwoweeklowdate
+        FROM quotes WHERE batchid <= {n} WINDOW w AS (PARTITION BY s ORDER BY d, batchid ROWS 364 PRECEDING)"""
+    ),
+)
+def market_year_tails(spark, sf):
+    """Yearly extremes of four batches, each from its own quotes and the year before them; some come late."""
+    price = F.col("l_extendedprice")
+    day, symbol = F.to_date("l_shipdate").alias("dm_date"), F.concat(F.lit("S"), d.text(F.col("l_partkey") % 20)).alias("dm_s_symb")
+    quotes = table(spark, sf, "lineitem").groupBy(day, symbol, _batch("l_orderkey", "l_shipdate")).agg(F.max(price).alias("dm_high"), F.min(price).alias("dm_low"))
+    quotes = d.stored(quotes, "quotes")
+    of = lambda n: quotes.filter(F.col("batchid") == n)
+    out, tails = stages.daily_market_stage(of(1)), carried.quote_tails(of(1))
+    for n in FOUR[1:]:
+        tails = d.stored(tails, "tails")
+        out = out.unionByName(carried.market_after(of(n), tails, quotes.filter(F.col("batchid") < n)))
+        tails = carried.quote_tails(of(n), tails)
+    return out
+
+
+@query(
+    "prospect_state",
+    d.with_ctes(
+        "psnap prospect",
+        " SELECT agencyid, networth, plate AS marketingnameplate, recordbatchid, batchid FROM prospect",
+    ),
+)
+def prospect_state(spark, sf):
+    """Prospect records with their first and last batch, one snapshot merged after the other."""
+    snapshots = d.prospect_snapshots(spark, sf)
+    state = stages.prospect_stage(snapshots.filter("batchid = 1"))
+    for n in (2, 3):
+        state = d.stored(state, "prospect-state")
+        state = stages.with_tags(carried.seen_after(state, snapshots.filter(F.col("batchid") == n), ["marketingnameplate"]))
+    return state.select("agencyid", "networth", "marketingnameplate", "recordbatchid", "batchid")
+
+
 # -- incremental forms ------------------------------------------------------------
 NEXT = "SELECT *, enddate = DATE '9999-12-31' AS cur FROM"
 

@@ -92,11 +92,15 @@ def account_changes(raw: DataFrame) -> DataFrame:
 
 def prospect_stage(snapshots: DataFrame) -> DataFrame:
     """Distinct prospect records with marketing tags and the batches that show them."""
+    # Grouped first: the tags depend on the record only.
+    return with_tags(first_last_seen(snapshots))
+
+
+def with_tags(records: DataFrame) -> DataFrame:
     tags = X.nameplate(
         "networth", "income", "numberchildren", "numbercreditcards", "age", "numbercars", "creditrating"
     )
-    # Grouped first: the tags depend on the record only.
-    return first_last_seen(snapshots).withColumn("marketingnameplate", tags)
+    return records.withColumn("marketingnameplate", tags)
 
 
 def cash_stage(cash: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from brokerdw.operators.checks import expect
 from brokerdw.plans import audit as audit_plan
 from brokerdw.plans import dimensions as dims
-from brokerdw.plans import facts, increments, messages, stages
+from brokerdw.plans import carried, facts, increments, messages, stages
 from brokerdw.sources import scans, schemas
 from brokerdw.sources.store import TableStore
 from brokerdw.streaming import cdc
@@ -84,32 +84,60 @@ class Warehouse:
         )
         store.write("stage_customermgmt", stages.customer_mgmt(actions), partition_by=["actiontype"])
         store.write("stage_prospect", stages.prospect_stage(self.raw_table("prospect", batches)))
-        for name, build in self._daily(batches).items():
-            store.write(name, build, partition_by=["batchid"])
-
-    def _daily(self, batches: Sequence[int] | None) -> dict[str, DataFrame]:
-        """Quotes with the extremes of the year before, and balances; the quotes are read from their stored form."""
-        raw = self.store.write("stage_quotes", self.change_table("dailymarket", batches))
-        return {
-            "stage_market": stages.daily_market_stage(raw),
-            "stage_cash": stages.cash_stage(self.change_table("cashtransaction", batches)),
-        }
+        quotes = store.write("stage_quotes", self.change_table("dailymarket", batches), partition_by=["batchid"])
+        store.write("stage_market", stages.daily_market_stage(quotes), partition_by=["batchid"])
+        cash = stages.cash_stage(self.change_table("cashtransaction", batches))
+        store.write("stage_cash", cash, partition_by=["batchid"])
+
+    def carry_first(self) -> None:
+        """What the historical load leaves to the next batch."""
+        store, flow = self.store, "batch-1"
+        days = store.write("cash_days", carried.cash_days(self.change_table("cashtransaction", [1])), partition_by=["batchid"])
+        store.write("state_cash", carried.close_balances(days), flow=flow)
+        store.write("state_quotes", carried.quote_tails(store.read("stage_quotes")), flow=flow)
 
     def load_batch_stages(self, n: int) -> None:
-        """The stages of batch ``n``, from the files of the batches up to it; no later folder is opened."""
-        store, upto = self.store, list(range(1, n + 1))
-        store.write("batchdate", self.raw_table("batchdate", upto))
-        store.write("stage_prospect", stages.prospect_stage(self.raw_table("prospect", upto)))
-        flow = f"batch-{n}"
-        if not store.has_flow("stage_quotes", flow):
-            store.write("stage_quotes", self.change_table("dailymarket", [n]), "append", flow=flow)
-        rows = {
-            "stage_market": lambda: stages.daily_market_stage(store.read("stage_quotes")),
-            "stage_cash": lambda: stages.cash_stage(self.change_table("cashtransaction", upto)),
-        }
-        for name, build in rows.items():
-            if not store.has_flow(name, flow):
-                store.write(name, build().filter(F.col("batchid") == n), "append", partition_by=["batchid"], flow=flow)
+        """The stages of batch ``n`` from its own files and what the batch before left; no other folder is opened.
+
+        A state is replaced after everything that is derived from the one before, so a load
+        that was stopped is taken up where it was.
+        """
+        store, flow = self.store, f"batch-{n}"
+
+        def todo(name: str) -> bool:
+            return not store.has_flow(name, flow)
+
+        def before(state: str) -> DataFrame:
+            if not store.has_flow(state, f"batch-{n - 1}"):
+                raise ValueError(f"{state}: batch {n - 1} has to be loaded before batch {n}")
+            return store.read(state)
+
+        def of_batch(name: str) -> DataFrame:
+            return store.read(name).filter(F.col("batchid") == n)
+
+        def earlier(name: str) -> DataFrame:
+            return store.read(name).filter(F.col("batchid") < n)
+
+        def append(name: str, rows: DataFrame) -> None:
+            store.write(name, rows, "append", partition_by=["batchid"], flow=flow)
+
+        if todo("batchdate"):
+            store.write("batchdate", self.raw_table("batchdate", [n]), "append", flow=flow)
+        if todo("stage_prospect"):
+            seen = carried.seen_after(store.read("stage_prospect"), self.raw_table("prospect", [n]), ["marketingnameplate"])
+            store.write("stage_prospect", stages.with_tags(seen), flow=flow)
+        if todo("state_cash"):
+            if todo("cash_days"):
+                append("cash_days", carried.cash_days(self.change_table("cashtransaction", [n])))
+            if todo("stage_cash"):
+                append("stage_cash", carried.cash_after(of_batch("cash_days"), before("state_cash"), earlier("cash_days")))
+            store.write("state_cash", carried.close_balances(of_batch("cash_days"), before("state_cash")), flow=flow)
+        if todo("state_quotes"):
+            if todo("stage_quotes"):
+                append("stage_quotes", self.change_table("dailymarket", [n]))
+            if todo("stage_market"):
+                append("stage_market", carried.market_after(of_batch("stage_quotes"), before("state_quotes"), earlier("stage_quotes")))
+            store.write("state_quotes", carried.quote_tails(of_batch("stage_quotes"), before("state_quotes")), flow=flow)
 
     def load_static(self) -> None:
         """Dimensions that only batch 1 changes."""
@@ -173,6 +201,7 @@ class Warehouse:
         first = [1]
         self.load_reference(first)
         self.load_stages(first)
+        self.carry_first()
         self.load_static()
         self._load_people(None, None, batch=1)
         trades = dims.trades_final(self.change_table("trade", first, keep_cdc=True), self.raw_table("tradehistory"))

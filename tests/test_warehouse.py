@@ -297,6 +297,24 @@ def test_batches_as_they_arrive_repeated_and_taken_up_again(spark, raw, incremen
     assert w.store.read("factmarkethistory").filter("batchid = 4").count() == w.store.read("factmarkethistory").filter("batchid = 3").count()
 
 
+def test_a_batch_opens_its_own_folder_only(spark, raw, incremental, tmp_path):
+    """The raw folders of the batches before are gone when a batch is loaded; the tables are those of a run that has them all."""
+    w = Warehouse(spark, "", TableStore(spark, str(tmp_path / "store")))
+    for n in (1, 2, 3):
+        w.raw = str(tmp_path / f"raw{n}")
+        shutil.copytree(f"{raw}/Batch{n}", tmp_path / f"raw{n}" / f"Batch{n}")
+        w.run_batch(n)
+    for name in [*FACTS, "stage_cash", "stage_market", "stage_prospect", "batchdate"]:
+        assert rows(w, name, "*") == rows(incremental, name, "*"), name
+
+
+def test_batches_are_loaded_in_order(spark, raw, tmp_path):
+    w = Warehouse(spark, raw, TableStore(spark, str(tmp_path)))
+    w.run_batch(1)
+    with pytest.raises(ValueError, match="batch 2 has to be loaded before batch 3"):
+        w.run_batch(3)
+
+
 def test_first_batch_again_loads_afresh(spark, raw, tmp_path):
     w = Warehouse(spark, raw, TableStore(spark, str(tmp_path)))
     counts = lambda: {name: w.store.read(name).count() for name in FACTS}
