@@ -288,6 +288,27 @@ def chain_self_join(spark, sf):
     return v.join(nxt, on).select("o_custkey", "o_orderkey", "next_order")
 
 
+# Spans of up to five weeks that start every few days, some nested, some empty.
+SPANS = """SELECT row_number() OVER () AS r, l_suppkey, CAST(l_shipdate AS DATE) AS s,
+    CAST(l_shipdate AS DATE) + CAST((l_orderkey * 7 + l_linenumber) % 35 AS INT) AS e FROM lineitem"""
+
+
+@query(
+    "overlap_counts",
+    f"""WITH v AS ({SPANS})
+    SELECT a.l_suppkey, count(b.r) AS pairs FROM v a LEFT JOIN v b
+      ON a.l_suppkey = b.l_suppkey AND a.r <> b.r AND a.s >= b.s AND a.s < b.e GROUP BY 1""",
+)
+def overlap_counts(spark, sf):
+    """Pairs of overlapping spans of each supplier, counted by signed events and not formed (JN-14, AUD-5)."""
+    from brokerdw.operators import checks
+
+    start = F.to_date("l_shipdate")
+    width = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 35).cast("int")
+    spans = table(spark, sf, "lineitem").select("l_suppkey", start.alias("s"), F.date_add(start, width).alias("e"))
+    return checks.overlap_counts(spans, ["l_suppkey"], "s", "e")
+
+
 @query(
     "overlap_detection",
     """

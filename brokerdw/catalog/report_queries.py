@@ -213,7 +213,19 @@ def audit_references(spark, sf):
     UNION ALL SELECT 'bad_type', count(*) FILTER (WHERE type NOT IN ('Market Buy', 'Limit Sell')) FROM dimtrade
     UNION ALL SELECT 'canceled', count(*) FILTER (WHERE status = 'Canceled') FROM dimtrade
     UNION ALL SELECT 'backward', count(*) FILTER (WHERE sk_closedateid < sk_createdateid) FROM dimtrade
-    UNION ALL SELECT 'bad_plate', 0
+    UNION ALL SELECT 'bad_plate', sum(
+      (networth > 1000000 OR income > 200000)::INT * (NOT contains(shown, 'HighValue'))::INT
+      + (children > 3 OR cards > 5)::INT * (NOT contains(shown, 'Expenses'))::INT
+      + (age > 45)::INT * (NOT contains(shown, 'Boomer'))::INT
+      + (income < 50000 OR creditrating < 600 OR networth < 100000)::INT * (NOT contains(shown, 'MoneyAlert'))::INT
+      + (cars > 3 OR cards > 7)::INT * (NOT contains(shown, 'Spender'))::INT
+      + (age < 25 AND networth > 1000000)::INT * (NOT contains(shown, 'Inherited'))::INT
+      + (shown <> '' AND list_sort(list_distinct(list_transform(string_split(shown, '+'), lambda x: coalesce(list_position(tags, x), 0))))
+         <> list_transform(string_split(shown, '+'), lambda x: coalesce(list_position(tags, x), -1)))::INT)
+      FROM (SELECT *, ['HighValue', 'Expenses', 'Boomer', 'MoneyAlert', 'Spender', 'Inherited'] AS tags,
+              CASE CAST(agencyid[2:] AS INT) % 10 WHEN 3 THEN replace(plate, 'Boomer', '') WHEN 4 THEN plate || '+Odd'
+                   WHEN 5 THEN 'Spender+Expenses' ELSE plate END AS shown
+            FROM (SELECT * REPLACE (CAST(income AS BIGINT) AS income) FROM prospect) WHERE recordbatchid >= 3)
     UNION ALL SELECT 'demographics', count(*) FROM dimcustomer c JOIN prospect p ON p.recordbatchid >= 3
       AND upper(c.firstname || c.lastname || c.addressline1 || c.postalcode)
         = upper(p.firstname || p.lastname || p.addressline1 || p.postalcode)
@@ -222,8 +234,11 @@ def audit_references(spark, sf):
     ),
 )
 def audit_values(spark, sf):
-    """Domain, pattern, cross-column and demographic measures (AUD-11, 12, 16, 17)."""
+    """Domain, pattern, cross-column and demographic measures (AUD-11, 12, 16, 17); three in ten tag lists are made wrong."""
     w = d.warehouse(spark, sf)
+    plate, last = F.col("marketingnameplate"), F.substring("agencyid", 2, 20).cast("int") % 10
+    wrong = F.when(last == 3, F.replace(plate, F.lit("Boomer"), F.lit(""))).when(last == 4, F.concat(plate, F.lit("+Odd")))
+    tagged = w["prospect"].withColumn("marketingnameplate", wrong.when(last == 5, "Spender+Expenses").otherwise(plate))
     parts = {
         "dimcustomer": {
             "bad_status": audit._not_in("status", ["Active", "Inactive"]),
@@ -238,7 +253,7 @@ def audit_values(spark, sf):
         },
         "prospect": {"bad_plate": audit.nameplate_errors()},
     }
-    found = [audit.measure(w[t], "x", values, by_batch=False) for t, values in parts.items()]
+    found = [audit.measure(tagged if t == "prospect" else w[t], "x", values, by_batch=False) for t, values in parts.items()]
     found.append(audit._demographic_matches(w))
     return union_all(found).select(F.element_at(F.split("measure", "[.]"), 2).alias("measure"), "value")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerdw.operators.hotkeys import HotKeys, bounded_window
+from brokerdw.operators.hotkeys import HotKeys, bounded_window, running
 from brokerdw.operators.temporal import END, START
 
 
@@ -61,3 +61,23 @@ def overlapping_versions(df: DataFrame, keys: Sequence[str], hot: HotKeys | None
         df, keys, [START, END], {"_next": lambda w: F.lead(START).over(w)}, following=1, hot=hot
     )
     return nexts.filter(F.col("_next") < F.col(END)).drop("_next")
+
+
+def overlap_counts(df: DataFrame, keys: Sequence[str], start: str = START, end: str = END, hot: HotKeys | None = None) -> DataFrame:
+    """Per key, ``pairs``: how often an interval starts while another one of the key is open.
+
+    Two intervals with one start count twice, as each starts within the other; an empty one
+    can start within another but holds none. Starts and ends are signed events, added up by
+    day before the shuffle; their running sum is the number of open intervals on each day,
+    so pairs are counted without being formed.
+    """
+    holds = (F.col(start) < F.col(end)).cast("int")
+    event = lambda day, opened, begun: F.struct(F.col(day).alias("_day"), opened.alias("_opened"), begun.alias("_begun"))
+    events = F.array(event(start, holds, F.lit(1)), event(end, -holds, F.lit(0)))
+    rows = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_own", holds)
+    days = rows.select(*keys, "_own", F.inline(events)).groupBy(*keys, "_day").agg(
+        F.sum("_opened").alias("_opened"), F.sum("_begun").alias("_begun"), F.sum(F.col("_own") * F.col("_begun")).alias("_own")
+    )
+    known = running(days, keys, ["_day"], "_opened", "_before", "sum", hot)
+    there = F.coalesce("_before", F.lit(0)) + F.col("_opened")
+    return known.groupBy(*keys).agg(F.sum(F.col("_begun") * there - F.col("_own")).alias("pairs"))

@@ -1,11 +1,12 @@
 """Operators: golden cases, ties, late rows, duplicate matches."""
 
+import random
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from brokerdw.operators import checks, grouping, joins, merge, rolling, temporal
+from brokerdw.operators import checks, grouping, hotkeys, joins, merge, rolling, temporal
 
 D, T = date.fromisoformat, datetime.fromisoformat
 END = D("9999-12-31")
@@ -158,3 +159,17 @@ def test_overlapping_versions(spark):
     rows = [(1, D("2020-01-01"), D("2020-03-01")), (1, D("2020-02-01"), END), (2, D("2020-01-01"), END)]
     df = spark.createDataFrame(rows, "k int, effectivedate date, enddate date")
     assert tuples(checks.overlapping_versions(df, ["k"]), "k") == [(1,)]
+
+
+def test_overlaps_are_counted_as_pairs(spark):
+    rng = random.Random(7)
+    spans = [(rng.choice([1, 2, None]), s, s + rng.choice([0, 1, 5, 40])) for s in (rng.randrange(60) for _ in range(300))]
+    spans += [(3, 0, 100), (3, 10, 90), (3, 20, 80), (3, 100, 110), (4, 5, 9), (5, 1, 1)]
+    day = lambda c: F.date_add(F.lit("2020-01-01").cast("date"), F.col(c))
+    df = spark.createDataFrame(spans, "k int, s int, e int").select("k", day("s").alias("effectivedate"), day("e").alias("enddate"))
+    want = {}
+    for i, (k, s, e) in enumerate(spans):
+        want[k] = want.get(k, 0) + sum(1 for j, (x, a, b) in enumerate(spans) if i != j and x == k and a <= s < b)
+    assert want[3] == 3 and want[4] == want[5] == 0
+    for hot in (hotkeys.NO_HOT, hotkeys.find_hot_keys(df, ["k"], 60)):
+        assert {r["k"]: r["pairs"] for r in checks.overlap_counts(df, ["k"], hot=hot).collect()} == want
