@@ -328,6 +328,29 @@ def cdc_scd2(spark, sf):
     return _show_history(cdc.scd2_view(store.read("log"), ["user_id"]))
 
 
+@query("cdc_scd1_buckets", SCD1)
+def cdc_scd1_buckets(spark, sf):
+    """Type 1 changes in a log laid out by key: a micro-batch folds the buckets it touches, the view is read as it is."""
+    root = scratch_dir(spark, "cdc1-buckets")
+    store = TableStore(spark, root)
+    to_log = lambda df: cdc.scd1_log(df, ["user_id"], "seq", True, ["event_id", "seq"])
+    by = cdc.ByKey(["user_id"], cdc.combine_scd1, cdc.scd1_view, 8)
+    cdc.run_cdc(_stream_files(spark, sf, root), store, "state", to_log, f"{root}/checkpoint", by=by)
+    return store.read("state_view")
+
+
+@query("cdc_scd2_buckets", SCD2)
+def cdc_scd2_buckets(spark, sf):
+    """Type 2 changes in a log laid out by key: a micro-batch sequences the buckets it touches again."""
+    root = scratch_dir(spark, "cdc2-buckets")
+    store = TableStore(spark, root)
+    to_log = lambda df: cdc.scd2_log(df, ["user_id"], "seq", ["event_id"])
+    once = _event_changes(spark, sf).filter(F.col("event_id") % 5 == 0)
+    by = cdc.ByKey(["user_id"], cdc.combine_scd2, cdc.scd2_view, 8)
+    cdc.run_cdc(_stream_files(spark, sf, root), store, "log", to_log, f"{root}/checkpoint", once=once, by=by)
+    return _show_history(store.read("log_view"))
+
+
 @query("cdc_out_of_order", SCD2)
 def cdc_out_of_order(spark, sf):
     """The batch form, newest rows first: late rows split the intervals they fall into."""

@@ -292,6 +292,7 @@ class Warehouse:
             once=mgmt.filter(F.col("actiontype").isin("NEW", "INACT", "UPDCUST"))
             .withColumn("batchid", F.lit(1))
             .select(*people),
+            by=cdc.ByKey(["customerid"], cdc.combine_scd2, cdc.scd2_view),
         )
         owned = [*stages.ACCOUNT_COLS, "batchid", "update_ts"]
         cdc.run_cdc(
@@ -303,10 +304,11 @@ class Warehouse:
             once=mgmt.filter(~F.col("actiontype").isin("UPDCUST", "INACT"))
             .withColumn("batchid", F.lit(1))
             .select(*owned),
+            by=cdc.ByKey(["accountid"], cdc.combine_scd2, cdc.scd2_view),
         )
 
-        def history(log: str, key: str) -> DataFrame:
-            versions = cdc.with_validity(cdc.scd2_view(store.read(log), [key]))
+        def history(log: str) -> DataFrame:
+            versions = cdc.with_validity(store.read(f"{log}_view"))
             return versions.filter(F.col("effectivedate") < F.col("enddate")).drop("__START_AT", "__END_AT")
 
         prospects = store.read("stage_prospect")
@@ -314,10 +316,10 @@ class Warehouse:
         visible = prospects.filter((F.col("batchid") <= last) & (F.col("recordbatchid") >= last))
         customer = store.write_scd2(
             "dimcustomer",
-            dims.build_dim_customer(history("log_customer", "customerid"), store.read("taxrate"), visible),
+            dims.build_dim_customer(history("log_customer"), store.read("taxrate"), visible),
         )
         account = store.write_scd2(
-            "dimaccount", dims.build_dim_account(history("log_account", "accountid"), customer, store.read("dimbroker"))
+            "dimaccount", dims.build_dim_account(history("log_account"), customer, store.read("dimbroker"))
         )
         store.write("prospect", facts.build_prospect(prospects, last, customer, batch_date))
 
@@ -368,8 +370,9 @@ class Warehouse:
             lambda df: cdc.scd1_log(df, ["tradeid"], "t_dts", True, ["t_dts"]),
             f"{checkpoints}/trade",
             once=hydrated.select(*cols),
+            by=cdc.ByKey(["tradeid"], cdc.combine_scd1, cdc.scd1_view),
         )
-        return cdc.scd1_view(self.store.read("log_trade"), ["tradeid"])
+        return self.store.read("log_trade_view")
 
     def _stream_watches(self, stream: DataFrame, checkpoints: str) -> DataFrame:
         """Type 1 watches: placement and cancellation arrive as separate rows."""
@@ -392,8 +395,9 @@ class Warehouse:
             lambda df: cdc.scd1_log(df, ["customerid", "symbol"], "w_dts", True, ["w_dts"]),
             f"{checkpoints}/watch",
             once=shaped(self.change_table("watchhistory", [1])),
+            by=cdc.ByKey(["customerid", "symbol"], cdc.combine_scd1, cdc.scd1_view),
         )
-        return cdc.scd1_view(self.store.read("log_watch"), ["customerid", "symbol"])
+        return self.store.read("log_watch_view")
 
     # -- messages and audit -------------------------------------------------
     def empty_tables(self) -> None:

@@ -19,8 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COMMIT = "version BIGINT, parts STRING, flow STRING, fresh BOOLEAN, keep STRING"
-# Which folders of the version before a commit keeps: all, none, or those with this label.
-ALL, NONE = "*", ""
+# Which folders of the version before a commit keeps: all, none, those with this label, or all but a list of labels.
+ALL, NONE, BUT = "*", "", "!"
+# Tables laid out by key have a folder a bucket.
+BUCKET, BUCKETS = "_bucket", 64
+
+
+def _keeps(keep: str, label: str) -> bool:
+    return label not in json.loads(keep[1:]) if keep.startswith(BUT) else keep in (ALL, label)
 
 
 class TableStore:
@@ -70,7 +76,7 @@ class TableStore:
         """The folders of the current version."""
         parts: list[dict] = []
         for row in self.commits(name):
-            parts = [p for p in parts if row.keep in (ALL, p["label"])] + json.loads(row.parts)
+            parts = [p for p in parts if _keeps(row.keep, p["label"])] + json.loads(row.parts)
         return parts
 
     def commit(self, name: str, parts: list[dict], flow: str = "", keep: str = NONE, fresh: bool = False) -> None:
@@ -129,15 +135,22 @@ class TableStore:
         parts = [p for p in self.parts(name) if label is None or p["label"] == label]
         if not parts:
             raise ValueError(f"table {name} has no data")
-        frames = [self._read_part(p) for p in parts]
+        return self._union(parts)
+
+    def _union(self, parts: list[dict]) -> DataFrame:
+        """Bucket folders of one schema, which hold files only, are one relation."""
+        alike: dict[tuple, list[dict]] = {}
+        for i, p in enumerate(parts):
+            alike.setdefault((p["schema"], -1 if "bucket" in p else i), []).append(p)
+        frames = [self._read_part(same[0], *[p["path"] for p in same]) for same in alike.values()]
         out = frames[0]
         for more in frames[1:]:
             out = out.unionByName(more, allowMissingColumns=True)
         return out
 
-    def _read_part(self, part: dict) -> DataFrame:
+    def _read_part(self, part: dict, *paths: str) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(part["schema"]))
-        df = self.spark.read.schema(schema).parquet(part["path"]).select(*schema.fieldNames())
+        df = self.spark.read.schema(schema).parquet(*(paths or [part["path"]])).select(*schema.fieldNames())
         return df.filter(part["only"]) if "only" in part else df
 
     def compact(self, name: str, combine: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -153,6 +166,33 @@ class TableStore:
         out.createOrReplaceTempView(name)
         return out
 
+    # -- tables laid out by key ---------------------------------------------
+    def buckets_of(self, df: DataFrame, keys: Sequence[str], count: int = BUCKETS) -> list[str]:
+        """The buckets that hold the keys of ``df``; ``count`` labels at most."""
+        found = df.select(_bucket(keys, count).alias("b")).distinct().collect()
+        return sorted(str(r["b"]) for r in found)
+
+    def read_buckets(self, name: str, labels: Sequence[str]) -> DataFrame | None:
+        """The rows of some buckets; no other folder is opened."""
+        parts = [p for p in self.parts(name) if p["label"] in set(labels)]
+        return self._union(parts) if parts else None
+
+    def replace_buckets(
+        self, name: str, df: DataFrame, keys: Sequence[str], labels: Sequence[str], flow: str = "", count: int = BUCKETS
+    ) -> None:
+        """Write ``df`` as the new content of the buckets ``labels``; all others stay as they are.
+
+        Every one of these buckets must have rows in ``df``. A large bucket is written by
+        several tasks.
+        """
+        path = f"{self.root}/{name}/part-{uuid.uuid4().hex}"
+        dealt = df.withColumn(BUCKET, _bucket(keys, count)).hint("rebalance", BUCKET)
+        dealt.write.partitionBy(BUCKET).parquet(path)
+        parts = [{"path": f"{path}/{BUCKET}={b}", "label": b, "schema": df.schema.json(), "bucket": b} for b in labels]
+        if not parts and not self.exists(name):
+            parts = [self.write_part(name, df.limit(0), "none")]
+        self.commit(name, parts, flow, BUT + json.dumps(list(labels)))
+
     # -- tables with a final part -------------------------------------------
     def write_split(
         self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: str = NONE
@@ -178,3 +218,7 @@ class TableStore:
 
     def merge_scd2(self, name: str, merged, flow: str = "") -> DataFrame:
         return self.merge_split(name, merged.rows, "iscurrent", False, flow)
+
+
+def _bucket(keys: Sequence[str], count: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")

@@ -2,22 +2,24 @@
 
 Both keep a log whose combination is associative, commutative and idempotent, so
 rows may arrive late, twice or in any order. Of several rows of one key and sequence one
-row wins as a whole: the one whose text has the largest MD5 digest. A micro-batch only
-appends its combined rows; readers combine the log, and :meth:`TableStore.compact` folds
-it now and then.
+row wins as a whole: the one whose text has the largest MD5 digest. A micro-batch either
+appends its combined rows, and readers combine the log, which :meth:`TableStore.compact` folds
+now and then; or the log is laid out by key, and a micro-batch folds and sequences the
+buckets that its keys are in, see :class:`ByKey`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brokerdw.functions.exprs import open_end
-from brokerdw.operators.hotkeys import HotKeys, bounded_window, carry_last
+from brokerdw.operators.hotkeys import HotKeys, bounded_window, carry_last, stored
 from brokerdw.operators.temporal import CURRENT, END, START
-from brokerdw.sources.store import TableStore
+from brokerdw.sources.store import BUCKETS, TableStore
 
 SEQ, TIE = "_seq", "_tie"
 
@@ -134,6 +136,39 @@ def with_validity(history: DataFrame) -> DataFrame:
 
 
 # -- streaming ----------------------------------------------------------------
+@dataclass(frozen=True)
+class ByKey:
+    """Layout of a change log by buckets of its keys.
+
+    ``combine`` folds the log rows of a key. ``view`` makes the visible table of a folded
+    log; it is stored beside the log as ``<table>_view``, bucket by bucket.
+    """
+
+    keys: Sequence[str]
+    combine: Callable[[DataFrame, Sequence[str]], DataFrame]
+    view: Callable[[DataFrame, Sequence[str]], DataFrame]
+    count: int = BUCKETS
+
+
+def merge_log(store: TableStore, table: str, log: DataFrame, by: ByKey, flow: str) -> None:
+    """Fold log rows into the buckets of their keys and sequence those buckets again; no other is read.
+
+    Log and view are two commits of one flow; what a stopped run has done is not done again.
+    """
+    view = f"{table}_view"
+    if store.has_flow(view, flow):
+        return
+    log = stored(log, "change-log")
+    labels = store.buckets_of(log, by.keys, by.count)
+    if not store.has_flow(table, flow):
+        old = store.read_buckets(table, labels)
+        merged = by.combine(log if old is None else old.unionByName(log), by.keys)
+        store.replace_buckets(table, merged.select(*log.columns), by.keys, labels, flow, by.count)
+    folded = store.read_buckets(table, labels)
+    shown = by.view(log.limit(0) if folded is None else folded, by.keys)
+    store.replace_buckets(view, shown, by.keys, labels, flow, by.count)
+
+
 def run_cdc(
     source: DataFrame,
     store: TableStore,
@@ -142,6 +177,7 @@ def run_cdc(
     checkpoint: str,
     once: DataFrame | None = None,
     flow: str = "stream",
+    by: ByKey | None = None,
 ) -> None:
     """Drain a streaming source into a change log.
 
@@ -150,16 +186,24 @@ def run_cdc(
     replayed after a failure is recognised by the stream's id, which its checkpoint keeps,
     and the batch's number. A new checkpoint is a new stream: it reads all files again,
     which the log absorbs. Deleting checkpoint and table starts a full refresh.
+
+    With ``by`` the log is laid out by key: a micro-batch folds and sequences the buckets
+    that its keys are in, and the visible table ``<table>_view`` is read as it is.
     """
-    if once is not None and not store.has_flow(table, f"{flow}-once"):
-        store.write(table, to_log(once), "append", flow=f"{flow}-once")
+
+    def load(rows: DataFrame, name: str) -> None:
+        if by is not None:
+            merge_log(store, table, to_log(rows), by, name)
+        elif not store.has_flow(table, name):
+            store.write(table, to_log(rows), "append", flow=name)
+
+    if once is not None:
+        load(once, f"{flow}-once")
     spark = source.sparkSession
 
     def append(batch: DataFrame, batch_id: int) -> None:
         stream = spark.read.text(f"{checkpoint}/metadata").first()[0]
-        name = f"{flow}-{stream}-{batch_id}"
-        if not store.has_flow(table, name):
-            store.write(table, to_log(batch), "append", flow=name)
+        load(batch, f"{flow}-{stream}-{batch_id}")
 
     query = (
         source.writeStream.foreachBatch(append)

@@ -1,6 +1,9 @@
 """Automatic change application: late rows, repeated rows, nulls."""
 
 from datetime import datetime
+from pathlib import Path
+
+import pytest
 
 from brokerdw.sources import scans
 from brokerdw.sources.store import TableStore
@@ -102,3 +105,57 @@ def test_new_checkpoint_loses_nothing(spark, tmp_path):
         stream = scans.stream_delimited(spark, str(folder), schema)
         cdc.run_cdc(stream, store, "t", lambda df: cdc.scd1_log(df, ["k"], "s"), str(tmp_path / f"check{n}"))
     assert tuples(cdc.scd1_view(store.read("t"), ["k"]), "k", "x") == [(1, "v1"), (2, "v2")]
+
+
+def test_a_micro_batch_opens_the_buckets_of_its_keys_only(spark, tmp_path):
+    """After the first load all buckets but those of the changed keys are unreadable."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    store = TableStore(spark, str(tmp_path / "store"))
+    schema = "k INT, s INT, x STRING"
+    by = cdc.ByKey(["k"], cdc.combine_scd2, cdc.scd2_view, 16)
+    history = [(k, s, f"{k}-{s}") for k in range(200) for s in (1, 5)]
+
+    def drain():
+        stream = scans.stream_delimited(spark, str(folder), schema)
+        cdc.run_cdc(stream, store, "t", lambda df: cdc.scd2_log(df, ["k"], "s"), str(tmp_path / "checkpoint"), spark.createDataFrame(history, schema), by=by)
+
+    def seen(table):
+        return tuples(table, "k", "__START_AT", "__END_AT", "x")
+
+    (folder / "a.txt").write_text("")
+    drain()
+    assert len(store.parts("t")) == len(store.parts("t_view")) == 16
+    changes = [(7, 3, "late"), (7, 9, "new"), (300, 1, "first")]
+    touched = set(store.buckets_of(spark.createDataFrame(changes, schema), ["k"], 16))
+    want = seen(cdc.scd2_view(cdc.scd2_log(spark.createDataFrame(history + changes, schema), ["k"], "s"), ["k"]))
+    kept = {}
+    for name in ("t", "t_view"):
+        for part in store.parts(name):
+            for path in [] if part["label"] in touched else Path(part["path"]).glob("*.parquet"):
+                kept[path] = path.read_bytes()
+                path.write_bytes(b"not readable")
+                path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    assert 0 < len(touched) < 4 and len(kept) >= 24
+    (folder / "b.txt").write_text("".join(f"{k}|{s}|{x}\n" for k, s, x in changes))
+    drain()
+    for path, data in kept.items():
+        path.write_bytes(data)
+    spark.catalog.clearCache()
+    assert seen(store.read("t_view")) == want
+    commits = len(store.commits("t"))
+    drain()
+    assert len(store.commits("t")) == commits
+
+
+def test_a_merge_stopped_between_log_and_view_is_taken_up(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    by = cdc.ByKey(["k"], cdc.combine_scd1, cdc.scd1_view, 4)
+    log = lambda rows: cdc.scd1_log(spark.createDataFrame(rows, "k int, s int, x string"), ["k"], "s", True, ["s"])
+    cdc.merge_log(store, "t", log([(1, 1, "a"), (2, 1, "b")]), by, "one")
+    failing = cdc.ByKey(["k"], cdc.combine_scd1, lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")), 4)
+    with pytest.raises(RuntimeError):
+        cdc.merge_log(store, "t", log([(1, 2, "c"), (3, 1, "d")]), failing, "two")
+    for _ in range(2):
+        cdc.merge_log(store, "t", log([(1, 2, "c"), (3, 1, "d")]), by, "two")
+    assert tuples(store.read("t_view"), "k", "x") == [(1, "c"), (2, "b"), (3, "d")]
