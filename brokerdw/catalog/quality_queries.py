@@ -25,6 +25,23 @@ def check_fk(spark, sf):
     )
 
 
+LOST = "CASE WHEN l_orderkey % 97 = 5 AND l_linenumber = 1 THEN -l_orderkey WHEN l_orderkey % 101 = 7 THEN NULL ELSE l_orderkey END"
+
+
+@query(
+    "check_fk_orphans",
+    f"""
+    WITH c AS (SELECT {LOST} AS ref, l_partkey, l_linenumber FROM lineitem)
+    SELECT ref, l_partkey, l_linenumber FROM c WHERE ref IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = ref)
+    """,
+)
+def check_fk_orphans(spark, sf):
+    """A few references are made to lead nowhere, some are null: a sketch of the lost keys finds the rows (DQ-6)."""
+    child = table(spark, sf, "lineitem").select(F.expr(LOST).alias("ref"), "l_partkey", "l_linenumber")
+    return checks.check_fk(child, table(spark, sf, "orders"), [("ref", "o_orderkey")])
+
+
 @query(
     "expectations",
     """

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerdw.operators.hotkeys import HotKeys, bounded_window, running
+from brokerdw.operators.hotkeys import HotKeys, bounded_window, running, stored
+from brokerdw.operators.sketch import may_hold, words_for
 from brokerdw.operators.temporal import END, START
 
 
@@ -20,14 +21,26 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_fk(child: DataFrame, parent: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
-    """Child rows whose non-null reference has no parent row."""
-    pairs = list(on)
-    keys = parent.select(*[F.col(p).alias(f"_p_{p}") for _, p in pairs])
-    cond, present = F.lit(True), F.lit(True)
-    for c, p in pairs:
-        cond = cond & (F.col(c) == F.col(f"_p_{p}"))
-        present = present & F.col(c).isNotNull()
-    return child.filter(present).join(keys, cond, "left_anti")
+    """Child rows whose non-null reference has no parent row.
+
+    The child's distinct keys, combined before the shuffle, are joined to the parent; that
+    leaves the keys without one. A Bloom sketch of those, sized by their number, then picks
+    the child's rows where they lie, and the few that pass are joined exactly. So the child
+    is read twice and not shuffled, whatever the size of the parent. With so many lost keys
+    that a sketch would be too large, the rows are joined like any table.
+    """
+    cols = [c for c, _ in on]
+    names = [f"_fk{i}" for i in range(len(cols))]
+    there = child.dropna(subset=cols)
+    keys = there.select(*[F.col(c).alias(n) for c, n in zip(cols, names, strict=True)]).distinct()
+    known = parent.select(*[F.col(p).alias(n) for (_, p), n in zip(on, names, strict=True)])
+    lost = stored(keys.join(known, names, "left_anti"), "lost-keys")
+    words = words_for(lost.count())
+    found = there if words is None else may_hold(there, cols, lost, words)
+    same = F.lit(True)
+    for c, n in zip(cols, names, strict=True):
+        same = same & (F.col(c) == F.col(n))
+    return found.join(lost, same, "left_semi")
 
 
 def expect(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

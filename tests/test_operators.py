@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from brokerdw.operators import checks, grouping, hotkeys, joins, merge, rolling, temporal
+from brokerdw.operators import checks, grouping, hotkeys, joins, merge, rolling, sketch, temporal
 
 D, T = date.fromisoformat, datetime.fromisoformat
 END = D("9999-12-31")
@@ -173,3 +173,28 @@ def test_overlaps_are_counted_as_pairs(spark):
     assert want[3] == 3 and want[4] == want[5] == 0
     for hot in (hotkeys.NO_HOT, hotkeys.find_hot_keys(df, ["k"], 60)):
         assert {r["k"]: r["pairs"] for r in checks.overlap_counts(df, ["k"], hot=hot).collect()} == want
+
+
+@pytest.mark.parametrize("most", [sketch.MOST_WORDS, 1])
+def test_lost_references_are_found_without_shuffling_the_child(spark, monkeypatch, most):
+    monkeypatch.setattr(sketch, "MOST_WORDS", most)
+    n = F.col("id")
+    child = spark.range(40_000).select((n % 500).alias("a"), F.when(n % 9 > 0, (n % 7).cast("string")).alias("b"), n.alias("row"))
+    parent = spark.range(3500).select((n % 500).alias("x"), (n % 7).cast("string").alias("y")).filter("x % 50 <> 3 OR y <> '2'")
+    want = child.filter("a % 50 = 3 AND b = '2'").count()
+    found = checks.check_fk(child, parent, [("a", "x"), ("b", "y")])
+    rows = found.collect()
+    assert len(rows) == want > 50 and all(r["a"] % 50 == 3 and r["b"] == "2" for r in rows) and found.columns == child.columns
+    whole = checks.check_fk(child, child.select("a", "b"), [("a", "a"), ("b", "b")])
+    assert whole.count() == 0
+
+
+def test_a_sketch_holds_its_keys_and_few_others(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("k"))
+    words = sketch.words_for(3000)
+    df = spark.range(30_000).select(F.xxhash64("id").alias("k"), "id")
+    passed = sketch.may_hold(df, ["k"], keys, words)
+    assert passed.filter("id < 3000").count() == 3000 and passed.count() < 3000 + 600
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("Subquery")[0]
+    assert sketch.words_for(0) == 1 and sketch.words_for(10**9) is None
