@@ -429,3 +429,17 @@ def temp_view(spark, sf):
     """A named view over a scan, queried with SQL (SNK-7)."""
     table(spark, sf, "orders").createOrReplaceTempView("brokerdw_orders")
     return spark.sql("SELECT o_orderstatus, count(*) AS n FROM brokerdw_orders GROUP BY o_orderstatus")
+
+
+@query(
+    "store_clustered",
+    """SELECT l_partkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+    FROM lineitem WHERE l_partkey BETWEEN 10 AND 40 OR CAST(l_shipdate AS DATE) BETWEEN DATE '1995-03-01' AND DATE '1995-04-30' GROUP BY ALL""",
+)
+def store_clustered(spark, sf):
+    """A table laid out by two columns at once and read by either (SNK-6)."""
+    store = TableStore(spark, scratch_dir(spark, "clustered"))
+    lines = table(spark, sf, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("day"), "l_quantity")
+    rows = store.write("lines", lines, cluster_by=["day", "l_partkey"])
+    wanted = F.col("l_partkey").between(10, 40) | F.col("day").between("1995-03-01", "1995-04-30")
+    return rows.filter(wanted).groupBy("l_partkey", "day").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))

@@ -23,11 +23,11 @@ WAREHOUSE = [
     "factcashbalances", "factholdings", "factmarkethistory", "factwatches", "financial", "industry", "prospect",
     "statustype", "taxrate", "tradetype",
 ]
-# Layout of the stored tables: fact lookups are by these keys.
+# Layout of the stored tables: facts are looked up by any of these columns.
 CLUSTER = {
-    "factholdings": ["currenttradeid"],
-    "factcashbalances": ["sk_accountid"],
-    "factmarkethistory": ["sk_securityid"],
+    "factholdings": ["sk_securityid", "sk_accountid"],
+    "factcashbalances": ["sk_dateid", "sk_accountid"],
+    "factmarkethistory": ["sk_dateid", "sk_securityid"],
 }
 
 

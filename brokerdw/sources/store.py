@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brokerdw.sources.clustering import cluster
+
 _COMMIT = "version BIGINT, parts STRING, flow STRING, fresh BOOLEAN, keep STRING"
 # Which folders of the version before a commit keeps: all, none, those with this label, or all but a list of labels.
 ALL, NONE, BUT = "*", "", "!"
@@ -101,7 +103,7 @@ class TableStore:
         if derived:
             df = df.withColumns(derived)
         if cluster_by:
-            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            df = cluster(df, cluster_by)
         path = f"{self.root}/{name}/part-{uuid.uuid4().hex}"
         writer = df.write.mode("overwrite")
         if partition_by:
