@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
 # Words, and runs without white space, remembered per Python worker (twice as many at most).
-REMEMBERED = 60_000
+REMEMBERED = 150_000
 # Letters whose words need no normalization beyond lower case: a-z and those of Latin-1.
 PLAIN = [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]
 ROWS_PER_BATCH = 512
@@ -152,7 +152,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             for start in range(0, batch.num_rows, ROWS_PER_BATCH):
                 part = batch.slice(start, ROWS_PER_BATCH)
                 ids = part.column(1)
-                tokens, ends = name[ids.flatten().to_numpy()], np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())])
+                tokens, ends = name[ids.flatten().to_numpy()].tolist(), np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())])
                 texts = [" ".join(tokens[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"]
