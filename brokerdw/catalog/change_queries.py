@@ -34,16 +34,16 @@ def _latest(spark, sf, n):
 )
 def merge_scd1(spark, sf):
     """Update on match by clause, insert otherwise (MRG-0, MRG-3)."""
+    return _by_clause(_latest(spark, sf, 0), _latest(spark, sf, 1))
+
+
+def _by_clause(target, source):
     cheap = F.col("t_o_totalprice") < 200000
-    return merge.merge(
-        _latest(spark, sf, 0),
-        _latest(spark, sf, 1),
-        ["o_custkey"],
-        matched=[
-            (cheap & (F.col("s_o_totalprice") > 100000), {"o_totalprice": F.col("s_o_totalprice")}),
-            (cheap, {"o_totalprice": F.lit(0.0)}),
-        ],
-    )
+    matched = [
+        (cheap & (F.col("s_o_totalprice") > 100000), {"o_totalprice": F.col("s_o_totalprice")}),
+        (cheap, {"o_totalprice": F.lit(0.0)}),
+    ]
+    return merge.merge(target, source, ["o_custkey"], matched=matched)
 
 
 @query(
@@ -134,6 +134,45 @@ def merge_scd2(spark, sf):
     return _merged(spark, sf).with_history(_history(spark, sf).filter(~F.col("iscurrent")))
 
 
+def _by_bucket(spark, rows, keys, final=None):
+    """A table ``dim`` laid out by eight buckets of its keys."""
+    store = TableStore(spark, scratch_dir(spark, "merge-buckets"))
+    store.replace_buckets("dim", rows, keys, store.buckets_of(rows, keys, 8), "first", 8, final)
+    return store
+
+
+@query(
+    "merge_scd1_buckets",
+    f"""
+    WITH t AS ({LATEST.format(n=0)}), s AS ({LATEST.format(n=1)})
+    SELECT coalesce(t.o_custkey, s.o_custkey) AS o_custkey, coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+           CASE WHEN t.o_custkey IS NULL THEN s.o_totalprice
+                WHEN s.o_custkey IS NULL OR t.o_totalprice >= 200000 THEN t.o_totalprice
+                WHEN s.o_totalprice > 100000 THEN s.o_totalprice ELSE 0 END AS o_totalprice
+    FROM t FULL OUTER JOIN s ON t.o_custkey = s.o_custkey
+    """,
+)
+def merge_scd1_buckets(spark, sf):
+    """The merge in three batches into a table laid out by key; a batch reads and writes the buckets of its keys."""
+    store, source = _by_bucket(spark, _latest(spark, sf, 0), ["o_custkey"]), _latest(spark, sf, 1)
+    for n in range(3):
+        batch = source.filter(F.col("o_custkey") % 3 == n)
+        store.update_buckets("dim", batch, ["o_custkey"], _by_clause, f"batch-{n}", 8)
+    return store.read("dim")
+
+
+@query("merge_scd2_buckets", _scd2_sql("nullif(c.raw, '')"))
+def merge_scd2_buckets(spark, sf):
+    """Current versions laid out by key; a batch replaces those it touches and adds the versions it ends (MRG-1, SNK-4)."""
+    history, ended = _history(spark, sf), ~F.col("iscurrent")
+    store = _by_bucket(spark, history, ["o_custkey"], ended)
+
+    def plan(current, changes):
+        return merge.scd2_merge(current, changes, ["o_custkey"], surrogate=("sk", "o_custkey")).rows
+
+    return store.update_buckets("dim", _changes(spark, sf), ["o_custkey"], plan, "batch", 8, ended)
+
+
 @query("merge_coalesce", _scd2_sql("coalesce(nullif(c.raw, ''), h.o_orderpriority)"))
 def merge_coalesce(spark, sf):
     """Null incoming values keep the previous version's (MRG-6); stored copy-on-write by current flag."""

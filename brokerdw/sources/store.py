@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brokerdw.operators.hotkeys import stored
 from brokerdw.sources.clustering import cluster
 
 _COMMIT = "version BIGINT, parts STRING, flow STRING, fresh BOOLEAN, keep STRING"
@@ -180,21 +181,57 @@ class TableStore:
         return self._union(parts) if parts else None
 
     def replace_buckets(
-        self, name: str, df: DataFrame, keys: Sequence[str], labels: Sequence[str], flow: str = "", count: int = BUCKETS
+        self,
+        name: str,
+        df: DataFrame,
+        keys: Sequence[str],
+        labels: Sequence[str],
+        flow: str = "",
+        count: int = BUCKETS,
+        final: Column | None = None,
     ) -> None:
         """Write ``df`` as the new content of the buckets ``labels``; all others stay as they are.
 
-        Every one of these buckets must have rows in ``df``. A large bucket is written by
-        several tasks.
+        Rows for which ``final`` holds never change again: they are added to the table beside
+        the buckets and not read by later loads. A large bucket is written by several tasks.
         """
         path = f"{self.root}/{name}/part-{uuid.uuid4().hex}"
-        dealt = df.withColumn(BUCKET, _bucket(keys, count)).hint("rebalance", BUCKET)
-        dealt.write.partitionBy(BUCKET).parquet(path)
-        parts = [{"path": f"{path}/{BUCKET}={b}", "label": b, "schema": df.schema.json(), "bucket": b} for b in labels]
-        if not parts and not self.exists(name):
-            parts = [self.write_part(name, df.limit(0), "none")]
+        df = df if final is None else stored(df, "buckets")
+        moving = df if final is None else df.filter(~F.coalesce(final, F.lit(False)))
+        moving.withColumn(BUCKET, _bucket(keys, count)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        files = self.spark.read.schema(df.schema).parquet(path).inputFiles()
+        there = {f.rsplit(f"/{BUCKET}=", 1)[1].split("/")[0] for f in files}
+        parts = [{"path": f"{path}/{BUCKET}={b}", "label": b, "schema": df.schema.json(), "bucket": b} for b in sorted(there)]
+        if final is not None:
+            parts.append(self.write_part(name, df.filter(final), "final"))
+        if not parts and not [p for p in self.parts(name) if p["label"] not in labels]:
+            parts = [self.write_part(name, df.limit(0), "none")]  # a table without rows has its columns still
         self.commit(name, parts, flow, BUT + json.dumps(list(labels)))
 
+    def update_buckets(
+        self,
+        name: str,
+        source: DataFrame,
+        keys: Sequence[str],
+        plan: Callable[[DataFrame, DataFrame], DataFrame],
+        flow: str = "",
+        count: int = BUCKETS,
+        final: Column | None = None,
+    ) -> DataFrame:
+        """Merge a batch: ``plan`` makes the new rows of the buckets of its keys from their rows and the batch.
+
+        Neither the other buckets nor the final rows are read, so a batch's cost follows the
+        buckets it touches. A batch that the table has already is left out.
+        """
+        if not (flow and self.has_flow(name, flow)):
+            source = stored(source, "batch")
+            labels = self.buckets_of(source, keys, count)
+            target = self.read_buckets(name, labels)
+            if target is None:
+                target = self.spark.createDataFrame([], T.StructType.fromJson(json.loads(self.parts(name)[0]["schema"])))
+            self.replace_buckets(name, plan(target, source), keys, labels, flow, count, final)
+        return self.read(name)
+
     # -- tables with a final part -------------------------------------------
     def write_split(
         self, name: str, df: DataFrame, flag: str, final: bool, flow: str = "", keep: str = NONE

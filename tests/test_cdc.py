@@ -4,6 +4,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from brokerdw.sources import scans
 from brokerdw.sources.store import TableStore
@@ -159,3 +160,45 @@ def test_a_merge_stopped_between_log_and_view_is_taken_up(spark, tmp_path, monke
     for _ in range(2):
         cdc.merge_log(store, "t", log([(1, 2, "c"), (3, 1, "d")]), by, "two")
     assert tuples(store.read("t_view"), "k", "x") == [(1, "c"), (2, "b"), (3, "d")]
+
+
+def test_a_merge_opens_the_buckets_of_its_keys_only(spark, tmp_path):
+    """Other buckets and the final rows are unreadable while a batch is merged; a repeated batch changes nothing."""
+    from brokerdw.operators import merge
+
+    store, final = TableStore(spark, str(tmp_path)), F.col("v") < 0
+    rows = spark.range(300).select("id", F.when(F.col("id") % 10 == 0, -1).otherwise(1).alias("v"))
+    store.replace_buckets("t", rows, ["id"], store.buckets_of(rows, ["id"], 16), "first", 16, final)
+    source = spark.createDataFrame([(7, 5), (8, -5), (1000, 9), (1001, -9)], "id long, v int")
+
+    def plan(target, batch):
+        return merge.merge(target, batch, ["id"], matched=[(None, {"v": F.col("s_v")})])
+
+    touched = set(store.buckets_of(source, ["id"], 16))
+    kept = {}
+    for part in store.parts("t"):
+        for path in [] if part["label"] in touched else Path(part["path"]).glob("*.parquet"):
+            kept[path] = path.read_bytes()
+            path.write_bytes(b"not readable")
+            path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    store.update_buckets("t", source, ["id"], plan, "one", 16, final)
+    for path, data in kept.items():
+        path.write_bytes(data)
+    want = {r["id"]: r["v"] for r in rows.collect()} | {7: 5, 8: -5, 1000: 9, 1001: -9}
+    got = store.read("t").collect()
+    assert {r["id"]: r["v"] for r in got} == want and len(got) == len(want) and len(kept) > 12
+    assert store.read("t", "final").count() == 32
+    commits = len(store.commits("t"))
+    store.update_buckets("t", source, ["id"], plan, "one", 16, final)
+    assert len(store.commits("t")) == commits
+
+
+def test_a_bucket_can_become_empty(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    rows = spark.range(20).select("id")
+    store.replace_buckets("t", rows, ["id"], store.buckets_of(rows, ["id"], 4), "first", 4)
+    gone = rows.filter("id < 10")
+    store.update_buckets("t", gone, ["id"], lambda t, s: t.join(s, "id", "left_anti"), "two", 4)
+    assert sorted(r["id"] for r in store.read("t").collect()) == list(range(10, 20))
+    assert store.update_buckets("t", rows, ["id"], lambda t, s: t.limit(0), "three", 4).count() == 0
+    assert store.update_buckets("t", rows.limit(3), ["id"], lambda t, s: t.unionByName(s), "four", 4).count() == 3
