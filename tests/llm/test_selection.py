@@ -148,6 +148,17 @@ def test_neighbours_recall(spark):
         assert abs(r["score"] - math.dist(by_id[r["query_id"]], by_id[r["vec_id"]])) < 1e-12
 
 
+def test_neighbours_recall_over_many_shards(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    vectors = [(r["vec_id"], np.array(r["embedding"], float)) for r in df.collect()]
+    index = hnsw.build_index(df, 11, 220)
+    assert index.count() >= 8
+    want = nearest(vectors, 10, 100)
+    got = hnsw.search(df.filter("vec_id % 100 = 0"), index, 10).collect()
+    found = {(r["query_id"], r["vec_id"]) for r in got} & {(q, i) for q, _, i, _ in want}
+    assert len(got) == len(want) and len(found) / len(want) >= 0.95
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     bad = [(900, None), (901, []), (902, [0.0, 0.0]), (903, [1.0, None]), (904, [nan, 1.0]), (905, [inf, 1.0]), (906, [1.0, 2.0, 3.0]), (None, [1.0, 1.0])]
