@@ -559,6 +559,7 @@ def trades(spark, sf) -> DataFrame:
         (F.col("l_discount") * 1000000).alias("commission"),
         F.col("l_tax").alias("tax"),
     )
+    base = stored(base, "trade-base")  # read by the first rows, the changes and the history
     first = base.select(
         F.lit(None).cast("string").alias("cdc_flag"),
         F.lit(None).cast("bigint").alias("cdc_dsn"),
@@ -577,8 +578,10 @@ def trades(spark, sf) -> DataFrame:
     return first.unionByName(changed).drop("placed")
 
 
-def trade_history(spark, sf) -> DataFrame:
-    first = trades(spark, sf).filter(F.col("batchid") == 1).select("tradeid", "t_dts", "status")
+def trade_history(spark, sf, rows: DataFrame | None = None) -> DataFrame:
+    """The steps of each trade of batch 1; ``rows`` are those of :func:`trades`."""
+    rows = trades(spark, sf) if rows is None else rows
+    first = rows.filter(F.col("batchid") == 1).select("tradeid", "t_dts", "status")
     done = first.filter(F.col("status") != "PNDG").select(
         "tradeid", (F.col("t_dts") + F.expr("INTERVAL 30 HOURS")).alias("th_dts"), "status"
     )
@@ -589,8 +592,13 @@ def trade_history(spark, sf) -> DataFrame:
     return sent.unionByName(done).unionByName(pending)
 
 
+def trades_final(spark, sf) -> DataFrame:
+    rows = trades(spark, sf)
+    return dims.trades_final(rows, trade_history(spark, sf, rows))
+
+
 def dim_trade(spark, sf) -> DataFrame:
-    final = dims.trades_final(trades(spark, sf), trade_history(spark, sf))
+    final = trades_final(spark, sf)
     security, account = stored(dim_security(spark, sf), "dimsecurity"), stored(dim_account(spark, sf), "dimaccount")
     return dims.build_dim_trade(final, security, account)
 
@@ -749,7 +757,7 @@ class Products(Mapping):
             "dimsecurity": lambda: dims.build_dim_security(s["finwire"], s["dimcompany"]),
             "financial": lambda: dims.build_financial(s["finwire"], s["dimcompany"]),
             "dimtrade": lambda: dims.build_dim_trade(
-                dims.trades_final(trades(spark, sf), trade_history(spark, sf)), s["dimsecurity"], s["dimaccount"]
+                trades_final(spark, sf), s["dimsecurity"], s["dimaccount"]
             ),
             "dimdate": lambda: dim_date(spark, sf),
             "dimbroker": lambda: dim_broker(spark, sf),

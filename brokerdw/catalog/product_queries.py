@@ -483,7 +483,7 @@ def dim_trade_batch(spark, sf):
     security = d.stored(d.dim_security(spark, sf), "dimsecurity")
     account = d.stored(d.dim_account(spark, sf), "dimaccount")
     rows = d.trades(spark, sf)
-    first = dims.trades_final(rows.filter(F.col("batchid") == 1), d.trade_history(spark, sf))
+    first = dims.trades_final(rows.filter(F.col("batchid") == 1), d.trade_history(spark, sf, rows))
     target = d.stored(dims.build_dim_trade(first, security, account), "dimtrade")
     return increments.merge_dim_trade(target, rows, 2, security, account).select(*TRADE_COLS)
 
