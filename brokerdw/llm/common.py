@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Sequence
@@ -57,7 +59,9 @@ def ship_package(spark: SparkSession) -> None:
         return
     _SHIPPED.add(app)
     root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="brokerdw-code-")) / "brokerdw.zip"  # read by the driver alone
+    folder = tempfile.mkdtemp(prefix="brokerdw-code-")  # read by the driver alone, until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = Path(folder) / "brokerdw.zip"
     with zipfile.ZipFile(target, "w") as z:
         for path in sorted(root.rglob("*.py")):
             z.write(path, path.relative_to(root.parent))
