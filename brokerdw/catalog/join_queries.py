@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from brokerdw.catalog.registry import query, table
 from brokerdw.catalog.window_queries import VERSIONS, customer_versions
 from brokerdw.operators import joins, temporal
+from brokerdw.operators.hotkeys import stored
 
 PIT = f"""
     WITH {VERSIONS}
@@ -112,6 +113,8 @@ def _interval(spark, sf, how, right_line, limit=None):
     b = _supplier_history(spark, sf, F.col("l_linenumber") == right_line, "b_order")
     hot = None
     if limit:
+        # Read by the count of versions, by the plain join and by both sweeps.
+        a, b = stored(a, "left-history"), stored(b, "right-history")
         both = a.select("l_suppkey", "effectivedate").union(b.select("l_suppkey", "effectivedate"))
         hot = temporal.many_versions(both, ["l_suppkey"], limit)
     return temporal.interval_join(a, b, "l_suppkey", how, ["b_order"], hot)

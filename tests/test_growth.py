@@ -1,8 +1,10 @@
-"""Work that must follow the size of the tables: micro-batches."""
+"""Work that must follow the size of the tables: micro-batches, stored histories, plans."""
 
 from datetime import datetime, timedelta
 
-from brokerdw.catalog import change_queries
+from pyspark.sql import functions as F
+
+from brokerdw.catalog import change_queries, join_queries
 from brokerdw.sources.store import TableStore
 from brokerdw.streaming import cdc
 
@@ -19,3 +21,17 @@ def test_the_number_of_micro_batches_does_not_follow_the_number_of_files(spark,
     cdc.run_cdc(stream, store, "log", to_log, str(tmp_path / "checkpoint"), by=by)
     assert len(store.commits("log")) <= 3
     assert store.read("log_view").select("user_id", "__START_AT").distinct().count() == events.select("user_id", "ts").distinct().count()
+
+
+def test_a_split_interval_join_reads_stored_histories(spark, tmp_path):
+    line = spark.range(400).select(
+        F.col("id").alias("l_orderkey"),
+        (F.col("id") % 3).alias("l_suppkey"),
+        (F.col("id") % 7 + 1).alias("l_linenumber"),
+        F.timestamp_seconds(F.col("id") * 100000).alias("l_shipdate"),
+    )
+    line.write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain = join_queries._interval(spark, str(tmp_path), "left", 7)
+    split = join_queries._interval(spark, str(tmp_path), "left", 7, limit=30)
+    assert not [f for f in split.inputFiles() if "lineitem.parquet" in f]
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
