@@ -286,11 +286,10 @@ def audit_report(spark, sf):
     """All checks with verdicts; what is expected is counted in the records that the tables are built from (AUD-1..20)."""
     w = d.warehouse(spark, sf)
     dates = {r["batchid"]: r["batchdate"] for r in d.batch_date(spark).collect()}  # one row per batch
-    log = messages.alerts(w, d.batch_date(spark), w["finwire"])
+    log = [messages.alerts(w, d.batch_date(spark), w["finwire"])]
     for b in [0, *dates]:
-        report = messages.validation_report(d.as_of(w, b, dates.get(b)), b)
-        log = log.unionByName(report).unionByName(messages.phase_complete(spark, b))
-    return audit.audit(w, d.stored(log, "dimessages"), d.expected(w, dates))
+        log += [*messages.validation_parts(d.as_of(w, b, dates.get(b)), b), messages.phase_complete(spark, b)]
+    return audit.audit(w, d.stored_parts(log, "dimessages"), d.expected(w, dates))
 
 
 def _rule(name: str, rule: str, passes: str) -> str:

@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from brokerdw.catalog import change_queries, join_queries
+from brokerdw.catalog import change_queries, derived, join_queries
+from brokerdw.plans import audit
+from brokerdw.sources import scans
 from brokerdw.sources.store import TableStore
 from brokerdw.streaming import cdc
 
@@ -35,3 +37,24 @@ def test_a_split_interval_join_reads_stored_histories(spark, tmp_path):
     split = join_queries._interval(spark, str(tmp_path), "left", 7, limit=30)
     assert not [f for f in split.inputFiles() if "lineitem.parquet" in f]
     assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_the_audit_collects_a_few_measures_at_a_time(spark, monkeypatch):
+    together = []
+
+    def counted(frames):
+        together.append(len(frames))
+        return scans.union_all(frames)
+
+    monkeypatch.setattr(audit, "union_all", counted)
+    rows = spark.range(3).select(F.lit(1).alias("batchid"), "id")
+    measures = [audit.measure(rows, f"t{i}", {"rows": F.count(F.lit(1))}).withColumn("day", F.lit(None).cast("bigint")) for i in range(10)]
+    found = audit.numbers(measures)
+    assert [found.total(f"t{i}.rows") for i in range(10)] == [3] * 10
+    assert sum(together) == 10 and max(together) <= audit.TOGETHER
+
+
+def test_parts_are_stored_one_by_one(spark):
+    parts = [spark.range(n).select("id", F.lit(n).alias("n")) for n in (2, 0, 3)]
+    found = derived.stored_parts([parts[0], parts[1].select("n", "id"), parts[2]], "parts")
+    assert sorted(map(tuple, found.collect())) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
