@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from brokerdw.catalog.registry import table
 from brokerdw.functions.exprs import RATINGS, full_years
 from brokerdw.operators.grouping import top1
-from brokerdw.operators.hotkeys import carry_last
+from brokerdw.operators.hotkeys import NO_HOT, carry_last, hot_window_keys
 from brokerdw.plans import dimensions as dims
 from brokerdw.plans import facts, stages
 from brokerdw.plans.audit import FIRST_CALENDAR_DAY
@@ -674,11 +674,18 @@ CTE["cash"] = f"""
 """
 
 
-def daily_market(spark, sf) -> DataFrame:
-    price = F.col("l_extendedprice")
+def _quotes(spark, sf) -> DataFrame:
+    day, symbol = F.to_date("l_shipdate").alias("dm_date"), F.concat(F.lit("S"), text("l_partkey")).alias("dm_s_symb")
+    rest = ["l_extendedprice", "l_quantity", "l_orderkey", "l_linenumber"]
+    return table(spark, sf, "lineitem").select(day, symbol, *rest)
+
+
+def daily_market(spark, sf, by_symbol: bool = False) -> DataFrame:
+    """Quotes of a symbol and day; ``by_symbol`` deals the lines by symbol, for a window over the symbol's days."""
+    price, quotes = F.col("l_extendedprice"), _quotes(spark, sf)
     return (
-        table(spark, sf, "lineitem")
-        .groupBy(F.to_date("l_shipdate").alias("dm_date"), F.concat(F.lit("S"), text("l_partkey")).alias("dm_s_symb"))
+        (quotes.repartition("dm_s_symb") if by_symbol else quotes)
+        .groupBy("dm_date", "dm_s_symb")
         .agg(
             F.max_by(price, F.struct("l_orderkey", "l_linenumber", "l_extendedprice")).alias("dm_close"),
             F.max(price).alias("dm_high"),
@@ -689,6 +696,16 @@ def daily_market(spark, sf) -> DataFrame:
     )
 
 
+def market_stage(spark, sf) -> DataFrame:
+    """Quotes with the extremes of the last year, in one shuffle of the lines by symbol.
+
+    Lines of a day are rarely many, so combining them before the shuffle sorts much and saves little.
+    A symbol with more lines than one task should sort goes the long way: days first, then cells.
+    """
+    hot = hot_window_keys(_quotes(spark, sf), ["dm_s_symb"])
+    return stages.daily_market_stage(daily_market(spark, sf, not hot), hot=None if hot else NO_HOT)
+
+
 CTE["market"] = f"""
     SELECT *, max(hi) OVER w AS high52, CAST(strftime(arg_max(d, (hi, -date_diff('day', DATE '1970-01-01', d))) OVER w,
              '%Y%m%d') AS BIGINT) AS high52date,
@@ -780,7 +797,7 @@ class Products(Mapping):
                 stages.cash_stage(cash_transactions(spark, sf)), s["dimaccount"]
             ),
             "factmarkethistory": lambda: facts.build_fact_market_history(
-                stages.daily_market_stage(daily_market(spark, sf)),
+                market_stage(spark, sf),
                 s["dimsecurity"],
                 stages.company_eps_stage(s["financial"], s["dimcompany"]),
             ),

@@ -160,7 +160,7 @@ MARKET_SQL = """
 
 def _market(spark, sf, only=None, current=False):
     wire, company = d.company_tables(spark, sf)
-    stage = stages.daily_market_stage(d.daily_market(spark, sf))
+    stage = d.market_stage(spark, sf)
     eps = stages.company_eps_stage(dims.build_financial(wire, company), company)
     rows = stage if only is None else stage.filter(F.col("batchid") == only)
     security = d.stored(dims.build_dim_security(wire, company), "dimsecurity")
@@ -195,7 +195,7 @@ def fact_market_history_batch(spark, sf):
     ),
 )
 def daily_market_stage(spark, sf):
-    return stages.daily_market_stage(d.daily_market(spark, sf))
+    return d.market_stage(spark, sf)
 
 
 @query(

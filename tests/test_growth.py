@@ -58,3 +58,24 @@ def test_parts_are_stored_one_by_one(spark):
     parts = [spark.range(n).select("id", F.lit(n).alias("n")) for n in (2, 0, 3)]
     found = derived.stored_parts([parts[0], parts[1].select("n", "id"), parts[2]], "parts")
     assert sorted(map(tuple, found.collect())) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
+
+
+def test_quotes_are_shuffled_once_unless_a_symbol_is_hot(spark, tmp_path):
+    line = spark.range(600).select(
+        F.col("id").alias("l_orderkey"),
+        F.when(F.col("id") % 5 < 4, F.lit(7)).otherwise(F.col("id") % 3).alias("l_partkey"),
+        (F.col("id") % 4).alias("l_linenumber"),
+        F.timestamp_seconds(F.col("id") % 90 * 86400).alias("l_shipdate"),
+        (F.col("id") * 37 % 101 / 4).alias("l_extendedprice"),
+        (F.col("id") % 9).cast("double").alias("l_quantity"),
+    )
+    line.write.parquet(str(tmp_path / "lineitem.parquet"))
+    once = derived.market_stage(spark, str(tmp_path))
+    assert once._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = sorted(map(tuple, once.collect()), key=repr)
+    spark.conf.set("brokerdw.hotRows", "50")
+    try:
+        cut = sorted(map(tuple, derived.market_stage(spark, str(tmp_path)).collect()), key=repr)
+    finally:
+        spark.conf.unset("brokerdw.hotRows")
+    assert cut == want and len(want) == 90
