@@ -104,6 +104,29 @@ def test_lines_equal_brute_force(spark, odd, documents):
         assert got == removed_by_hand(texts(df))
 
 
+def test_loose_families_meet_few_pairs(spark, monkeypatch):
+    """Lines that are like the tenth part of their family: no few leads stand for all, and no pair of members is formed for each."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(480):
+        line = list(base)
+        line[:7] = [f"k{i % 16}x{j}" for j in range(7)]
+        line[7 + rng.integers(53)] = f"own{i}"
+        rows.append((i, " ".join(line)))
+    seen = {}
+    keep = lines.stored
+
+    def kept(df, name):
+        seen[name] = keep(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(lines, "stored", kept)
+    got = {r["doc_id"]: r["removed"] for r in lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == removed_by_hand(rows) and len(got) == 464
+    assert seen["lines-pairs"].count() < 1500  # of 6960 similar pairs
+
+
 def test_text_without_repeats(spark):
     rows = [(1, "alpha beta gamma\ndelta epsilon", 9), (2, "Gamma alpha  beta\nzeta", 9), (3, "delta epsilon", 9), (4, "", 0), (5, None, None)]
     out = lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string, n_chars int"))
