@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brokerdw.llm.common import stored
-from brokerdw.session import scratch_dir
+from brokerdw.session import scratch_dir, write_parquet
 
 ORDER = 2
 CUT = 5
@@ -325,7 +325,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     parts = max(1, math.ceil((size["n"] or 0) / PART_TOKENS))
     path = scratch_dir(spark, "lm-counts")
     counted = asks(table, order, parts).groupBy("ord", "part").applyInPandas(count_part, COUNTS)
-    counted.write.partitionBy("kind").parquet(path)
+    write_parquet(counted, path, ["kind"])
     counts = spark.read.schema(COUNTS).parquet(path)
     totals = counts.filter("kind = 'count'").groupBy("ord").agg(
         *[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(CUT + 3)]
