@@ -33,7 +33,11 @@ def with_ctes(names: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n]})" for n in names.split()) + body
 
 
-def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+# Spark splits a file between row groups; wide text packs so well that a usual group is one task of a long parse.
+GROUP_BYTES = 4 << 20
+
+
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), group_bytes: int | None = None) -> DataFrame:
     """Write a stage or dimension to the shared folder and read it back.
 
     As in the warehouse runs, products read stored dimensions: the lineage is cut, and
@@ -41,10 +45,24 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    writer = df.write.option("parquet.block.size", group_bytes) if group_bytes else df.write
+    writer.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# What joins read of a dimension: its key, surrogates and validity. Catalyst drops the rest before it is made and written.
+VALID = ["effectivedate", "enddate", "iscurrent"]
+CUSTOMER_KEYS = ["customerid", "sk_customerid", *VALID]
+ACCOUNT_KEYS = ["accountid", *dims.ACCOUNT_REFS, *VALID]
+SECURITY_KEYS = ["symbol", *dims.SECURITY_REFS, *VALID]
+HOLDING_COLUMNS = ["tradeid", *facts.HOLDING_REFS, "sk_closedateid", "sk_closetimeid", "tradeprice"]
+
+
+def stored_keys(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """A dimension stored for joins that look up its surrogates only; no row is left out."""
+    return stored(df.select(*columns), name)
+
+
 def stored_parts(parts: list[DataFrame], name: str) -> DataFrame:
     """The rows of all parts in one folder; each part is a query of its own, so no plan holds them all."""
     spark = parts[0].sparkSession
@@ -357,7 +375,7 @@ CTE["dimbroker"] = """
 
 
 def dim_account(spark, sf, customer: DataFrame | None = None, changes: bool = True) -> DataFrame:
-    customer = stored(dim_customer(spark, sf, changes), "dimcustomer") if customer is None else customer
+    customer = stored_keys(dim_customer(spark, sf, changes), CUSTOMER_KEYS, "dimcustomer") if customer is None else customer
     moves = account_changes(spark, sf) if changes else None
     history = dims.account_history(customer_mgmt(spark, sf), moves, batch_date(spark))
     return dims.build_dim_account(history, customer, dim_broker(spark, sf))
@@ -403,33 +421,32 @@ def _head(day: str, kind: str) -> Column:
 
 def finwire(spark, sf) -> DataFrame:
     """Fixed-width company, security and financial records, staged by record type."""
-    return stored(scans.classify_finwire(wire_lines(spark, sf)), "finwire", ("rectype",))
+    return stored(scans.classify_finwire(wire_lines(spark, sf)), "finwire", ("rectype",), GROUP_BYTES)
 
 
 def wire_lines(spark, sf) -> DataFrame:
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     line = table(spark, sf, "lineitem")
-    companies = (
-        line.groupBy("l_suppkey", F.date_trunc("quarter", "l_shipdate"))
-        .agg(F.min(F.to_date("l_shipdate")).alias("d"))
-        .select("l_suppkey", "d")
+    # Company and financial records come from the same quarters, which are counted once.
+    quarters = (
+        line.groupBy("l_suppkey", F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("q"))
+        .agg(F.min(F.to_date("l_shipdate")).alias("d"), F.count(F.lit(1)).alias("n"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumn("filed", F.date_add("q", 40))
     )
     score = (F.col("s_suppkey") + F.month("d")) % 24
     ratings = F.array(*[F.lit(r) for r in [*RATINGS, "ZZZ", ""]])
-    cmp = companies.select(
-        F.concat(
-            _head("d", "CMP"),
-            _pad(F.col("s_name"), 60),
-            F.lpad(text("s_suppkey"), 10, "0"),
-            _pad(F.when(F.dayofmonth("d") % 5 == 0, "INAC").otherwise("ACTV"), 4),
-            _pad(F.lpad(text("s_nationkey"), 2, "0"), 2),
-            _pad(F.element_at(ratings, (score + 1).cast("int")), 4),
-            F.when(F.month("d") == 1, _pad("", 8)).otherwise(F.lit("19700131")),
-            *[_pad(w, n) for w, n in [("1 Main St", 80), ("", 80), ("12345", 12), ("Town", 25), ("ST", 20), ("", 24)]],
-            _pad(F.concat(F.lit("CEO "), text(F.year("d"))), 46),
-            _pad("about", 150),
-        ).alias("value")
+    cmp = F.concat(
+        _head("d", "CMP"),
+        _pad(F.col("s_name"), 60),
+        F.lpad(text("s_suppkey"), 10, "0"),
+        _pad(F.when(F.dayofmonth("d") % 5 == 0, "INAC").otherwise("ACTV"), 4),
+        _pad(F.lpad(text("s_nationkey"), 2, "0"), 2),
+        _pad(F.element_at(ratings, (score + 1).cast("int")), 4),
+        F.when(F.month("d") == 1, _pad("", 8)).otherwise(F.lit("19700131")),
+        *[_pad(w, n) for w, n in [("1 Main St", 80), ("", 80), ("12345", 12), ("Town", 25), ("ST", 20), ("", 24)]],
+        _pad(F.concat(F.lit("CEO "), text(F.year("d"))), 46),
+        _pad("about", 150),
     )
     securities = (
         line.groupBy("l_partkey", F.year("l_shipdate"))
@@ -455,32 +472,24 @@ def wire_lines(spark, sf) -> DataFrame:
             _pad(ref, 60),
         ).alias("value")
     )
-    quarters = (
-        line.groupBy("l_suppkey", F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("q"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumn("d", F.date_add("q", 40))
-    )
     by_number = F.when(F.month("q") < 7, F.lpad(text("s_suppkey"), 10, "0")).otherwise(F.col("s_name"))
     eps = F.col("n") / 4
-    fin = quarters.select(
-        F.concat(
-            _head("d", "FIN"),
-            text(F.year("q")),
-            text(F.quarter("q")),
-            F.date_format("q", "yyyyMMdd"),
-            F.date_format("q", "yyyyMMdd"),
-            _pad(F.col("n") * 1000, 17),
-            _pad(F.col("n") * 25, 17),
-            _pad(eps, 12),
-            _pad(eps, 12),
-            *[_pad("", n) for n in (12, 17, 17, 17)],
-            _pad("100", 13),
-            _pad("", 13),
-            _pad(by_number, 60),
-        ).alias("value")
+    fin = F.concat(
+        _head("filed", "FIN"),
+        text(F.year("q")),
+        text(F.quarter("q")),
+        F.date_format("q", "yyyyMMdd"),
+        F.date_format("q", "yyyyMMdd"),
+        _pad(F.col("n") * 1000, 17),
+        _pad(F.col("n") * 25, 17),
+        _pad(eps, 12),
+        _pad(eps, 12),
+        *[_pad("", n) for n in (12, 17, 17, 17)],
+        _pad("100", 13),
+        _pad("", 13),
+        _pad(by_number, 60),
     )
-    return cmp.unionByName(sec).unionByName(fin)
+    return quarters.select(F.explode(F.array(cmp, fin)).alias("value")).unionByName(sec)
 
 
 def industry(spark, sf) -> DataFrame:
@@ -608,8 +617,12 @@ def trades_final(spark, sf) -> DataFrame:
 
 def dim_trade(spark, sf) -> DataFrame:
     final = trades_final(spark, sf)
-    security, account = stored(dim_security(spark, sf), "dimsecurity"), stored(dim_account(spark, sf), "dimaccount")
-    return dims.build_dim_trade(final, security, account)
+    return dims.build_dim_trade(final, *security_account(spark, sf))
+
+
+def security_account(spark, sf) -> tuple[DataFrame, DataFrame]:
+    security = stored_keys(dim_security(spark, sf), SECURITY_KEYS, "dimsecurity")
+    return security, stored_keys(dim_account(spark, sf), ACCOUNT_KEYS, "dimaccount")
 
 
 CTE["tradesfinal"] = """
@@ -772,8 +785,8 @@ CTE["watch"] = f"""
 class Products(Mapping):
     """All products by name; one that a report reads is built and stored when it is first asked for."""
 
-    def __init__(self, spark, sf):
-        self.spark, self.sf, self.built = spark, sf, {}
+    def __init__(self, spark, sf, columns: Mapping[str, list[str]] | None = None):
+        self.spark, self.sf, self.built, self.columns = spark, sf, {}, columns or {}
         s = self
         self.makers = {
             "finwire": lambda: finwire(spark, sf),
@@ -810,6 +823,7 @@ class Products(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.built:
             made = self.makers[name]()
+            made = made.select(*self.columns[name]) if name in self.columns else made
             self.built[name] = made if name == "finwire" else stored(made, name)  # the wire stage is stored as it is made
         return self.built[name]
 
@@ -820,9 +834,9 @@ class Products(Mapping):
         return len(self.makers)
 
 
-def warehouse(spark, sf) -> Products:
-    """The products of one query."""
-    return Products(spark, sf)
+def warehouse(spark, sf, columns: Mapping[str, list[str]] | None = None) -> Products:
+    """The products of one query; of those in ``columns`` it reads these columns, of the others any."""
+    return Products(spark, sf, columns)
 
 
 # -- the audit ----------------------------------------------------------------

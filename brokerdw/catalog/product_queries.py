@@ -117,7 +117,8 @@ def dim_trade(spark, sf):
     ),
 )
 def fact_holdings(spark, sf):
-    return facts.build_fact_holdings(d.holdings(spark, sf), d.stored(d.dim_trade(spark, sf), "dimtrade"))
+    trade = d.stored_keys(d.dim_trade(spark, sf), d.HOLDING_COLUMNS, "dimtrade")
+    return facts.build_fact_holdings(d.holdings(spark, sf), trade)
 
 
 CASH_SQL = """
@@ -214,7 +215,8 @@ def fact_watches(spark, sf):
 
 
 def _security_customer(spark, sf):
-    return d.stored(d.dim_security(spark, sf), "dimsecurity"), d.stored(d.dim_customer(spark, sf), "dimcustomer")
+    security = d.stored_keys(d.dim_security(spark, sf), d.SECURITY_KEYS, "dimsecurity")
+    return security, d.stored_keys(d.dim_customer(spark, sf), d.CUSTOMER_KEYS, "dimcustomer")
 
 
 PROSPECT_COLS = "agencyid batchid iscustomer lastname creditrating networth marketingnameplate".split()
@@ -480,8 +482,7 @@ def dim_account_batch(spark, sf):
 )
 def dim_trade_batch(spark, sf):
     """Updates of batch 2 merged into the trades of batch 1."""
-    security = d.stored(d.dim_security(spark, sf), "dimsecurity")
-    account = d.stored(d.dim_account(spark, sf), "dimaccount")
+    security, account = d.security_account(spark, sf)
     rows = d.trades(spark, sf)
     first = dims.trades_final(rows.filter(F.col("batchid") == 1), d.trade_history(spark, sf, rows))
     target = d.stored(dims.build_dim_trade(first, security, account), "dimtrade")

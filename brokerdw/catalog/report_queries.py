@@ -6,6 +6,7 @@ from brokerdw.catalog import derived as d
 from brokerdw.catalog.registry import query, table
 from brokerdw.operators import checks
 from brokerdw.plans import audit, messages
+from brokerdw.plans import dimensions as dims
 from brokerdw.sources.scans import union_all
 
 MARKET = "dimcompany dimsecurity financial eps market factmarket"
@@ -183,7 +184,9 @@ def _valid(name: str, fact: str, dim: str, key: str, day: str) -> str:
 )
 def audit_references(spark, sf):
     """Rows whose references exist and are valid on the row's day (AUD-13, AUD-14)."""
-    w = d.warehouse(spark, sf)
+    trade = [*dims.SECURITY_REFS, "sk_customerid", "sk_accountid", "sk_createdateid"]
+    keys = {"dimcustomer": d.CUSTOMER_KEYS, "dimaccount": d.ACCOUNT_KEYS, "dimsecurity": d.SECURITY_KEYS, "dimtrade": trade}
+    w = d.warehouse(spark, sf, keys)
     customer, account = ("DimCustomer", "sk_customerid"), ("DimAccount", "sk_accountid")
     company, security = ("DimCompany", "sk_companyid"), ("DimSecurity", "sk_securityid")
     parts = [
@@ -235,7 +238,10 @@ def audit_references(spark, sf):
 )
 def audit_values(spark, sf):
     """Domain, pattern, cross-column and demographic measures (AUD-11, 12, 16, 17); three in ten tag lists are made wrong."""
-    w = d.warehouse(spark, sf)
+    person = [*dims.PROSPECT_MATCH, "addressline2", *dims.DEMOGRAPHICS, "status", "gender"]
+    trade = ["type", "status", "sk_createdateid", "sk_closedateid"]
+    keys = {"dimcustomer": [*d.CUSTOMER_KEYS, *person], "dimaccount": d.ACCOUNT_KEYS, "dimsecurity": d.SECURITY_KEYS, "dimtrade": trade}
+    w = d.warehouse(spark, sf, keys)
     plate, last = F.col("marketingnameplate"), F.substring("agencyid", 2, 20).cast("int") % 10
     wrong = F.when(last == 3, F.replace(plate, F.lit("Boomer"), F.lit(""))).when(last == 4, F.concat(plate, F.lit("+Odd")))
     tagged = w["prospect"].withColumn("marketingnameplate", wrong.when(last == 5, "Spender+Expenses").otherwise(plate))

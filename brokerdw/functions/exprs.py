@@ -106,17 +106,20 @@ def norm_gender(c: Column | str) -> Column:
     return F.when(letter.isin("M", "F"), letter).otherwise(F.lit("U"))
 
 
+# Keys of days and times are calculated: formatting a date and reading the text back costs several times as much.
 def date_key(c: Column | str) -> Column:
-    return F.date_format(col(c), "yyyyMMdd").cast("bigint")
+    """The day as the number ``yyyyMMdd``; a year before 0 makes it negative."""
+    year, rest = F.year(col(c)).cast("bigint"), F.month(col(c)) * 100 + F.dayofmonth(col(c))
+    return year * 10000 + F.when(year < 0, -rest).otherwise(rest)
 
 
 def time_key(c: Column | str) -> Column:
-    return F.date_format(col(c), "HHmmss").cast("bigint")
+    return (F.hour(col(c)) * 10000 + F.minute(col(c)) * 100 + F.second(col(c))).cast("bigint")
 
 
 def smart_key(date: Column | str, key: Column | str) -> Column:
     """Surrogate key: the day written as ``yyyyMMdd`` followed by the natural key."""
-    return F.concat(F.date_format(col(date), "yyyyMMdd"), col(key).cast("string")).cast("bigint")
+    return F.concat(date_key(date).cast("string"), col(key).cast("string")).cast("bigint")
 
 
 def stable_key(*cols: Column | str) -> Column:
@@ -125,10 +128,25 @@ def stable_key(*cols: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+def try_long(text: Column) -> Column:
+    """``text`` as a number, null if it is none.
+
+    A failing cast raises and catches an error for each row, which costs more than the rest of a
+    row's work; a text that begins with a letter or with a sign behind the digits is not tried.
+    """
+    return F.when(~F.ascii(text).between(ord("9") + 1, ord("~")), text.try_cast("bigint"))
+
+
+def try_date8(text: Column) -> Column:
+    """``yyyyMMdd`` as a date, null if it is none; eight digits are cut and cast, other texts are not tried."""
+    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike(r"\A[0-9]{8}\z"), iso.try_cast("date"))
+
+
 def norm_company_ref(c: Column | str) -> Column:
     """Company name, or company number without leading zeros."""
     text = F.trim(col(c))
-    return F.coalesce(text.try_cast("bigint").cast("string"), text)
+    return F.coalesce(try_long(text).cast("string"), text)
 
 
 def full_years(start: Column | str, end: Column | str) -> Column:

@@ -85,3 +85,23 @@ def test_stable_key(spark):
 def test_date_time_keys(spark):
     df = spark.sql("SELECT TIMESTAMP '2020-01-03 09:05:07' AS t").select(X.date_key("t"), X.time_key("t"), X.smart_key("t", F.lit(7)))
     assert tuple(df.first()) == (20200103, 90507, 202001037)
+
+
+def test_keys_of_days_and_times_are_calculated(spark):
+    df = spark.sql("SELECT explode(array(TIMESTAMP '2020-01-03 09:05:07', TIMESTAMP '0099-12-31 23:59:59', TIMESTAMP '9999-12-31 00:00:00', null)) AS t")
+    day, time = F.date_format("t", "yyyyMMdd"), F.date_format("t", "HHmmss")
+    wanted = df.select(day.cast("bigint"), time.cast("bigint"), F.concat(day, F.lit("7")).cast("bigint"))
+    found = df.select(X.date_key("t"), X.time_key("t"), X.smart_key("t", F.lit(7)))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+    assert "date_format" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_that_are_no_number_or_day_are_not_cast(spark):
+    values = ["0012", "Supplier 1", "", None, "+5", "-7", " 8", "1.5", "é", "20200131", "20200230", "2000101\t", "+2000102", "2020-01-02", "zz"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    text = F.trim("v")
+    old = F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in ("yyyyMMdd", "yyyy-MM-dd")])
+    rows = df.select(X.try_long(text).alias("n"), text.try_cast("bigint").alias("m"), try_parse("v", "date").alias("d"), old.alias("e")).collect()
+    assert [(r["n"], r["d"]) for r in rows] == [(r["m"], r["e"]) for r in rows]
+    plan = df.select(X.norm_company_ref("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ascii" in plan

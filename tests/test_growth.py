@@ -79,3 +79,29 @@ def test_quotes_are_shuffled_once_unless_a_symbol_is_hot(spark, tmp_path):
     finally:
         spark.conf.unset("brokerdw.hotRows")
     assert cut == want and len(want) == 90
+
+
+def test_company_and_financial_records_come_from_one_count_of_the_lines(spark, tmp_path):
+    line = spark.range(300).select(
+        F.col("id").alias("l_orderkey"),
+        (F.col("id") % 7).alias("l_partkey"),
+        (F.col("id") % 3).alias("l_suppkey"),
+        (F.col("id") % 5 / 100).alias("l_tax"),
+        F.timestamp_seconds(F.col("id") * 200000).alias("l_shipdate"),
+    )
+    line.write.parquet(str(tmp_path / "lineitem.parquet"))
+    supplier = [(i, f"Supplier {i}", i, 1.5) for i in range(3)]
+    spark.createDataFrame(supplier, "s_suppkey long, s_name string, s_nationkey long, s_acctbal double").write.parquet(str(tmp_path / "supplier.parquet"))
+    lines = derived.wire_lines(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") and plan.count("quarter") and plan.count("Aggregate [") == 2
+    kinds = {r["k"]: r["n"] for r in lines.groupBy(F.substring("value", 16, 3).alias("k")).agg(F.count("*").alias("n")).collect()}
+    quarters = line.select("l_suppkey", F.date_trunc("quarter", "l_shipdate")).distinct().count()
+    assert kinds["CMP"] == kinds["FIN"] == quarters and kinds["SEC"] == line.select("l_partkey", F.year("l_shipdate")).distinct().count()
+
+
+def test_joins_store_keys_of_a_dimension_and_all_its_rows(spark):
+    rows = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (None, "b", "z")], "k int, s string, rest string")
+    kept = derived.stored_keys(rows, ["k", "s"], "keys")
+    assert kept.columns == ["k", "s"] and sorted(map(tuple, kept.collect()), key=repr) == [(1, "a"), (1, "a"), (None, "b")]
+    assert derived.warehouse(spark, "none", {"dimtrade": ["type"]}).columns == {"dimtrade": ["type"]}
