@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -186,6 +188,48 @@ def test_language_model_chunks_do_not_matter(odd, monkeypatch):
     assert rows() == whole
 
 
+def test_language_model_sends_only_sums_that_held_out_texts_may_ask_for(spark):
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
+    train = [i for i in range(200) if i not in held]
+
+    def sent(held_text):
+        rows = [(i, f"red fish swim in lake {i}") for i in train] + ([(held[0], held_text)] if held_text else [])
+        table = katz.chunks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).cache()
+        answers, stats = [], {}
+        for k in (1, 2, 3):
+            counted = katz.asks(table, k, 1).groupBy("ord", "part").applyInPandas(katz.count_part, katz.COUNTS).collect()
+            answers.append(katz.unpack(next(r["counts"] for r in counted if r["kind"] == "answer"), np.uint64))
+            stats[k] = next(r["stats"] for r in counted if r["kind"] == "count")
+        row = table.first()
+        c = katz.Chunk(row["lengths"], row["train"], row["words"], row["tokens"])
+        _, sums, wanted = katz.score_chunk(c, answers, katz.Model(stats, len(train), 3), 1)
+        keys = lambda found: {k: set(katz.unpack_sorted(b, np.uint64).tolist()) for k, _, b, *_ in found}
+        for _, _, names, a, b in sums:
+            assert len(katz.unpack_sorted(names, np.uint64)) == len(katz.unpack_floats(a)) == len(katz.unpack_floats(b))
+        return keys(sums), keys(wanted)
+
+    sums, wanted = sent(None)
+    assert {k: len(v) for k, v in sums.items()} == {2: 1, 3: 1} and not wanted  # the empty context alone
+    sums, wanted = sent("red fish fly")
+    assert {k: len(v) for k, v in sums.items()} == {2: 3, 3: 3}  # and: red, fish; a first red, red fish
+    assert all(wanted[k] <= sums[k] for k in wanted) and len(wanted[2]) == len(wanted[3]) == 1
+
+
+def test_language_model_weights_come_as_one_row_a_chunk():
+    keys, one = katz.pack_sorted(np.array([5], np.uint64)), katz.pack_floats(np.array([0.5]))
+    asked = katz.pack_sorted(np.array([5] * 30, np.uint64)), katz.pack(np.arange(30, dtype=np.uint32))
+    pdf = pd.DataFrame([(2, 0, 7, keys, one, one), (2, 0, 7, *asked, None)], columns=["ord", "part", "chunk", "keys", "a", "b"])
+    found = katz.weigh_part(pdf)
+    assert len(found) == 1 and len(katz.add_up(pd.concat([found, found]))) == 30
+
+
+def test_language_model_numbers_survive_packing():
+    a = np.array([0.25, 1e-300, 0.25, 1 / 3, 0.25])
+    assert katz.unpack_floats(katz.pack_floats(a)).tolist() == a.tolist()
+    h = np.array([9, 2**64 - 1, 3, 4], np.uint64)
+    assert katz.unpack_sorted(katz.pack_sorted(h), np.uint64).tolist() == h.tolist()
+
+
 def test_language_model_keeps_wide_ids(spark):
     ids = [(1 << 60) + 1, (1 << 60) + 2, None, -(1 << 61) - 3]
     rows = spark.createDataFrame([(i, "the cat sat") for i in ids], "doc_id long, text string").coalesce(1)
