@@ -104,6 +104,15 @@ def test_lines_equal_brute_force(spark, odd, documents):
         assert got == removed_by_hand(texts(df))
 
 
+@pytest.mark.parametrize("shares", [1, 3])
+def test_lines_meet_in_shares_of_their_words(documents, monkeypatch, shares):
+    names, keep = [], lines.stored
+    monkeypatch.setattr(lines, "SHARES", shares)
+    monkeypatch.setattr(lines, "stored", lambda df, name: names.append(name) or keep(df, name))
+    got = {r["doc_id"]: r["removed"] for r in lines.repeated_lines(documents).collect()}
+    assert got == removed_by_hand(texts(documents)) and names.count("lines-met") == shares
+
+
 def test_loose_families_meet_few_pairs(spark, monkeypatch):
     """Lines that are like the tenth part of their family: no few leads stand for all, and no pair of members is formed for each."""
     rng = np.random.default_rng(5)
