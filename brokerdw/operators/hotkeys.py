@@ -30,6 +30,8 @@ HOT_VERSIONS = 1_000
 CELLS, FEW_CELLS, LEAST_ROWS = 4, 32, 10_000
 # A mark list of at most this many keys is broadcast; a longer one is joined like any table.
 BROADCAST_MARKS = 1_000
+# A table of more rows than this is sorted and merged with those that look it up, never sent whole to every executor.
+LOOKUP_ROWS = 100_000
 # Results of counting that are remembered, by plan, keys and limit.
 REMEMBERED = 256
 
@@ -96,20 +98,52 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> HotKeys:
     known = (df.sparkSession.sparkContext.applicationId, keyed.semanticHash(), limit)
     if known in _COUNTED:
         return _COUNTED[known].on(keys)
-    counts = keyed.groupBy(*names).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
-    nulls = F.coalesce(F.max(F.greatest(*[F.col(n).isNull() for n in [*names, names[0]]])), F.lit(False))
-    size = counts.agg(F.count("*").alias("n"), F.sum("_n").alias("rows"), nulls.alias("null")).first()
+    counts = keyed.groupBy(*names).agg(F.count("*").alias("_n"))
+    many = F.col("_n") > limit
+    nulls = F.coalesce(F.max(many & F.greatest(*[F.col(n).isNull() for n in [*names, names[0]]])), F.lit(False))
+    size = counts.agg(
+        F.count_if(many).alias("n"), F.sum(F.when(many, F.col("_n"))).alias("rows"), nulls.alias("null"), F.sum("_n").alias("all")
+    ).first()
     found = NO_HOT
     if size["n"]:
-        marks = stored(counts.select(*names), "hot-keys")
+        marks = stored(counts.filter(many).select(*names), "hot-keys")
         found = HotKeys(tuple(keys), marks, size["n"], size["rows"], limit, bool(size["null"]))
-    while len(_COUNTED) >= REMEMBERED:
-        _COUNTED.pop(next(iter(_COUNTED)))
-    _COUNTED[known] = found
+    _remember(_COUNTED, known, found)
+    _remember(_ROWS, known[:2], size["all"] or 0)
     return found
 
 
+def _remember(counted: dict, known: tuple, value) -> None:
+    while len(counted) >= REMEMBERED:
+        counted.pop(next(iter(counted)))
+    counted[known] = value
+
+
 _COUNTED: dict[tuple[str, int, int], HotKeys] = {}
+_ROWS: dict[tuple[str, int], int] = {}
+
+
+def row_count(df: DataFrame, keys: Sequence[str] = ()) -> int:
+    """Rows of ``df``, counted once a session for a plan; of a stored table that reads the ends of its files only.
+
+    With the ``keys`` of :func:`find_hot_keys` its counts are taken.
+    """
+    counted = df.select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(keys)]) if keys else df
+    known = (df.sparkSession.sparkContext.applicationId, counted.semanticHash())
+    if known not in _ROWS:
+        _remember(_ROWS, known, df.count())
+    return _ROWS[known]
+
+
+def looked_up(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, made from a table of ``rows`` rows, as a side of a join: sorted and merged if they are many.
+
+    Spark estimates a table by the size of its files and the share of its columns' widths that
+    a join reads. The repeated texts of a wide dimension pack to almost nothing and its keys do
+    not, so the estimate of the keys alone can be a fiftieth of their size, and a broadcast
+    that Spark takes for small would not fit into the driver.
+    """
+    return df.hint("merge") if rows > _conf_rows(df, "brokerdw.lookupRows", LOOKUP_ROWS) else df
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -15,6 +15,8 @@ from brokerdw.operators.hotkeys import (
     carry_last,
     find_hot_keys,
     hot_window_keys,
+    looked_up,
+    row_count,
     running,
     split_hot,
     stored,
@@ -36,6 +38,11 @@ def _many_versions(versions: DataFrame, keys: Sequence[str]) -> HotKeys:
     return many_versions(versions, keys, int(limit or HOT_VERSIONS))
 
 
+def _sorted_if_long(right: DataFrame, versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``right`` of a join whose ``versions`` have been counted by :func:`_many_versions`."""
+    return looked_up(right, row_count(versions.dropna(subset=list(keys)), keys))
+
+
 def many_versions(versions: DataFrame, keys: Sequence[str], limit: int) -> HotKeys:
     return find_hot_keys(versions.dropna(subset=list(keys)), keys, limit)
 
@@ -182,7 +189,8 @@ def pit_join(
     keep = list(dim_cols) if dim_cols is not None else [c for c in dim.columns if c not in fact.columns]
     fact_keys, dim_keys = [f for f, _ in pairs], [d for _, d in pairs]
     right = dim.select(*dict.fromkeys([*dim_keys, START, END, *keep]))
-    if hot is None:
+    counted = hot is None
+    if counted:
         hot = _many_versions(dim, dim_keys)
     swept = None
     if hot:
@@ -194,6 +202,7 @@ def pit_join(
         found = found if how == "left" else found.filter("_v is not null")
         swept = found.select("_p.*", *[F.col(f"_v.{c}").alias(c) for c in keep])
     right = _prefixed(right, "_d_")
+    right = _sorted_if_long(right, dim, dim_keys) if counted else right
     day = fact.withColumn("_day", F.to_date(ts))
     cond = (F.col("_day") >= F.col(f"_d_{START}")) & (F.col("_day") < F.col(f"_d_{END}"))
     for f, d in pairs:
@@ -215,6 +224,7 @@ def current_join(
     right = dim.filter(F.col(CURRENT)).select(
         *[F.col(d).alias(f"_d_{d}") for d in dict.fromkeys([*[d for _, d in pairs], *keep])]
     )
+    right = looked_up(right, row_count(dim))
     cond = F.lit(True)
     for f, d in pairs:
         cond = cond & (F.col(f) == F.col(f"_d_{d}"))
@@ -242,7 +252,8 @@ def interval_join(
     keep = list(right_cols) if right_cols is not None else [
         c for c in right.columns if c not in taken and c not in (START, END, CURRENT)
     ]
-    if hot is None:
+    counted = hot is None
+    if counted:
         both = left.select(*left_keys, START).union(right.select(*right_keys, START))
         hot = _many_versions(both, left_keys)
     lhs = left.filter(F.col(START) < F.col(END))
@@ -259,6 +270,7 @@ def interval_join(
             F.least(F.col(f"_a.{END}"), F.col(f"_b.{END}")).alias(END),
         )
     rhs = _prefixed(rhs, "_r_")
+    rhs = _sorted_if_long(rhs, both, left_keys) if counted else rhs
     cond = (F.col(START) < F.col(f"_r_{END}")) & (F.col(END) > F.col(f"_r_{START}"))
     for a, b in pairs:
         cond = (F.col(a) == F.col(f"_r_{b}")) & cond
@@ -320,7 +332,7 @@ def union_key_join(
         return interval_join(left, keyed, [(left_key, ref)], "inner", right_cols)
     if at is not None:
         return pit_join(left, keyed, [(left_key, ref)], at, "inner", right_cols)
-    renamed = keyed.select(ref, *[F.col(c).alias(f"_u_{c}") for c in right_cols])
+    renamed = looked_up(keyed.select(ref, *[F.col(c).alias(f"_u_{c}") for c in right_cols]), row_count(right))
     joined = left.join(renamed, F.col(left_key) == F.col(ref), "inner")
     return joined.select(*left.columns, *[F.col(f"_u_{c}").alias(c) for c in right_cols])
 

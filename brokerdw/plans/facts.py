@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brokerdw.functions import exprs as X
 from brokerdw.operators.grouping import placed_removed, snapshot_as_of
+from brokerdw.operators.hotkeys import looked_up, row_count
 from brokerdw.operators.joins import name_match_join
 from brokerdw.operators.merge import merge
 from brokerdw.operators.temporal import current_join, pit_join
@@ -23,7 +24,7 @@ def build_prospect(stage: DataFrame, batch: int, dim_customer: DataFrame, batch_
         *[X.match_key(c).alias(c) for c in PROSPECT_MATCH], X.match_key("addressline2", True).alias("addressline2")
     ).distinct()
     flagged = name_match_join(
-        seen, keys.withColumn("found", F.lit(True)), PROSPECT_MATCH, ["addressline2"], right_cols=["found"]
+        seen, looked_up(keys.withColumn("found", F.lit(True)), row_count(dim_customer)), PROSPECT_MATCH, ["addressline2"], right_cols=["found"]
     )
     dates = lambda name, key: batch_date.select(
         F.col("batchid").alias(key), X.date_key("batchdate").alias(name)

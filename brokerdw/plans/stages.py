@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brokerdw.functions import exprs as X
 from brokerdw.operators.grouping import first_last_seen
-from brokerdw.operators.hotkeys import NO_HOT
+from brokerdw.operators.hotkeys import NO_HOT, looked_up, row_count
 from brokerdw.operators.rolling import rolling_extremes, running_balance, trailing_sum
 
 # Customer columns in warehouse order; all but the keys and status are filled forward.
@@ -125,7 +125,8 @@ def company_eps_stage(financial: DataFrame, dim_company: DataFrame) -> DataFrame
 
     A company has one row per quarter, so its window is small by nature.
     """
-    numbered = financial.join(dim_company.select("sk_companyid", "companyid"), "sk_companyid")
+    company = looked_up(dim_company.select("sk_companyid", "companyid"), row_count(dim_company))
+    numbered = financial.join(company, "sk_companyid")
     summed = trailing_sum(
         numbered.select("companyid", "sk_companyid", "fi_qtr_start_date", "fi_basic_eps"),
         "companyid",
