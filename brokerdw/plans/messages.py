@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brokerdw.functions import exprs as X
 from brokerdw.operators.grouping import top1
+from brokerdw.operators.hotkeys import looked_up, row_count
 from brokerdw.sources.scans import parse_cmp, union_all
 
 Tables = Mapping[str, DataFrame]
@@ -62,6 +63,7 @@ def _joined(tables: Tables, fact: str) -> DataFrame:
     for dim, fact_key, dim_key in JOINED[fact]:
         cols = [dim_key, "sk_brokerid"] if dim == "DimAccount" else [dim_key]
         right = tables[dim.lower()].select(*[F.col(c).alias(f"{dim}_{c}") for c in cols])
+        right = looked_up(right, row_count(tables[dim.lower()]))
         left_key = "DimAccount_sk_brokerid" if dim == "DimBroker" else fact_key
         out = out.join(right, F.col(left_key) == F.col(f"{dim}_{dim_key}"))
     return out
@@ -162,7 +164,7 @@ def alert_rows(tables: Tables, batch_date: DataFrame, finwire: DataFrame) -> Dat
         data = F.concat(F.lit("T_ID = "), text("tradeid"), F.lit(f", {label} = "), text(column))
         return _alert(trades.filter(F.col(column) > worth), "DimTrade", message, data).distinct()
 
-    symbols = tables["dimsecurity"].select("sk_securityid", "symbol")
+    symbols = looked_up(tables["dimsecurity"].select("sk_securityid", "symbol"), row_count(tables["dimsecurity"]))
     no_earnings = tables["factmarkethistory"].filter(F.col("peratio").isNull()).select("batchid", "sk_securityid")
     # Distinct keys first: one row per security and batch is joined, not one per quote.
     earnings = _alert(
