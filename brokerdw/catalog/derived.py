@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from brokerdw.catalog.registry import table
 from brokerdw.functions.exprs import RATINGS, full_years
 from brokerdw.operators.grouping import top1
-from brokerdw.operators.hotkeys import NO_HOT, carry_last, hot_window_keys
+from brokerdw.operators.hotkeys import NO_HOT, carry_last, hot_window_keys, looked_up, row_count
 from brokerdw.plans import dimensions as dims
 from brokerdw.plans import facts, stages
 from brokerdw.plans.audit import FIRST_CALENDAR_DAY
@@ -301,7 +301,8 @@ def dim_customer(spark, sf, changes: bool = True) -> DataFrame:
     chg = customer_changes(spark, sf) if changes else None
     history = dims.customer_history(customer_mgmt(spark, sf), chg, batch_date(spark))
     batch = 3 if changes else 1
-    return dims.build_dim_customer(history, tax_rate(spark, sf), _visible(prospect_stage(spark, sf), batch))
+    prospects = looked_up(_visible(prospect_stage(spark, sf), batch), row_count(table(spark, sf, "customer")))
+    return dims.build_dim_customer(history, tax_rate(spark, sf), prospects)
 
 
 def _customer_cte(changes: bool) -> dict[str, str]:
@@ -557,7 +558,8 @@ def trades(spark, sf) -> DataFrame:
     line = table(spark, sf, "lineitem")
     cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount"]
     one = top1(line.select(*cols), ["l_orderkey"], ["l_partkey", "l_suppkey", "l_extendedprice"])
-    joined = one.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = table(spark, sf, "orders")
+    joined = one.join(looked_up(orders, row_count(orders)), F.col("l_orderkey") == F.col("o_orderkey"))
     key = F.col("o_orderkey")
     placed = F.col("o_orderdate").cast("timestamp") + F.expr("make_dt_interval(0, 9, 0, o_orderkey % 3000)")
     kinds = F.array(*[F.lit(k) for k in ["TMB", "TMS", "TSL", "TLS", "TLB", "XXX"]])

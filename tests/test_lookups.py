@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from brokerdw.catalog import derived
 from brokerdw.operators import hotkeys, temporal
 from brokerdw.plans import audit, messages, stages
 
@@ -105,3 +106,37 @@ def test_rows_are_counted_once_with_the_hot_keys(spark, dim):
     spark.sparkContext.setJobGroup("", "")
     assert known == 298 and not jobs
     assert hotkeys.row_count(dim) == 300 and hotkeys.row_count(dim.limit(0)) == 0
+
+
+def test_orders_and_prospects_are_merged_when_they_are_many(spark, tmp_path, monkeypatch):
+    day = F.timestamp_seconds(F.col("id") * 86400 * 5 + 700_000_000)
+    tables = {
+        "nation": spark.range(25).select(F.col("id").cast("int").alias("n_nationkey"), F.concat(F.lit("N"), F.col("id")).alias("n_name")),
+        "customer": spark.range(20).select(
+            F.col("id").alias("c_custkey"), F.concat(F.lit("C"), F.col("id")).alias("c_name"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+            F.lit(1.5).alias("c_acctbal"), F.lit("SEG").alias("c_mktsegment"),
+        ),
+        "orders": spark.range(90).select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 20).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), day.alias("o_orderdate")
+        ),
+        "lineitem": spark.range(90).select(
+            F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"), F.lit(2.0).alias("l_quantity"),
+            F.lit(8.0).alias("l_extendedprice"), F.lit(0.1).alias("l_tax"), F.lit(0.1).alias("l_discount"),
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    bases = []
+    stored = derived.stored
+    monkeypatch.setattr(derived, "stored", lambda df, *a: bases.append(plan(df)) or stored(df, *a))
+    got = lambda: [sorted(map(tuple, f(spark, str(tmp_path)).collect()), key=repr) for f in (derived.trades, derived.dim_customer)]
+    want = got()
+    spark.conf.set("brokerdw.lookupRows", "19")
+    try:
+        assert got() == want and len(want[0]) >= 90 and len(want[1]) >= 20
+        names = plan(derived.dim_customer(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("brokerdw.lookupRows")
+    assert "BroadcastHashJoin [l_orderkey" in bases[0] and "SortMergeJoin [l_orderkey" in bases[1]
+    assert "SortMergeJoin [_l0" in names and "BroadcastHashJoin [_l0" not in names
